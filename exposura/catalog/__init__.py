@@ -5,8 +5,16 @@ from exposura.catalog.base import ORACLES, QUERIES
 
 def _load() -> None:
     from exposura.catalog import (  # noqa: F401
+        q_aggregates,
+        q_filters,
+        q_inference,
+        q_joins,
         q_matching,
+        q_pages,
+        q_projections,
         q_scalars,
+        q_sensitive,
+        q_windows,
     )
 
 

@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-from exposura.functions.text import abs_url, blank_to_null, strip
+from exposura.functions.text import abs_url, bind, strip
 
 # The named entities the pages use, ampersand last.
 ENTITIES = [
@@ -45,7 +45,7 @@ def element_text(c: Column, selector: str) -> Column:
 
 def first_matching_selector(c: Column, selectors: list[str]) -> Column:
     """Text under the first selector that yields any, else ""."""
-    hits = [blank_to_null(element_text(c, s)) for s in selectors]
+    hits = [bind(element_text(c, s), lambda t: F.when(t != "", t)) for s in selectors]
     return F.coalesce(*hits, F.lit(""))
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from exposura import rules
-from exposura.functions.text import strip
+from exposura.functions.text import bind, is_valid_host, strip
 
 
 def keyed_hash(c: Column, pepper: str) -> Column:
@@ -98,20 +98,23 @@ def list_shaped(line: Column) -> Column:
     The line is only measured: two to four parts under tab, colon or blank, one
     of them an address or a plain name, another at least three characters long.
     """
+    def address(p: Column) -> Column:
+        return p.contains("@") & p.contains(".")
+
+    def laid_out(parts: Column) -> Column:
+        named = F.get(parts, F.lit(0)).rlike(r"^[a-zA-Z0-9_.\-+@#$*!=|]+$")
+        other = F.exists(parts, lambda p: ~address(p) & (F.length(p) >= 3))
+        return F.size(parts).between(2, 4) & (F.exists(parts, address) | named) & other
+
     def under(delim: str) -> Column:
         parts = F.filter(F.transform(F.split(line, delim, -1), strip), lambda p: p != "")
-        address = F.exists(parts, lambda p: p.contains("@") & p.contains("."))
-        other = F.exists(parts, lambda p: ~(p.contains("@") & p.contains(".")) & (F.length(p) >= 3))
-        named = F.get(parts, F.lit(0)).rlike(r"^[a-zA-Z0-9_.\-+@#$*!=|]+$")
-        return F.size(parts).between(2, 4) & (address | named) & other
+        return line.contains(delim) & bind(parts, laid_out)
 
     return under("\t") | under(":") | under(" ")
 
 
 def confidence_score(host: Column, user: Column) -> Column:
     """Additive quality score of a parsed log line, from its host and actor only."""
-    from exposura.functions.text import is_valid_host
-
     low = F.lower(host)
     host_points = (
         F.when(low.rlike("^(https|android)://"), 55)

@@ -16,10 +16,13 @@ def count_of(c: Column, s: str) -> Column:
 
 def sniff_delimiter(line: Column) -> Column:
     """Most frequent candidate of a line; ties keep the first, none gives a comma."""
-    counts = [count_of(line, d) for d in DELIMITERS]
-    best = F.greatest(*counts)
-    return text.first_rule(
-        [((best == 0), ",")] + [(n == best, d) for n, d in zip(counts, DELIMITERS)]
+    names = F.array(*[F.lit(d) for d in DELIMITERS])
+    counts = F.array(*[count_of(line, d) for d in DELIMITERS])
+    return text.bind(
+        counts,
+        lambda n: F.when(F.array_max(n) == 0, ",").otherwise(
+            F.get(names, (F.array_position(n, F.array_max(n)) - 1).cast("int"))
+        ),
     )
 
 
@@ -32,8 +35,11 @@ DATA_LIKE = [
 
 
 def header_tokens(line: Column, delim: Column) -> Column:
-    quoted = F.concat(F.lit("\\Q"), delim, F.lit("\\E"))
-    return F.transform(F.split(line, quoted, -1), text.clean_header)
+    """Cleaned tokens of a line under one of the candidate delimiters."""
+    parts = text.first_rule(
+        [(delim == d, F.split(line, "[|]" if d == "|" else d, -1)) for d in DELIMITERS]
+    )
+    return F.transform(parts, text.clean_header)
 
 
 def data_like(token: Column) -> Column:
@@ -46,11 +52,14 @@ def data_like(token: Column) -> Column:
 def is_headerless(line: Column, delim: Column, names: list[str] | None = None) -> Column:
     """First row is data: half its first eight tokens look like data, or some do and none is a known name."""
     known = [n.lower() for n in (names if names is not None else rules.COLUMN_ALIASES)]
-    first = F.slice(header_tokens(line, delim), 1, 8)
-    hits = F.size(F.filter(first, data_like))
-    named = F.size(F.filter(first, lambda t: F.lower(t).isin(known)))
-    needed = F.greatest(F.lit(1), F.floor(F.size(first) / 2).cast("int"))
-    return (text.strip(line) != "") & ((hits >= needed) | ((named == 0) & (hits > 0)))
+
+    def verdict(first: Column) -> Column:
+        hits = F.size(F.filter(first, data_like))
+        unnamed = ~F.exists(first, lambda t: F.lower(t).isin(known))
+        needed = F.greatest(F.lit(1), F.floor(F.size(first) / 2).cast("int"))
+        return text.bind(hits, lambda n: (n >= needed) | ((n > 0) & unnamed))
+
+    return (text.strip(line) != "") & text.bind(F.slice(header_tokens(line, delim), 1, 8), verdict)
 
 
 def classify_column(name: Column, patterns: list[tuple[str, str]] = rules.COLUMN_PATTERNS) -> Column:
@@ -72,15 +81,18 @@ def learn_aliases(existing: DataFrame, found: DataFrame) -> DataFrame:
 
 def schema_catalog(files: DataFrame, key: str, header: str) -> DataFrame:
     """Per file its delimiter and columns, as one nested value read off the header line."""
-    delim = sniff_delimiter(F.col(header))
-    columns = header_tokens(F.col(header), delim)
+    sniffed = files.select(key, F.col(header).alias("_line"), sniff_delimiter(F.col(header)).alias("delimiter"))
+    read = sniffed.select(
+        key, "delimiter", header_tokens(F.col("_line"), F.col("delimiter")).alias("_columns"),
+        is_headerless(F.col("_line"), F.col("delimiter")).alias("_headerless"),
+    )
     table = F.struct(
         F.lit("_flat").alias("table_name"),
-        columns.alias("columns"),
-        F.size(columns).alias("n_columns"),
-        is_headerless(F.col(header), delim).alias("headerless"),
+        F.col("_columns").alias("columns"),
+        F.size("_columns").alias("n_columns"),
+        F.col("_headerless").alias("headerless"),
     )
-    return files.select(key, delim.alias("delimiter"), F.array(table).alias("tables"))
+    return read.select(key, "delimiter", F.array(table).alias("tables"))
 
 
 def mapping_failed(columns: Column) -> Column:
@@ -139,27 +151,38 @@ def sample_lines(c: Column, n: int) -> Column:
 
 
 def _mean(numbers: Column) -> Column:
-    total = F.aggregate(numbers, F.lit(0.0), lambda a, x: a + x)
-    return F.when(F.size(numbers) > 0, total / F.size(numbers)).otherwise(F.lit(0.0))
+    return text.bind(
+        numbers,
+        lambda a: F.when(F.size(a) > 0, F.aggregate(a, F.lit(0.0), lambda x, y: x + y) / F.size(a)).otherwise(
+            F.lit(0.0)
+        ),
+    )
 
 
 def csv_vs_list(c: Column, n: int = 20) -> Column:
     """table, list or undecided, from the mean fields and colons of the first lines."""
-    lines = sample_lines(c, n)
-    fields = _mean(F.transform(lines, lambda x: count_of(x, ",") + 1))
-    colons = _mean(F.transform(lines, lambda x: count_of(F.replace(x, F.lit("://"), F.lit("")), ":")))
-    return (
-        F.when(F.size(lines) == 0, "list")
-        .when(fields >= 8, "table")
-        .when((colons >= 0.8) & (fields < 4), "list")
-        .otherwise("undecided")
-    )
+
+    def verdict(lines: Column) -> Column:
+        fields = _mean(F.transform(lines, lambda x: count_of(x, ",") + 1))
+        colons = _mean(F.transform(lines, lambda x: count_of(F.replace(x, F.lit("://"), F.lit("")), ":")))
+        measured = F.struct(fields.alias("fields"), colons.alias("colons"))
+        decided = text.bind(
+            measured,
+            lambda m: F.when(m["fields"] >= 8, "table")
+            .when((m["colons"] >= 0.8) & (m["fields"] < 4), "list")
+            .otherwise("undecided"),
+        )
+        return F.when(F.size(lines) == 0, "list").otherwise(decided)
+
+    return text.bind(sample_lines(c, n), verdict)
 
 
 def list_share(c: Column, n: int = 25) -> Column:
     """Share of the first lines that are laid out like a credential list."""
-    lines = sample_lines(c, n)
-    return _mean(F.transform(lines, lambda x: F.when(sensitive.list_shaped(x), 1.0).otherwise(0.0)))
+    shaped = F.transform(
+        sample_lines(c, n), lambda x: F.when(sensitive.list_shaped(x), 1.0).otherwise(0.0)
+    )
+    return _mean(shaped)
 
 
 def columns_from_ddl(body: Column) -> Column:

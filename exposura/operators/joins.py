@@ -117,3 +117,18 @@ def contains_by_grams(
     candidates = text_grams.join(rule_grams, "_gram").select(id_col, rule_id).distinct()
     checked = candidates.join(phrases, rule_id).join(low, id_col)
     return checked.filter(F.col("_low").contains(F.col("_phrase"))).select(id_col, rule_id)
+
+
+def taxonomy_label(
+    df: DataFrame, name: str, categories: dict[str, str], excluded: list[str]
+) -> DataFrame:
+    """(name, category) once per name: first category whose keyword it holds, exclusions out.
+
+    Drivers are left out too, unless they belong to a chipset.
+    """
+    low = F.lower(F.col(name))
+    category = text.first_rule([(low.contains(k.lower()), c) for k, c in categories.items()])
+    driver = low.contains("driver") & ~low.contains("chipset")
+    kept = df.filter(~text.contains_any(low, excluded) & ~driver)
+    labelled = kept.select(F.col(name).alias("name"), category.alias("category")).distinct()
+    return labelled.filter(F.col("category").isNotNull())

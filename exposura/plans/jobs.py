@@ -60,20 +60,15 @@ def credential_list_quarantine(df: DataFrame, key: str, column: str, threshold:
 
 def domain_mentions(df: DataFrame, keep: list[str], column: str, suffixes: list[str]) -> DataFrame:
     """(keep.., kind, domain, n): registered domains of the addresses in every text."""
-    found = [
-        ("email", sensitive.tokens(F.col(column), rules.EMAIL)),
-        ("url", sensitive.tokens(F.col(column), r"https?://[A-Za-z0-9.-]+")),
-    ]
+    def mentions(kind: str, found: Column) -> Column:
+        return F.transform(
+            found,
+            lambda x: F.struct(F.lit(kind).alias("kind"), text.registered_domain(x, suffixes).alias("domain")),
+        )
+
     pairs = F.concat(
-        *[
-            F.transform(
-                arr,
-                lambda x, k=kind: F.struct(
-                    F.lit(k).alias("kind"), text.registered_domain(x, suffixes).alias("domain")
-                ),
-            )
-            for kind, arr in found
-        ]
+        mentions("email", sensitive.tokens(F.col(column), rules.EMAIL)),
+        mentions("url", sensitive.tokens(F.col(column), r"https?://[A-Za-z0-9.-]+")),
     )
     long = df.select(*keep, F.explode(pairs).alias("m")).select(*keep, "m.kind", "m.domain")
     return long.filter(F.col("domain") != "").groupBy(*keep, "kind", "domain").agg(F.count("*").alias("n"))
