@@ -14,6 +14,9 @@ def _load() -> None:
         q_projections,
         q_scalars,
         q_sensitive,
+        q_sinks,
+        q_sources,
+        q_streaming,
         q_windows,
     )
 

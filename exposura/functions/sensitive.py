@@ -107,7 +107,9 @@ def list_shaped(line: Column) -> Column:
         return F.size(parts).between(2, 4) & (F.exists(parts, address) | named) & other
 
     def under(delim: str) -> Column:
-        parts = F.filter(F.transform(F.split(line, delim, -1), strip), lambda p: p != "")
+        # Seven pieces tell: four parts and a blank on either side make six.
+        pieces = F.split(line, rf"\s*(?:{delim}\s*)+", 7)
+        parts = F.filter(F.transform(pieces, strip), lambda p: p != "")
         return line.contains(delim) & bind(parts, laid_out)
 
     return under("\t") | under(":") | under(" ")

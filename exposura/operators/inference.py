@@ -59,7 +59,8 @@ def is_headerless(line: Column, delim: Column, names: list[str] | None = None) -
         needed = F.greatest(F.lit(1), F.floor(F.size(first) / 2).cast("int"))
         return text.bind(hits, lambda n: (n >= needed) | ((n > 0) & unnamed))
 
-    return (text.strip(line) != "") & text.bind(F.slice(header_tokens(line, delim), 1, 8), verdict)
+    tokens = text.bind(delim, lambda d: F.slice(header_tokens(line, d), 1, 8))
+    return (text.strip(line) != "") & text.bind(tokens, verdict)
 
 
 def classify_column(name: Column, patterns: list[tuple[str, str]] = rules.COLUMN_PATTERNS) -> Column:

@@ -83,7 +83,7 @@ def _records(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
     return found.filter(anything).select("r.*")
 
 
-def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_json(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """JSON lines, one array or one object per file, told apart file by file.
 
     Whole-file parsing is kept for files that spread a record over lines; their
