@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from exposura import rules
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -60,3 +62,9 @@ def case_first(tests, default: str = "NULL") -> str:
 
 def stamp(x: str) -> str:
     return f"strftime({x}, '%Y-%m-%d %H:%M:%S.%f')"
+
+
+def sql_redacted(x: str) -> str:
+    for kind, pattern in rules.SENSITIVE:
+        x = f"regexp_replace({x}, {q(pattern)}, '[{kind}]', 'g')"
+    return x

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from exposura import rules
 from exposura.catalog import views as v
-from exposura.catalog.base import q, query, sql_in, stamp
+from exposura.catalog.base import query, sql_in, sql_redacted, stamp
 from exposura.functions import text
+from exposura.functions.sensitive import redact
 from exposura.operators import aggregates as a
 from exposura.plans import jobs
 from exposura.sources.readers import table
@@ -83,15 +84,17 @@ def skip_rate(spark, folder):
 
 
 @query("canary_skip_rate", """
-SELECT count(*) AS parsed, count(*) FILTER (s) AS skipped, count(*) FILTER (s) / CAST(count(*) AS DOUBLE) AS rate,
-       count(*) FILTER (s) / CAST(count(*) AS DOUBLE) > 0.6 AS second_schema
-FROM (SELECT l_quantity < 20 AS s FROM lineitem ORDER BY l_orderkey * 10 + l_linenumber LIMIT 20000)""")
+SELECT 'file' || (o_orderkey % 4) AS file, count(*) AS parsed, count(*) FILTER (o_orderstatus <> 'F' OR o_orderkey % 4 = 1) AS skipped,
+       count(*) FILTER (o_orderstatus <> 'F' OR o_orderkey % 4 = 1) / CAST(count(*) AS DOUBLE) AS rate,
+       count(*) FILTER (o_orderstatus <> 'F' OR o_orderkey % 4 = 1) / CAST(count(*) AS DOUBLE) > 0.6 AS second_schema
+FROM orders WHERE o_orderkey // 4 + 1 <= 20000 GROUP BY 1""")
 def canary_skip_rate(spark, folder):
-    """The probe of the first 20,000 rows is the operator itself."""
-    l = table(spark, folder, "lineitem").select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line"), "l_quantity"
+    """Orders dealt out to four files; the probe of the first 20,000 rows is the operator itself."""
+    k = F.col("o_orderkey")
+    o = table(spark, folder, "orders").select(
+        F.concat(F.lit("file"), k % 4).alias("file"), (F.floor(k / 4) + 1).alias("ordinal"), "o_orderstatus", "o_orderkey"
     )
-    return a.canary_skip_rate(l, F.col("l_quantity") < 20, "line")
+    return a.canary_skip_rate(o, (F.col("o_orderstatus") != "F") | (k % 4 == 1), "file", "ordinal")
 
 
 @query("top_domains_by_count", """
@@ -114,10 +117,10 @@ def domains_alphabetical(spark, folder):
 
 @query("top_n_array", """
 SELECT source, array_to_string(list_slice(list_sort(list_distinct(list(w))), 1, 20), ' ') AS words FROM (
-  SELECT source, unnest(string_split(split_part(text, chr(10), 1), ' ')) AS w FROM documents) WHERE w <> '' GROUP BY source""")
+  SELECT source, unnest(string_split(""" + sql_redacted("split_part(text, chr(10), 1)") + """, ' ')) AS w FROM documents) WHERE w <> '' GROUP BY source""")
 def top_n_array(spark, folder):
     d = table(spark, folder, "documents")
-    w = d.select("source", F.explode(F.split(text.first_line(F.col("text")), " ", -1)).alias("w"))
+    w = d.select("source", F.explode(F.split(redact(text.first_line(F.col("text"))), " ", -1)).alias("w"))
     return a.first_names(w, "source", "w").select("source", F.array_join("names", " ").alias("words"))
 
 
@@ -161,8 +164,8 @@ def _score(weights):
     return lambda spark, folder: jobs.score_hosts(v.host_counts(spark, folder), "host_id", "kind", "n", weights)
 
 
-for _name, _weights in [("a", rules.RISK_WEIGHTS_A), ("b", rules.RISK_WEIGHTS_B), ("c", rules.RISK_WEIGHTS_C)]:
-    query(f"risk_score_{_name}", _score_sql(_weights))(_score(_weights))
+for _name, _weights in [("risk_score", rules.RISK_WEIGHTS_A), ("risk_score_b", rules.RISK_WEIGHTS_B), ("risk_score_c", rules.RISK_WEIGHTS_C)]:
+    query(_name, _score_sql(_weights))(_score(_weights))
 
 
 @query("rows_per_table", "SELECT event_type AS table_name, count(*) AS n FROM events GROUP BY event_type")

@@ -131,19 +131,19 @@ def nested_filter(spark, folder):
     return d.filter(hit).select("doc_id")
 
 
-@query("term_query", "SELECT doc_id, source FROM documents WHERE lang = 'fr'")
+@query("term", "SELECT doc_id, source FROM documents WHERE lang = 'fr'")
 def term_query(spark, folder):
     return table(spark, folder, "documents").filter(f.term_query(F.col("lang"), "fr")).select("doc_id", "source")
 
 
-@query("match_query", """
+@query("match", """
 SELECT doc_id FROM documents WHERE list_has_any(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), ['license', 'lizenz', 'apache'])""")
 def match_query(spark, folder):
     d = table(spark, folder, "documents")
     return d.filter(f.match_query(F.col("text"), "License lizenz APACHE")).select("doc_id")
 
 
-@query("range_query", "SELECT o_orderkey FROM orders WHERE o_totalprice BETWEEN 100000 AND 150000")
+@query("range", "SELECT o_orderkey FROM orders WHERE o_totalprice BETWEEN 100000 AND 150000")
 def range_query(spark, folder):
     return table(spark, folder, "orders").filter(f.range_query(F.col("o_totalprice"), 100000, 150000)).select("o_orderkey")
 

@@ -90,13 +90,14 @@ def learn_aliases(spark, folder):
 
 @query("schema_catalog", f"""
 WITH {HEADS}, s AS (SELECT o_orderkey, line, {_sniff('line')} AS d FROM heads)
-SELECT o_orderkey, d AS delimiter, '_flat' AS table_name, array_to_string(list_transform(string_split(line, d), lambda x: trim(x, '"')), '/') AS columns,
-       len(string_split(line, d)) AS n_columns FROM s""")
+SELECT o_orderkey, d AS delimiter, '_flat' AS table_name, len(string_split(line, d)) AS n_columns, o_orderkey % 4 IN (1, 2) AS headerless,
+       array_to_string(CASE WHEN o_orderkey % 4 IN (1, 2) THEN list_transform(range(len(string_split(line, d))), lambda i: CAST(i AS VARCHAR))
+                            ELSE list_transform(string_split(line, d), lambda x: trim(x, '"')) END, '/') AS columns FROM s""")
 def schema_catalog(spark, folder):
     c = inf.schema_catalog(_head_lines(spark, folder), "o_orderkey", "line").select("*", F.inline("tables"))
     return c.select(
         "o_orderkey", "delimiter", "table_name", F.array_join("columns", "/").alias("columns"),
-        F.col("n_columns").cast("long").alias("n_columns"),
+        F.col("n_columns").cast("long").alias("n_columns"), "headerless",
     )
 
 
@@ -116,11 +117,12 @@ UNION ALL SELECT 'word', 'text' UNION ALL SELECT 'props', 'json'""")
 def sample_values(spark, folder):
     """The first hundred rows are the operator's sample."""
     o = table(spark, folder, "orders").select(
-        "o_orderkey", F.when(F.col("o_orderkey") > 2, F.format_string("%.2f", "o_totalprice")).otherwise("n/a").alias("price"),
+        (F.col("o_orderkey") + 1).alias("line"), "o_orderkey",
+        F.when(F.col("o_orderkey") > 2, F.format_string("%.2f", "o_totalprice")).otherwise("n/a").alias("price"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.col("o_orderpriority").alias("word"),
         F.to_json(F.struct("o_custkey")).alias("props"),
     )
-    return inf.sample_shapes(o, "o_orderkey", ["o_orderkey", "price", "day", "word", "props"])
+    return inf.sample_shapes(o, "line", ["o_orderkey", "price", "day", "word", "props"])
 
 
 FILE_RULES = [("^red.*gear", "gears"), ("gear|bolt", "metal"), ("^(small|old) ", "sized"), ("ring$", "rings")]

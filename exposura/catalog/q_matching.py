@@ -130,17 +130,17 @@ def flag_report(spark, folder):
     return jobs.flag_report(v.threads(spark, folder), "doc_id", v.KEYWORDS)
 
 
-@query("passage_matches", """
+@query("keyword_table", """
 SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(lower(d.text), lower(b.text))""")
-def passage_matches(spark, folder):
-    """keyword_flag with a phrase table in place of a word list."""
+def keyword_table(spark, folder):
+    """keyword_flag with a table of phrases in place of a word list."""
     d, b = table(spark, folder, "documents"), table(spark, folder, "benchmark")
     return joins.contains_matches(d, "doc_id", "text", b.withColumnRenamed("text", "phrase"), "item_id", "phrase")
 
 
-@query("passage_matches_by_grams", """
+@query("keyword_table_by_grams", """
 SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(lower(d.text), lower(b.text))""")
-def passage_matches_by_grams(spark, folder):
+def keyword_table_by_grams(spark, folder):
     """The same for a phrase table too large to be held as literals."""
     d, b = table(spark, folder, "documents"), table(spark, folder, "benchmark")
     return joins.contains_by_grams(d, "doc_id", "text", b.withColumnRenamed("text", "phrase"), "item_id", "phrase")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from exposura import rules
 from exposura.catalog import views as v
-from exposura.catalog.base import q, query
+from exposura.catalog.base import q, query, sql_redacted
 from exposura.catalog.q_joins import EXPOSURE, exposure
 from exposura.plans import jobs
 from exposura.sources.readers import table
@@ -33,15 +33,9 @@ def pii_scan(spark, folder):
     return jobs.pii_scan(table(spark, folder, "documents"), "doc_id", "text")
 
 
-def _redacted(x: str) -> str:
-    for kind, pattern in rules.SENSITIVE:
-        x = f"regexp_replace({x}, {q(pattern)}, '[{kind}]', 'g')"
-    return x
-
-
 @query("redact", f"""
 SELECT doc_id, length(t) AS n_chars, md5(t) AS text_hash, len(regexp_extract_all(t, '\\[(EMAIL|KEY|PHONE|CARD|IP)\\]')) AS n_masked
-FROM (SELECT doc_id, {_redacted('text')} AS t FROM documents)""")
+FROM (SELECT doc_id, {sql_redacted('text')} AS t FROM documents)""")
 def redact(spark, folder):
     d = jobs.redact(table(spark, folder, "documents").select("doc_id", "text"), "text")
     return d.select(

@@ -129,15 +129,15 @@ def read_text_lines(spark, folder):
     return l.select("doc_id", "line_number", F.md5("line").alias("line_hash"))
 
 
-@query("read_messages", f"WITH {v.MESSAGES} SELECT channel, message_id, username, views, CASE WHEN channel >= 50 THEN views END AS forwards FROM messages WHERE channel <> 7")
+@query("read_messages", f"WITH {v.MESSAGES} SELECT channel, message_id, username, views, CASE WHEN channel % 2 = 1 THEN views END AS forwards FROM messages WHERE channel <> 7")
 def read_messages(spark, folder):
-    """A store partitioned by channel, its later half written with one more column."""
+    """A store partitioned by channel, its odd channels written with one more column."""
     path = scratch_path(spark, "messages")
     m = v.messages(spark, folder).select("channel", "message_id", "username", "views").filter("channel <> 7")
-    m.filter("channel < 50").write.partitionBy("channel").parquet(path)
-    later = m.filter("channel >= 50").withColumn("forwards", F.col("views"))
+    m.filter("channel % 2 = 0").write.partitionBy("channel").parquet(path)
+    later = m.filter("channel % 2 = 1").withColumn("forwards", F.col("views"))
     later.write.mode("append").partitionBy("channel").parquet(path)
-    stored = r.read_messages(spark, path)
+    stored = r.read_messages(spark, path, merge_schema=True)
     return stored.select(F.col("channel").cast("long").alias("channel"), "message_id", "username", "views", "forwards")
 
 
@@ -186,7 +186,7 @@ def scan_batch_dir(spark, folder):
 
 @query("detect_encoding", """
 SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'utf-8-sig' WHEN doc_id % 4 = 1 THEN 'utf-16'
-  WHEN doc_id % 4 = 2 AND regexp_matches(text, '[à-ÿ]') THEN 'cp1252' ELSE 'utf-8' END AS encoding
+  WHEN doc_id % 4 = 2 AND regexp_matches(text, '[à-ÿ]') THEN 'cp1256' ELSE 'utf-8' END AS encoding
 FROM documents""")
 def detect_encoding(spark, folder):
     k = F.col("doc_id") % 4

@@ -69,9 +69,7 @@ WITH m AS (SELECT user_id, event_id, sum(CASE WHEN event_type = 'signup' THEN 1
 SELECT user_id, CAST(block_id AS BIGINT) AS block_id, count(*) AS n, min(event_id) AS first_event FROM m GROUP BY 1, 2""")
 def forward_fill_block(spark, folder):
     e = table(spark, folder, "events").select("user_id", "event_id", "ts", "event_type")
-    numbered = w.block_numbers(
-        e, "user_id", ["ts", "event_id"], F.col("event_type") == "signup", F.date_trunc("DAY", "ts")
-    )
+    numbered = w.block_numbers(e, "user_id", ["ts", "event_id"], F.col("event_type") == "signup")
     return numbered.groupBy("user_id", "block_id").agg(F.count("*").alias("n"), F.min("event_id").alias("first_event"))
 
 

@@ -110,14 +110,24 @@ def host_of(c: Column) -> Column:
 
 
 def registered_domain(c: Column, suffixes: list[str]) -> Column:
-    """Public suffix plus one label, or "" when no listed suffix matches.
+    """Longest listed public suffix plus one label, or "" when none is listed.
 
-    The suffix list is compiled into one alternation, longest first, so that
-    the rule runs as an expression and needs no join.
+    Each ending of the host is looked up in the list as a hashed set, from the
+    longest down, so a list of thousands costs a few lookups and no join.
     """
-    ordered = sorted(suffixes, key=lambda s: (-s.count("."), -len(s), s))
-    alternatives = "|".join(s.replace(".", r"\.") for s in ordered)
-    return F.regexp_extract(host_of(c), rf"([^.]+\.(?:{alternatives}))$", 1)
+    by_labels: dict[int, list[str]] = {}
+    for suffix in suffixes:
+        by_labels.setdefault(suffix.count(".") + 1, []).append(suffix.lower())
+
+    def longest(labels: Column) -> Column:
+        tests = []
+        for k in sorted(by_labels, reverse=True):
+            ending = F.array_join(F.slice(labels, -k, k), ".")
+            listed = (F.size(labels) > k) & ending.isin(by_labels[k])
+            tests.append((listed, F.array_join(F.slice(labels, -(k + 1), k + 1), ".")))
+        return first_rule(tests, F.lit(""))
+
+    return bind(F.split(host_of(c), "[.]", -1), longest)
 
 
 def abs_url(href: Column, root: Column) -> Column:

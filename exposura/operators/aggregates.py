@@ -74,11 +74,18 @@ def skip_rate(df: DataFrame, skipped: Column) -> DataFrame:
 
 
 def canary_skip_rate(
-    df: DataFrame, skipped: Column, line: str, n: int = 20000, threshold: float = 0.60
+    df: DataFrame, skipped: Column, source: str, ordinal: str, n: int = 20000, threshold: float = 0.60
 ) -> DataFrame:
-    """Rate over the first n rows, and whether it asks for a second schema."""
-    probe = df.select(F.col(line), skipped.alias("_skipped")).orderBy(line).limit(n)
-    return skip_rate(probe, F.col("_skipped")).withColumn("second_schema", F.col("rate") > threshold)
+    """Per file, the rate over its first n rows and whether it asks for a second schema.
+
+    The ordinal counts the rows of a file from 1, so the probe is a filter that
+    reaches the scan, and neither a sort nor a limit.
+    """
+    rates = df.filter(F.col(ordinal) <= n).groupBy(source).agg(
+        F.count("*").alias("parsed"), F.count_if(skipped).alias("skipped")
+    )
+    rate = values.skip_rate(F.col("skipped"), F.col("parsed"))
+    return rates.withColumn("rate", rate).withColumn("second_schema", F.col("rate") > threshold)
 
 
 def top_by_count(df: DataFrame, key: str, n: int = 20) -> DataFrame:

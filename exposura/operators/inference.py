@@ -81,12 +81,18 @@ def learn_aliases(existing: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def schema_catalog(files: DataFrame, key: str, header: str) -> DataFrame:
-    """Per file its delimiter and columns, as one nested value read off the header line."""
+    """Per file its delimiter and columns, as one nested value read off the first line.
+
+    Where the first line is data its columns are named "0", "1", ..., and no value
+    of it is kept.
+    """
     sniffed = files.select(key, F.col(header).alias("_line"), sniff_delimiter(F.col(header)).alias("delimiter"))
     read = sniffed.select(
-        key, "delimiter", header_tokens(F.col("_line"), F.col("delimiter")).alias("_columns"),
+        key, "delimiter", header_tokens(F.col("_line"), F.col("delimiter")).alias("_tokens"),
         is_headerless(F.col("_line"), F.col("delimiter")).alias("_headerless"),
     )
+    ordinals = F.transform("_tokens", lambda t, i: i.cast("string"))
+    read = read.withColumn("_columns", F.when(F.col("_headerless"), ordinals).otherwise(F.col("_tokens")))
     table = F.struct(
         F.lit("_flat").alias("table_name"),
         F.col("_columns").alias("columns"),
@@ -106,18 +112,21 @@ def ambiguous_names(columns: Column) -> Column:
     return F.exists(columns, lambda c: c.rlike("^[0-9]+$") | F.lower(c).startswith("col_"))
 
 
-def sample_shapes(df: DataFrame, order: str, columns: list[str], rows: int = 100) -> DataFrame:
-    """(column_name, shape) of the first value in the sample that is not a placeholder."""
-    sample = df.select(order, *columns).orderBy(order).limit(rows)
+def sample_shapes(df: DataFrame, ordinal: str, columns: list[str], rows: int = 100) -> DataFrame:
+    """(column_name, shape) of the first value in the sample that is not a placeholder.
+
+    The sample is the rows whose ordinal, counted from 1, is at most the given number.
+    """
     pairs = F.array(
         *[
             F.struct(F.lit(c).alias("column_name"), sensitive.value_shape(F.col(c).cast("string")).alias("shape"))
             for c in columns
         ]
     )
-    long = sample.select(order, F.explode(pairs).alias("p")).select(order, "p.column_name", "p.shape")
+    sample = df.filter(F.col(ordinal) <= rows)
+    long = sample.select(ordinal, F.explode(pairs).alias("p")).select(ordinal, "p.column_name", "p.shape")
     return long.groupBy("column_name").agg(
-        F.min_by("shape", F.when(F.col("shape").isNotNull(), F.col(order))).alias("shape")
+        F.min_by("shape", F.when(F.col("shape").isNotNull(), F.col(ordinal))).alias("shape")
     )
 
 

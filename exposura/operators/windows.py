@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
+from exposura.session import scratch_path
+
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str], cols: list[str]) -> DataFrame:
     """The row with the highest order of every key.
@@ -41,25 +43,28 @@ def tail_n(df: DataFrame, order: str, keep: Column, n: int = 100, last: int = 50
     return recent.filter(keep).orderBy(F.desc(order)).limit(n)
 
 
-def block_numbers(
-    df: DataFrame, key: str, order: list[str], start: Column, chunk: Column, out: str = "block_id"
-) -> DataFrame:
-    """Rows numbered by block, a block running from one start row to the next.
+def block_numbers(df: DataFrame, key: str, order: list[str], start: Column, out: str = "block_id") -> DataFrame:
+    """Rows numbered by block, a block running from one start row of its key to the next.
 
-    The running count is taken in two steps so that no task holds a whole key:
-    within chunks (consecutive ranges of the order, such as hours), and over the
-    per-chunk totals, of which there are few. Rows before the first start get 0.
+    Rows before the first start get 0. The running count is taken in two steps, so
+    that no task holds a whole key: the rows are placed in ranges of (key, order),
+    which are of similar size however hot a key is, counted within their range,
+    and raised by what the earlier ranges of the key hold. The placed rows are
+    written to the shared folder, since both steps must see the same ranges.
     """
-    marked = df.withColumn("_start", start.cast("int")).withColumn("_chunk", chunk)
-    totals = marked.groupBy(key, "_chunk").agg(F.sum("_start").alias("_sum"))
-    before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        F.col(key), F.col("_chunk"), F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset")
-    )
-    inside = Window.partitionBy(key, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = marked.withColumn("_local", F.sum("_start").over(inside))
+    spark = df.sparkSession
+    placed = df.withColumn("_start", start.cast("int")).repartitionByRange(key, *order)
+    path = scratch_path(spark, "ranges")
+    placed.withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    ranged = spark.read.parquet(path)
+
+    totals = ranged.groupBy(key, "_range").agg(F.sum("_start").alias("_sum"))
+    earlier = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(key, "_range", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy(key, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.withColumn("_local", F.sum("_start").over(inside))
     return (
-        local.join(offsets, [key, "_chunk"])
+        local.join(offsets, [key, "_range"])
         .withColumn(out, (F.col("_local") + F.col("_offset")).cast("long"))
-        .drop("_start", "_chunk", "_local", "_offset")
+        .drop("_start", "_range", "_local", "_offset")
     )

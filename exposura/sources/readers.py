@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from exposura import rules
 from exposura.functions import files, text
@@ -129,11 +129,17 @@ def read_text_lines(df: DataFrame, key: str, column: str) -> DataFrame:
     return exploded.select(key, "l.line_number", "l.line")
 
 
-def read_messages(spark: SparkSession, path: str, channels: str | list = "all") -> DataFrame:
-    """Message store partitioned by channel; stores written under older schemas are merged."""
+def read_messages(
+    spark: SparkSession, path: str, channels: str | list = "all", merge_schema: bool = False
+) -> DataFrame:
+    """Message store partitioned by channel; other channels' folders are not listed into the scan.
+
+    Merging the schemas of stores written under older ones reads every footer, so
+    it is asked for only when a column was added.
+    """
     from exposura.operators.filters import select_channels
 
-    return spark.read.option("mergeSchema", True).parquet(path).filter(select_channels(channels))
+    return spark.read.option("mergeSchema", merge_schema).parquet(path).filter(select_channels(channels))
 
 
 def read_forums(df: DataFrame, active_only: bool = False) -> DataFrame:
@@ -179,24 +185,24 @@ def scan_batch_dir(spark: SparkSession, root: str, pattern: str = "*") -> DataFr
     return found.filter(~name.rlike(r"^[.~]") & ~name.endswith("~")).select("path", F.col("length").alias("size"))
 
 
-def detect_encoding(content, head: int = 65536):
-    """Name of the encoding: byte order mark, then UTF-8, else a single-byte page.
+def detect_encoding(content: Column, head: int = 65536) -> Column:
+    """Name of the encoding: byte order mark, then UTF-8, else cp1256.
 
+    cp1256 gives every byte a meaning, so no further candidate can be reached.
     Works on the head of the file, which is what the probe is for; a sequence cut
     by the probe's end does not count against UTF-8.
     """
     probe = F.substring(content, 1, head)
     mark = F.hex(F.substring(content, 1, 3))
-    valid = F.lit(False)
-    for cut in range(4):
-        valid = valid | F.is_valid_utf8(F.substring(probe, 1, F.greatest(F.octet_length(probe) - cut, F.lit(0))))
-    undefined_1252 = F.hex(probe).rlike("^(?:..)*(?:81|8D|8F|90|9D)")
+    valid = F.is_valid_utf8(probe)
+    for cut in (1, 2, 3):
+        shorter = F.substring(content, 1, head - cut)
+        valid = valid | ((F.octet_length(content) > head) & F.is_valid_utf8(shorter))
     return (
         F.when(mark.startswith("EFBBBF"), "utf-8-sig")
         .when(mark.startswith("FFFE") | mark.startswith("FEFF"), "utf-16")
         .when(valid, "utf-8")
-        .when(undefined_1252, "cp1256")
-        .otherwise("cp1252")
+        .otherwise("cp1256")
     )
 
 
