@@ -159,7 +159,7 @@ def table_filter(spark, folder):
 
 S = strip("line")
 BANNER = (
-    f"({S} = '' OR regexp_matches({S}, {q(rules.DECORATIVE_LINE)}) OR regexp_matches({S}, {q(rules.COMMENT_LINE)})"
+    f"({S} = '' OR regexp_matches({S}, {q(rules.DECORATIVE_LINE)}) OR regexp_matches({S}, '^(#|//|--|/\\*|\\*|;)')"
     f" OR {like_any(f'lower({S})', rules.BANNER_KEYWORDS + ['licensed under'])} OR regexp_matches({S}, '(?i)^https?://[^:\\t ]*$'))"
 )
 SYM = f"(length({S}) > 10 AND (length({S}) - length({sub(S, rules.SYMBOL_CLASS, '')})) / length({S}) > 0.8)"

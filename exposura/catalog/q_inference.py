@@ -94,10 +94,11 @@ SELECT o_orderkey, d AS delimiter, '_flat' AS table_name, len(string_split(line,
        array_to_string(CASE WHEN o_orderkey % 4 IN (1, 2) THEN list_transform(range(len(string_split(line, d))), lambda i: CAST(i AS VARCHAR))
                             ELSE list_transform(string_split(line, d), lambda x: trim(x, '"')) END, '/') AS columns FROM s""")
 def schema_catalog(spark, folder):
-    c = inf.schema_catalog(_head_lines(spark, folder), "o_orderkey", "line").select("*", F.inline("tables"))
+    c = inf.schema_catalog(_head_lines(spark, folder), "o_orderkey", "line")
+    one = F.get("tables", F.lit(0))
     return c.select(
-        "o_orderkey", "delimiter", "table_name", F.array_join("columns", "/").alias("columns"),
-        F.col("n_columns").cast("long").alias("n_columns"), "headerless",
+        "o_orderkey", "delimiter", one["table_name"].alias("table_name"), F.array_join(one["columns"], "/").alias("columns"),
+        one["n_columns"].cast("long").alias("n_columns"), one["headerless"].alias("headerless"),
     )
 
 

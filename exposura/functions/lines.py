@@ -6,6 +6,9 @@ corpus needs no shuffle whatever the number of lines.
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
 from exposura import rules
@@ -13,23 +16,36 @@ from exposura.functions.text import bind, contains_any, strip, symbol_ratio
 
 
 def split_lines(c: Column) -> Column:
-    return F.split(c, "\r?\n", -1)
+    return F.split(F.replace(c, F.lit("\r\n"), F.lit("\n")), "\n", -1)
 
 
 def is_banner(line: Column) -> Column:
-    """Blank, decorative, comment, promotional or a lone address."""
-    return bind(
-        strip(line),
-        lambda s: (s == "")
-        | s.rlike(rules.DECORATIVE_LINE)
-        | s.rlike(rules.COMMENT_LINE)
-        | s.rlike(rules.LONE_URL_LINE)
-        | contains_any(s, rules.BANNER_KEYWORDS),
-    )
+    """Blank, decorative, comment, promotional or a lone address.
+
+    Patterns tied to the start of a line are tried only where its first
+    characters allow them.
+    """
+
+    def verdict(s: Column) -> Column:
+        decorative = F.left(s, F.lit(1)).rlike(rules.DECORATIVE_LINE) & s.rlike(rules.DECORATIVE_LINE)
+        comment = reduce(lambda a, b: a | b, [s.startswith(x) for x in rules.COMMENT_STARTS])
+        lone = F.left(s, F.lit(4)).rlike("(?i)http") & s.rlike(rules.LONE_URL_LINE)
+        return (s == "") | decorative | comment | lone | contains_any(s, rules.BANNER_KEYWORDS)
+
+    return bind(strip(line), verdict)
 
 
 def is_symbol_line(line: Column, ratio: float = 0.8) -> Column:
-    return bind(strip(line), lambda s: (F.length(s) > 10) & (symbol_ratio(s) > ratio))
+    """Over ten characters, and a higher share of symbols than the ratio.
+
+    So many symbols cannot be spread without some standing side by side; lines
+    without such a run are settled by a search and need no count.
+    """
+    run = math.ceil(11 * ratio / (11 * (1 - ratio) + 1))
+    crowded = f"{rules.SYMBOL_CLASS}{{{max(1, run)}}}"
+    return bind(
+        strip(line), lambda s: (F.length(s) > 10) & s.rlike(crowded) & (symbol_ratio(s) > ratio)
+    )
 
 
 def _keep(c: Column, test) -> Column:

@@ -33,14 +33,21 @@ def secret_kind(c: Column, kinds: list[tuple[str, str]] = rules.SECRET_KINDS) ->
     return out.otherwise("plaintext")
 
 
-# A character every match holds; texts without it skip the pattern.
-_GATES = {rules.EMAIL: "@", rules.PHONE: "+"}
+# A cheap test every text with a match passes; the others skip the pattern.
+_GATES = {
+    rules.EMAIL: lambda c: c.contains("@"),
+    rules.PHONE: lambda c: c.contains("+"),
+    rules.IPV4: lambda c: c.rlike(r"[0-9]\.[0-9]"),
+    rules.CARD: lambda c: c.rlike("[0-9]{4}[ -]?[0-9]{4}"),
+    rules.KEY: lambda c: c.contains("AKIA") | c.contains("ghp_") | c.rlike("[A-Fa-f0-9]{32}"),
+}
 
 
 def tokens(c: Column, pattern: str) -> Column:
     found = F.regexp_extract_all(c, F.lit(pattern), F.lit(0))
     if pattern in _GATES:
-        return F.when(c.contains(_GATES[pattern]), found).when(c.isNotNull(), F.array().cast("array<string>"))
+        none = F.when(c.isNotNull(), F.array().cast("array<string>"))
+        return F.when(_GATES[pattern](c), found).otherwise(none)
     return found
 
 
@@ -72,7 +79,10 @@ def pii_counts(c: Column) -> dict[str, Column]:
 def redact(c: Column) -> Column:
     """Every sensitive token replaced by its kind, whole text."""
     for kind, pattern in rules.SENSITIVE:
-        c = F.regexp_replace(c, pattern, f"[{kind}]")
+        c = bind(
+            c,
+            lambda x: F.when(_GATES[pattern](x), F.regexp_replace(x, pattern, f"[{kind}]")).otherwise(x),
+        )
     return c
 
 

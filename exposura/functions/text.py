@@ -9,9 +9,12 @@ from pyspark.sql import Column, functions as F
 from exposura import rules
 
 
+WHITE_SPACE = " \t\n\r\f\x0b"
+
+
 def strip(c: Column) -> Column:
     """Trim every kind of white space, not only blanks."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def blank_to_null(c: Column) -> Column:

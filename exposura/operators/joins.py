@@ -14,6 +14,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from exposura.functions import text
 
 LITERAL_RULES = 1000
+# From this many phrases on, one pass over the grams of a text costs less than a
+# search per phrase, provided the grams are long enough to be rare.
+GRAM_RULES = 64
+GRAM_LENGTH = 8
 
 
 def new_only(src: DataFrame, done: DataFrame, key: str) -> DataFrame:
@@ -73,7 +77,9 @@ def contains_matches(
 ) -> DataFrame:
     """(id, rule id) for every phrase that is a substring of the text, ignoring case."""
     rows = small_rules(rules_df.select(rule_id, phrase).filter(F.length(phrase) > 0), limit)
-    if rows is not None:
+    if rows is not None and (
+        len(rows) < GRAM_RULES or min(len(r[1]) for r in rows) < 2 * GRAM_LENGTH - 1
+    ):
         return _contains_literals(df, id_col, text_col, rows, rules_df, rule_id)
     return contains_by_grams(df, id_col, text_col, rules_df, rule_id, phrase)
 

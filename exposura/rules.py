@@ -22,7 +22,7 @@ BANNER_KEYWORDS = [
     "generated by", "thread link", "forum link", "visit our", "created by",
 ]
 DECORATIVE_LINE = r"^[=\-_+*#/\\~@%|>< ]+$"
-COMMENT_LINE = r"^(#|//|--|/\*|\*|;)"
+COMMENT_STARTS = ["#", "//", "--", "/*", "*", ";"]
 LONE_URL_LINE = r"^(?i)https?://[^:\t ]*$"
 SKIP_WORDS = ["author", "t.me/", "returned", "time:", "Deleted message"]
 HEADER_ROW = r"(?i)url,email|url,username|url,password"
