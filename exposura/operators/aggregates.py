@@ -15,17 +15,20 @@ def count_where(pred: Column) -> Column:
 
 
 def overall_stats(threads: DataFrame, forums: DataFrame, flagged: DataFrame, runs: DataFrame) -> DataFrame:
-    """One row of totals; each total is a scalar subquery over its own table."""
-    base = threads.agg(F.count("*").alias("total_threads"))
-    last = runs.agg(F.max("started_at").alias("t"))
-    running = runs.agg(F.max(F.col("status") == "running").alias("r"))
-    return base.select(
+    """One row of totals; each table is read once, by a scalar subquery of its own."""
+    flags = flagged.agg(
+        F.struct(F.count("*").alias("n"), F.count_if(~F.col("reviewed")).alias("open")).alias("s")
+    ).scalar()
+    crawls = runs.agg(
+        F.struct(F.max("started_at").alias("last"), F.max(F.col("status") == "running").alias("running")).alias("s")
+    ).scalar()
+    return threads.agg(F.count("*").alias("total_threads")).select(
         "total_threads",
         forums.filter("is_active").agg(F.count("*")).scalar().alias("active_forums"),
-        flagged.agg(F.count("*")).scalar().alias("total_flagged"),
-        flagged.agg(F.count_if(~F.col("reviewed"))).scalar().alias("unreviewed"),
-        last.scalar().alias("last_run"),
-        running.scalar().alias("any_running"),
+        flags["n"].alias("total_flagged"),
+        flags["open"].alias("unreviewed"),
+        crawls["last"].alias("last_run"),
+        crawls["running"].alias("any_running"),
     )
 
 

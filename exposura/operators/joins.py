@@ -1,10 +1,10 @@
 """Lookups as set-based joins.
 
-No join here is forced to broadcast: the optimizer broadcasts a side whose
-measured size is below spark.sql.autoBroadcastJoinThreshold and shuffles it,
-with skew handling, beyond that. Rule tables matched by substring go into the
-expression as literals while they are below a checked number of rows, and
-through an equi-join on character grams beyond it.
+Joins on keys are left to the optimizer, which broadcasts a side whose size is
+below spark.sql.autoBroadcastJoinThreshold and shuffles it, with skew handling,
+beyond that. Rule tables matched by substring go into the expression as literals
+while they are below a checked number of rows, and through an equi-join on
+character grams beyond it; there a side is broadcast only once it was counted.
 """
 
 from __future__ import annotations
@@ -12,12 +12,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from exposura.functions import text
+from exposura.session import scratch_path
 
 LITERAL_RULES = 1000
 # From this many phrases on, one pass over the grams of a text costs less than a
 # search per phrase, provided the grams are long enough to be rare.
 GRAM_RULES = 64
 GRAM_LENGTH = 8
+# Rows of a side that is sent to every executor, once it has been counted.
+SENT_ROWS = 100_000
 
 
 def new_only(src: DataFrame, done: DataFrame, key: str) -> DataFrame:
@@ -107,21 +110,33 @@ def contains_by_grams(
     first q grams. Whatever the offset of an occurrence, one of those grams falls
     on a cut of the text, so no match is lost. The candidates are then checked
     against the whole text.
+
+    The candidates are written to the shared folder and counted: while they are
+    few they are sent to the texts, beyond that both sides are shuffled by id.
     """
+    spark = df.sparkSession
     low = df.select(id_col, F.lower(F.col(text_col)).alias("_low"))
     phrases = rules_df.select(rule_id, F.lower(F.col(phrase)).alias("_phrase")).filter(
         F.length("_phrase") > 0
     )
-    shortest = phrases.agg(F.min(F.length("_phrase"))).first()[0] or 1
-    q = min(12, (shortest + 1) // 2)
+    shortest, n_phrases = phrases.agg(F.min(F.length("_phrase")), F.count("*")).first()
+    q = min(12, ((shortest or 1) + 1) // 2)
     grams = F.array_distinct(F.regexp_extract_all("_low", F.lit(f"(?s).{{{q}}}"), F.lit(0)))
     text_grams = low.select(id_col, F.explode(grams).alias("_gram"))
     heads = F.array_distinct(
         F.array(*[F.substr(F.col("_phrase"), F.lit(i + 1), F.lit(q)) for i in range(q)])
     )
     rule_grams = phrases.select(rule_id, F.explode(heads).alias("_gram"))
-    candidates = text_grams.join(rule_grams, "_gram").select(id_col, rule_id).distinct()
-    checked = candidates.join(phrases, rule_id).join(low, id_col)
+    if n_phrases * q <= SENT_ROWS:
+        rule_grams = F.broadcast(rule_grams)
+
+    path = scratch_path(spark, "candidates")
+    text_grams.join(rule_grams, "_gram").select(id_col, rule_id).distinct().write.parquet(path)
+    candidates = spark.read.parquet(path)
+    pairs = candidates.join(phrases, rule_id)
+    if candidates.count() <= SENT_ROWS:
+        pairs = F.broadcast(pairs)
+    checked = low.join(pairs, id_col)
     return checked.filter(F.col("_low").contains(F.col("_phrase"))).select(id_col, rule_id)
 
 

@@ -13,11 +13,22 @@ def flag_incremental(
     threads: DataFrame, flagged: DataFrame, keywords: list[str] = rules.KEYWORDS,
     flagged_at: Column | None = None,
 ) -> DataFrame:
-    """Threads with a hash, not flagged before, with at least one keyword."""
-    candidates = joins.new_only(threads.filter(F.col("dedup_hash").isNotNull()), flagged, "dedup_hash")
-    hits = dedup.keyword_flagged(candidates, "title", "content", keywords)
+    """Threads with a hash, not flagged before, with at least one keyword.
+
+    The keywords are matched where the texts are read, so that only flagged rows,
+    with the columns the caller goes on to use, are shuffled to meet the earlier
+    flags. A left join says so where an anti join would be moved below the match
+    and shuffle every text.
+    """
+    hits = dedup.keyword_flagged(
+        threads.filter(F.col("dedup_hash").isNotNull()), "title", "content", keywords
+    )
+    known = flagged.select("dedup_hash").distinct().withColumn("_known", F.lit(True))
     return (
-        hits.withColumn("flagged_at", flagged_at if flagged_at is not None else F.current_timestamp())
+        hits.join(known, "dedup_hash", "left")
+        .filter(F.col("_known").isNull())
+        .drop("_known")
+        .withColumn("flagged_at", flagged_at if flagged_at is not None else F.current_timestamp())
         .withColumn("reviewed", F.lit(False))
     )
 

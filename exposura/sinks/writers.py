@@ -10,13 +10,24 @@ from exposura import rules
 def write_index(df: DataFrame, path: str, mode: str = "append", partition_by: list[str] | None = None) -> dict:
     """Rows to a parquet table; returns the number written, observed on the way."""
     seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("written")).write.mode(mode)
+    counted = df.observe(seen, F.count(F.lit(1)).alias("written"))
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        _balanced(counted, partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
+    else:
+        counted.write.mode(mode).parquet(path)
     return seen.get
 
 
+def _balanced(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of one output partition side by side, in pieces of the advisory size.
+
+    A rebalance rather than a repartition: a hot partition is split over tasks
+    and small ones share a task, so that neither one huge nor countless tiny files
+    are written.
+    """
+    return df.hint("rebalance", *columns)
+
+
 def upsert_index(df: DataFrame, base: DataFrame, path: str, key: list[str], order: list[str]) -> None:
     """New version of a table at a new path: same key overwrites, newest wins."""
     from exposura.operators.dedup import upsert
@@ -34,7 +45,7 @@ def route_by_table(df: DataFrame, column: str, routes: dict[str, str] = rules.TA
 
 
 def write_routed(df: DataFrame, path: str) -> None:
-    df.write.mode("append").partitionBy("route").parquet(path)
+    _balanced(df, ["route"]).write.mode("append").partitionBy("route").parquet(path)
 
 
 def patch_status(df: DataFrame, updates: DataFrame, key: str) -> DataFrame:

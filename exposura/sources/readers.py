@@ -92,17 +92,15 @@ def read_json(spark: SparkSession, path: str | list[str], schema: T.StructType)
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"), text.strip(F.col("value")).alias("line")
     )
-    opening = lines.filter(F.col("line").isin("[", "{") | F.col("line").rlike(r"^[\[{].*[,\[{:]$"))
-    whole = opening.select("file").distinct()
-    line_part = lines.join(whole, "file", "left_anti").filter(
-        (F.col("line") != "") & ~F.col("line").rlike("^(#|//)")
-    )
-    records = _records(line_part, "line", schema)
-    paths = [r.file for r in whole.collect()]
+    opening = F.col("line").isin("[", "{") | F.col("line").rlike(r"^[\[{].*[,\[{:]$")
+    spread = lines.filter(~F.col("file").endswith(".jsonl") & opening).select("file").distinct()
+    paths = [r.file for r in spread.collect()]
+    data = lines.filter((F.col("line") != "") & ~F.col("line").rlike("^(#|//)"))
     if not paths:
-        return records
+        return _records(data, "line", schema)
+    data = data.filter(~F.col("file").isin(paths))
     parsed = spark.read.schema(schema).option("multiLine", True).json(paths)
-    return records.unionByName(parsed)
+    return _records(data, "line", schema).unionByName(parsed)
 
 
 HOST_FIELDS = """
