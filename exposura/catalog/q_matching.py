@@ -144,3 +144,46 @@ def keyword_table_by_grams(spark, folder):
     """The same for a phrase table too large to be held as literals."""
     d, b = table(spark, folder, "documents"), table(spark, folder, "benchmark")
     return joins.contains_by_grams(d, "doc_id", "text", b.withColumnRenamed("text", "phrase"), "item_id", "phrase")
+
+
+@query("ingest_files", f"""
+WITH {v.LINES}, known AS (SELECT sha256(text) AS h FROM documents SEMI JOIN labels USING (doc_id)),
+s AS (SELECT doc_id, {strip('line')} AS line FROM lines
+  WHERE {strip('line')} <> '' AND NOT starts_with({strip('line')}, '#') QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY pos) <= 20),
+m AS (SELECT doc_id, avg(length(line) - length(replace(line, ',', '')) + 1) AS fields,
+  avg(length(replace(line, '://', '')) - length(replace(replace(line, '://', ''), ':', ''))) AS colons FROM s GROUP BY doc_id),
+shapes AS (SELECT doc_id, sha256(text) AS content_hash, strlen(text) AS size, CASE WHEN fields IS NULL THEN 'list' WHEN fields >= 8 THEN 'table'
+    WHEN colons >= 0.8 AND fields < 4 THEN 'list' ELSE 'undecided' END AS shape FROM documents LEFT JOIN m USING (doc_id))
+SELECT content_hash, doc_id, size, shape FROM shapes WHERE content_hash NOT IN (SELECT h FROM known)
+QUALIFY row_number() OVER (PARTITION BY content_hash ORDER BY doc_id) = 1""")
+def ingest_files(spark, folder):
+    """Catalog, dedup against the registry and classification in one job."""
+    d = table(spark, folder, "documents").select("doc_id", "text")
+    known = d.join(table(spark, folder, "labels").select("doc_id"), "doc_id", "left_semi")
+    registry = known.select(files.digest(F.col("text")).alias("sha256"))
+    out = jobs.ingest(d, registry, "doc_id", "text")
+    return out.select(
+        F.col("sha256").alias("content_hash"), "doc_id", F.col("size").cast("long").alias("size"), "shape"
+    )
+
+
+@query("score_by_country", f"""
+WITH {v.HOST_COUNTS}, p AS (SELECT host_id, count(*) FILTER (kind = 'password') AS pw, count(*) FILTER (kind = 'token') AS tk,
+  count(*) FILTER (kind = 'card') AS cd, count(*) FILTER (kind = 'cookie') AS ck, count(*) FILTER (kind = 'autofill') AS af FROM host_counts GROUP BY host_id),
+t AS (SELECT host_id, least(100000, least(30000, pw * 1000) + CASE WHEN tk > 0 THEN 20000 ELSE 0 END + CASE WHEN cd > 0 THEN 10000 ELSE 0 END
+  + least(10000, ck * 10) + least(5000, af * 100)) AS t FROM p),
+s AS (SELECT host_id, t // 1000 + CASE WHEN t % 1000 > 500 OR (t % 1000 = 500 AND (t // 1000) % 2 = 1) THEN 1 ELSE 0 END AS tenths FROM t)
+SELECT n_name AS country_name, count(*) AS n_hosts, max(tenths) / 10.0::DOUBLE AS max_score,
+       CAST(sum(tenths) AS BIGINT) AS score_tenths FROM s JOIN nation ON n_nationkey = host_id % 25 GROUP BY n_name""")
+def score_by_country(spark, folder):
+    """Host counts to scores to a rollup per country."""
+    scores = jobs.score_hosts(v.host_counts(spark, folder), "host_id", "kind", "n")
+    coded = scores.withColumn("code", F.concat(F.lit("n"), (F.col("host_id") % 25).cast("string")))
+    countries = table(spark, folder, "nation").select(
+        F.concat(F.lit("N"), "n_nationkey").alias("country_code"), F.col("n_name").alias("country_name")
+    )
+    named = joins.country_lookup(coded, "code", countries)
+    tenths = F.round(F.col("risk_score") * 10).cast("long")
+    return named.groupBy("country_name").agg(
+        F.count("*").alias("n_hosts"), F.max("risk_score").alias("max_score"), F.sum(tenths).alias("score_tenths")
+    )

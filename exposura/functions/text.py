@@ -233,7 +233,28 @@ def contains_any(c: Column, words: list[str]) -> Column:
 
 
 def _matches(low: Column, words: list[str]) -> Column:
-    return F.array_compact(F.array(*[F.when(low.contains(w.lower()), F.lit(w)) for w in words]))
+    """Words found in the lower-cased text, in list order.
+
+    A word that holds a shorter one of the list ("data leak", "leak") is searched
+    for only in texts that hold the shorter one.
+    """
+    lower = [w.lower() for w in words]
+    inner = [next((i for i, r in enumerate(lower) if r != w and r in w), None) for w in lower]
+    roots = [i for i, r in enumerate(inner) if r is None]
+    while any(r is not None and inner[r] is not None for r in inner):
+        inner = [r if r is None or inner[r] is None else inner[r] for r in inner]
+
+    def listed(found: Column) -> Column:
+        hits = []
+        for i, word in enumerate(words):
+            if inner[i] is None:
+                test = F.get(found, F.lit(roots.index(i)))
+            else:
+                test = F.get(found, F.lit(roots.index(inner[i]))) & low.contains(lower[i])
+            hits.append(F.when(test, F.lit(word)))
+        return F.array_compact(F.array(*hits))
+
+    return bind(F.array(*[low.contains(lower[i]) for i in roots]), listed)
 
 
 def matched_words(c: Column, words: list[str]) -> Column:

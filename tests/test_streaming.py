@@ -80,3 +80,31 @@ def test_high_water(spark):
     marks = spark.createDataFrame([(1, 1), (2, 5)], "ch long, last_id long")
     got = sorted(tuple(r) for r in s.incremental_by_id(df, marks, "ch", "id").collect())
     assert got == [(1, 2), (3, 1)]
+
+
+def test_timed_micro_batches(spark, queue, tmp_path):
+    out = str(tmp_path / "o")
+    stream = s.queue_source(spark, queue, SCHEMA, files_per_trigger=2)
+    writer = stream.writeStream.foreachBatch(s.write_batch(out)).option("checkpointLocation", str(tmp_path / "c"))
+    query = s.micro_batch(writer, seconds=1).start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    stored = spark.read.parquet(out)
+    assert stored.count() == 100
+    assert stored.select("batch_id").distinct().count() == 3
+
+
+def test_late_rows_beyond_the_watermark_are_dropped(spark, tmp_path):
+    path = tmp_path / "q"
+    path.mkdir()
+    batches = ['{"ts": "2024-01-01T00:10:00Z", "k": "a"}', '{"ts": "2024-01-01T05:00:00Z", "k": "a"}',
+               '{"ts": "2024-01-01T00:20:00Z", "k": "a"}', '{"ts": "2024-01-01T05:05:00Z", "k": "a"}']
+    out, checkpoint = str(tmp_path / "o"), str(tmp_path / "c")
+    for i, line in enumerate(batches):
+        (path / f"{i}.json").write_text(line)
+        stream = s.queue_source(spark, str(path), "ts timestamp, k string")
+        s.window_counts(stream, "ts", "k", out, checkpoint)
+    got = s.read_latest(spark, out, ["window_start", "k"], ["n"])
+    assert sorted((r.window_start.hour, r.n) for r in got.collect()) == [(0, 1), (5, 2)]
