@@ -9,6 +9,7 @@ from exposura.catalog import views as v
 from exposura.catalog.base import like_any, q, query, sql_in, sql_list, strip, sub
 from exposura.functions import lines, times
 from exposura.operators import filters as f
+from exposura.operators.joins import content_route as content_route_rows
 from exposura.sources.readers import table
 
 MSG = f"WITH {v.MESSAGES} "
@@ -104,9 +105,9 @@ def advanced_search(spark, folder):
 rules AS (SELECT * FROM (VALUES ('desk', 'text'), ('desk', 'image'), ('archive', 'document'), ('archive', 'text')) t(destination, kind))
 SELECT channel, message_id, destination, kind FROM kinds JOIN rules USING (kind) WHERE kind <> 'text' OR message <> ''""")
 def content_route(spark, folder):
-    m = v.messages(spark, folder).withColumn("kind", f.message_kind())
-    wanted = m.filter((F.col("kind") != "text") | (F.col("message") != ""))
-    return wanted.join(forwarding_rules(spark), "kind").select(*KEY, "destination", "kind")
+    m = v.messages(spark, folder)
+    wanted = m.filter((f.message_kind() != "text") | (F.col("message") != ""))
+    return content_route_rows(wanted, forwarding_rules(spark), f.message_kind()).select(*KEY, "destination", "kind")
 
 
 def forwarding_rules(spark):

@@ -12,6 +12,7 @@ from exposura.catalog import views as v
 from exposura.catalog.base import q, query, sql_in, strip
 from exposura.catalog.q_filters import LOG, run_log
 from exposura.session import scratch_path
+from exposura.sinks.writers import write_messages
 from exposura.sources import readers as r
 
 CUSTOMER = "SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS segment FROM customer"
@@ -131,14 +132,13 @@ def read_text_lines(spark, folder):
 
 @query("read_messages", f"WITH {v.MESSAGES} SELECT channel, message_id, username, views, CASE WHEN channel % 2 = 1 THEN views END AS forwards FROM messages WHERE channel <> 7")
 def read_messages(spark, folder):
-    """A store partitioned by channel, its odd channels written with one more column."""
+    """A message store whose odd channels were written later, with one more column."""
     path = scratch_path(spark, "messages")
     m = v.messages(spark, folder).select("channel", "message_id", "username", "views").filter("channel <> 7")
-    m.filter("channel % 2 = 0").write.partitionBy("channel").parquet(path)
-    later = m.filter("channel % 2 = 1").withColumn("forwards", F.col("views"))
-    later.write.mode("append").partitionBy("channel").parquet(path)
+    write_messages(m.filter("channel % 2 = 0"), path)
+    write_messages(m.filter("channel % 2 = 1").withColumn("forwards", F.col("views")), path)
     stored = r.read_messages(spark, path, merge_schema=True)
-    return stored.select(F.col("channel").cast("long").alias("channel"), "message_id", "username", "views", "forwards")
+    return stored.select("channel", "message_id", "username", "views", "forwards")
 
 
 @query("read_forums", f"WITH {v.FORUMS} SELECT forum, base_url FROM forums WHERE is_active")
@@ -166,7 +166,7 @@ FILE_SIZES = """SELECT source AS parent_directory, CAST(sum(strlen(text) + 1) AS
 def _text_tree(spark, folder, label):
     """documents as text files in one directory per source."""
     path = scratch_path(spark, label)
-    r.table(spark, folder, "documents").select("source", "text").write.partitionBy("source").text(path)
+    r.table(spark, folder, "documents").select("source", "text").hint("rebalance", "source").write.partitionBy("source").text(path)
     return path
 
 

@@ -153,3 +153,24 @@ def taxonomy_label(
     kept = df.filter(~text.contains_any(low, excluded) & ~driver)
     labelled = kept.select(F.col(name).alias("name"), category.alias("category")).distinct()
     return labelled.filter(F.col("category").isNotNull())
+
+
+def content_route(df: DataFrame, rules_df: DataFrame, kind: Column) -> DataFrame:
+    """(.., kind, destination) for every rule (destination, kind) of the row's kind of content.
+
+    There are few kinds, so a join on them would gather the rows in as few tasks.
+    A rule table of checked size becomes literals and every row is routed where it
+    is; a larger one is joined, with adaptive skew handling. Works on streams.
+    """
+    tagged = df.withColumn("kind", kind)
+    rows = small_rules(rules_df.select("destination", "kind"))
+    if rows is None:
+        return tagged.join(rules_df.select("destination", "kind"), "kind")
+    by_kind: dict[str, list[str]] = {}
+    for destination, name in rows:
+        by_kind.setdefault(name, []).append(destination)
+    none = F.lit(None).cast("array<string>")
+    found = text.first_rule(
+        [(kind == name, F.array(*[F.lit(d) for d in where])) for name, where in by_kind.items()], none
+    ) if by_kind else none
+    return tagged.select("*", F.explode(found).alias("destination"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from exposura import rules
+from exposura.sources.readers import channel_bucket
 
 
 def write_index(df: DataFrame, path: str, mode: str = "append", partition_by: list[str] | None = None) -> dict:
@@ -48,6 +49,17 @@ def write_routed(df: DataFrame, path: str) -> None:
     _balanced(df, ["route"]).write.mode("append").partitionBy("route").parquet(path)
 
 
+def write_messages(df: DataFrame, path: str) -> None:
+    """Message store in a fixed number of buckets by channel, sorted by channel within a file.
+
+    Channels grow with the data, so each is no directory of its own; a read of a
+    few channels prunes buckets, then row groups.
+    """
+    bucketed = df.withColumn("bucket", channel_bucket(F.col("channel")))
+    placed = _balanced(bucketed, ["bucket"]).sortWithinPartitions("bucket", "channel")
+    placed.write.mode("append").partitionBy("bucket").parquet(path)
+
+
 def patch_status(df: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     """updates(key, new_status, new_time); rows without one keep their own."""
     joined = df.join(updates, key, "left")

@@ -127,17 +127,28 @@ def read_text_lines(df: DataFrame, key: str, column: str) -> DataFrame:
     return exploded.select(key, "l.line_number", "l.line")
 
 
+MESSAGE_BUCKETS = 64
+
+
+def channel_bucket(channel: Column) -> Column:
+    return F.pmod(F.xxhash64(channel.cast("string")), F.lit(MESSAGE_BUCKETS)).cast("int")
+
+
 def read_messages(
     spark: SparkSession, path: str, channels: str | list = "all", merge_schema: bool = False
 ) -> DataFrame:
-    """Message store partitioned by channel; other channels' folders are not listed into the scan.
+    """Message store as write_messages lays it out; only the buckets of the channels are scanned.
 
-    Merging the schemas of stores written under older ones reads every footer, so
+    Merging the schemas of parts written under older ones reads every footer, so
     it is asked for only when a column was added.
     """
     from exposura.operators.filters import select_channels
 
-    return spark.read.option("mergeSchema", merge_schema).parquet(path).filter(select_channels(channels))
+    stored = spark.read.option("mergeSchema", merge_schema).parquet(path)
+    if channels != "all":
+        wanted = [channel_bucket(F.lit(str(c))) for c in channels]
+        stored = stored.filter(F.col("bucket").isin(*wanted))
+    return stored.filter(select_channels(channels)).drop("bucket")
 
 
 def read_forums(df: DataFrame, active_only: bool = False) -> DataFrame:

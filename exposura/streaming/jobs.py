@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from exposura.functions import text, values
+from exposura.operators.joins import content_route
 from exposura.operators.windows import latest_per_key
 
 
@@ -140,8 +141,8 @@ def stream_normalize_dict(stream: DataFrame, payload: str, fields: dict[str, str
 
 
 def stream_route(stream: DataFrame, rules_df: DataFrame, kind: Column) -> DataFrame:
-    """Stream joined to a static rule table on the kind of content: (.., destination)."""
-    return stream.withColumn("kind", kind).join(rules_df, "kind")
+    """The batch routing, unchanged, over a stream and a static rule table."""
+    return content_route(stream, rules_df, kind)
 
 
 def live_count(stream: DataFrame, key: str, path: str, checkpoint: str):

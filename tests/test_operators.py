@@ -300,3 +300,25 @@ def test_dead_letters(spark):
 
 def test_write_index_counts_what_it_writes(spark, tmp_path):
     assert writers.write_index(spark.range(17), str(tmp_path / "t")) == {"written": 17}
+
+
+def test_reading_a_channel_scans_its_bucket_only(spark, tmp_path):
+    from exposura.sinks.writers import write_messages
+
+    path = str(tmp_path / "m")
+    write_messages(spark.range(500).select(F.col("id").alias("channel"), F.lit(1).alias("message_id")), path)
+    one = readers.read_messages(spark, path, [3])
+    assert [r.channel for r in one.collect()] == [3]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan and "PushedFilters: [IsNotNull(channel), EqualTo(channel,3)]" in plan
+    assert readers.read_messages(spark, path).count() == 500
+    assert sorted(r.channel for r in readers.read_messages(spark, path, [3, 4, 499, 10**9]).collect()) == [3, 4, 499]
+
+
+def test_routing_as_literals_and_as_join_agree(spark, monkeypatch):
+    rules_df = spark.createDataFrame([("d1", "text"), ("d2", "text"), ("d2", "image")], "destination string, kind string")
+    df = spark.createDataFrame([(1, "text"), (2, "image"), (3, "video"), (4, None)], "id long, k string")
+    literal = rows(joins.content_route(df, rules_df, F.col("k")), "id", "destination", "kind")
+    assert literal == [(1, "d1", "text"), (1, "d2", "text"), (2, "d2", "image")]
+    monkeypatch.setattr(joins, "small_rules", lambda table: None)
+    assert rows(joins.content_route(df, rules_df, F.col("k")), "id", "destination", "kind") == literal
