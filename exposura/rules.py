@@ -24,8 +24,11 @@ BANNER_KEYWORDS = [
 DECORATIVE_LINE = r"^[=\-_+*#/\\~@%|>< ]+$"
 COMMENT_STARTS = ["#", "//", "--", "/*", "*", ";"]
 LONE_URL_LINE = r"^(?i)https?://[^:\t ]*$"
-SKIP_WORDS = ["author", "t.me/", "returned", "time:", "Deleted message"]
-HEADER_ROW = r"(?i)url,email|url,username|url,password"
+SKIP_WORDS = [
+    "author", "t.me/", "returned", "time:", "耗时", "返回", "作者", "━━━━━━━━",
+    "📦", "🥵", "🔊", "Deleted message",
+]
+HEADER_ROW = r"(?i)url,email|url,username|url,password|网址|主机"
 SYMBOL_CLASS = r"[\\/|_=\-#*+`~:. ]"
 SEPARATOR_LINE = r"^\s*={10,}\s*$"
 ART_CHARS = "█▐▄▀░"
