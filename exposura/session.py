@@ -36,19 +36,22 @@ def pepper(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
-    A machine-local folder is used only when the session itself is local.
+    A machine-local folder is used only where driver and executors are one process
+    and none is named; a folder named later takes over.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="exposura-")
-    spark.conf.set("spark.exposura.localDir", made)
+    made = spark.conf.get("spark.exposura.localDir", None)
+    if not made:
+        made = tempfile.mkdtemp(prefix="exposura-")
+        spark.conf.set("spark.exposura.localDir", made)
     return made
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    base = spark.conf.get("spark.exposura.localDir", None) or shared_dir(spark)
-    return f"{base}/exposura/{label}-{uuid.uuid4().hex[:12]}"
+    return f"{shared_dir(spark)}/exposura/{label}-{uuid.uuid4().hex[:12]}"

@@ -56,4 +56,5 @@ def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.columns == ["forum", "n_threads", "n_flagged", "n_hits"]
     assert df.count() > 0
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.queries()) <= set(entry.queries())
+    assert set(catalog.queries()) == set(catalog.oracles()) and set(entry.oracle_sql()) <= set(entry.queries())
