@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from exposura.llm import bpe, exact, langid, minhash, mixing, quality, secrets, sharding
+from exposura.llm import bpe, exact, html, langid, minhash, mixing, quality, secrets, sharding, vectors
 from exposura.llm.common import UPPER, table
 from exposura.session import scratch_path
 
@@ -51,6 +51,13 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+@query("op4_html")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, folder, "pages")
+    return html.extract(pages, html.learn(pages))
+
+
 @query("op5_secrets")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     """Places of secrets in every document, without their values."""
@@ -114,6 +121,12 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op10_vectors")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and components of near equal embeddings of one label."""
+    return vectors.vector_duplicates(table(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
