@@ -16,7 +16,7 @@ WIDTH = 5
 ROWS, BANDS = 6, 32
 SKETCH = ROWS * BANDS
 NUMERATOR, DENOMINATOR = 85, 100
-BLOCK = 1024
+BLOCK = 256
 WORDS_HELD = 500_000
 
 _rng = np.random.default_rng(20240501)
@@ -279,7 +279,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     wanted = pairs.select(F.col("member").alias("id")).union(pairs.select("hub")).distinct()
     texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    texts = saved(texts.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "near-texts")
+    texts = saved(texts.join(wanted.hint("merge"), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "near-texts")
 
     blocks = pairs.groupBy("hub").agg(F.count("*").alias("size")).select("hub", F.ceil(F.col("size") / block).alias("blocks"))
     placed = pairs.where("hub <> member").join(blocks, "hub").select(
