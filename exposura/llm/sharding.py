@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 
 BUCKETS = 8192
 SPLITS = 32
-FINE = 1024
+FINE = 64
 FILES_PER_SHARD = 64
 
 
@@ -107,8 +107,8 @@ def plan(sized: DataFrame, old_shards: int, shards: int) -> tuple[DataFrame, np.
     """(block table, bytes moved between shards) for rows (bucket, split, old_shard, size).
 
     A block is a bucket of texts, so equal texts stay together; a bucket above a
-    1024th of all bytes, such as a text with very many copies, is split by its ids.
-    There are at most 8192 + 1024 * 32 blocks whatever the data, which bounds both
+    64th of all bytes, such as a text with very many copies, is split by its ids.
+    There are at most 8192 + 64 * 32 blocks whatever the data, which bounds both
     what the driver plans over and what is broadcast.
     """
     cells = sized.groupBy("bucket", "split", "old_shard").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
