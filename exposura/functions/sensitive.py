@@ -39,6 +39,10 @@ _GATES = {
     rules.PHONE: lambda c: c.contains("+"),
     rules.IPV4: lambda c: c.rlike(r"[0-9]\.[0-9]"),
     rules.CARD: lambda c: c.rlike("[0-9]{4}[ -]?[0-9]{4}"),
+    rules.TOKEN: lambda c: c.contains("eyJ"),
+    rules.SECRET: lambda c: c.contains("=") | c.contains(":"),
+    rules.LOCAL_PHONE: lambda c: c.contains("("),
+    rules.IPV6: lambda c: c.contains(":"),
     rules.KEY: lambda c: c.contains("AKIA") | c.contains("ghp_") | c.rlike("[A-Fa-f0-9]{32}"),
 }
 

@@ -229,7 +229,7 @@ def bind(value: Column, body) -> Column:
 
 def contains_any(c: Column, words: list[str]) -> Column:
     """True where the lower-cased text holds any of the words."""
-    return bind(F.lower(c), lambda low: reduce(lambda a, b: a | b, [low.contains(w.lower()) for w in words]))
+    return bind(F.lower(c), lambda low: reduce(lambda a, b: a | b, [low.contains(w.lower()) for w in words] or [F.lit(False)]))
 
 
 def _matches(low: Column, words: list[str]) -> Column:
@@ -238,6 +238,8 @@ def _matches(low: Column, words: list[str]) -> Column:
     A word that holds a shorter one of the list ("data leak", "leak") is searched
     for only in texts that hold the shorter one.
     """
+    if not words:
+        return F.array().cast("array<string>")
     lower = [w.lower() for w in words]
     inner = [next((i for i, r in enumerate(lower) if r != w and r in w), None) for w in lower]
     roots = [i for i, r in enumerate(inner) if r is None]
@@ -273,6 +275,8 @@ def matched_words_or_none(c: Column, words: list[str]) -> Column:
 
 def first_rule(tests: list[tuple[Column, Column | str]], default: Column | None = None) -> Column:
     """Value of the first test that holds: an ordered rule table as one CASE."""
+    if not tests:
+        return F.lit(None).cast("string") if default is None else default
     out = F
     for test, value in tests:
         out = out.when(test, value if isinstance(value, Column) else F.lit(value))

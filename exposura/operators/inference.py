@@ -34,10 +34,17 @@ DATA_LIKE = [
 ]
 
 
+def outside_quotes(line: Column, delim: str) -> Column:
+    """The line with quoted parts that hold the delimiter blanked."""
+    inside = "|" if delim == "|" else delim
+    return F.when(
+        line.contains('"'), F.regexp_replace(line, f'("[^"{inside}]*")|"[^"]*"', "$1")).otherwise(line)
+
+
 def header_tokens(line: Column, delim: Column) -> Column:
     """Cleaned tokens of a line under one of the candidate delimiters."""
     parts = text.first_rule(
-        [(delim == d, F.split(line, "[|]" if d == "|" else d, -1)) for d in DELIMITERS]
+        [(delim == d, F.split(outside_quotes(line, d), "[|]" if d == "|" else d, -1)) for d in DELIMITERS]
     )
     return F.transform(parts, text.clean_header)
 
@@ -173,7 +180,7 @@ def csv_vs_list(c: Column, n: int = 20) -> Column:
     """table, list or undecided, from the mean fields and colons of the first lines."""
 
     def verdict(lines: Column) -> Column:
-        fields = _mean(F.transform(lines, lambda x: count_of(x, ",") + 1))
+        fields = _mean(F.transform(lines, lambda x: count_of(outside_quotes(x, ","), ",") + 1))
         colons = _mean(F.transform(lines, lambda x: count_of(F.replace(x, F.lit("://"), F.lit("")), ":")))
         measured = F.struct(fields.alias("fields"), colons.alias("colons"))
         decided = text.bind(
@@ -201,9 +208,16 @@ def columns_from_ddl(body: Column) -> Column:
     Commas inside parentheses or quotes do not separate: such parts are blanked
     before the split.
     """
-    flat = F.regexp_replace(body, r"'[^']*'", "''")
-    for _ in range(3):
-        flat = F.regexp_replace(flat, r"\([^()]*\)", "")
+    bare = F.regexp_replace(body, r"'[^']*'", "''")
+    pieces = F.regexp_extract_all(bare, F.lit(r"[()]|[^()]+"), F.lit(0))
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kept"))
+
+    def step(at: Column, piece: Column) -> Column:
+        depth = F.greatest(F.lit(0), at["depth"] + F.when(piece == "(", 1).when(piece == ")", -1).otherwise(0))
+        outside = (at["depth"] == 0) & ~piece.isin("(", ")")
+        return F.struct(depth.alias("depth"), F.when(outside, F.concat(at["kept"], F.array(piece))).otherwise(at["kept"]).alias("kept"))
+
+    flat = F.array_join(F.aggregate(pieces, start, step, lambda at: at["kept"]), "")
     parts = F.transform(F.split(flat, ",", -1), text.strip)
     names = F.transform(
         parts,

@@ -312,7 +312,14 @@ BODY_SELECTORS = [
 # --- patterns of the detector, in the subset Java and RE2 share ----------------
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 IPV4 = r"\b[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\b"
-CARD = r"\b(?:[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{1,7}|[0-9]{13,19})\b"
+CARD = r"\b(?:[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}|[0-9]{13,19})\b"
 PHONE = r"\+[0-9][0-9 ().-]{6,18}[0-9]"
 KEY = r"\b(?:AKIA[0-9A-Z]{16}|ghp_[A-Za-z0-9]{36}|[A-Fa-f0-9]{32,128})\b"
-SENSITIVE = [("EMAIL", EMAIL), ("KEY", KEY), ("PHONE", PHONE), ("CARD", CARD), ("IP", IPV4)]
+TOKEN = r"eyJ[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]+"
+SECRET = r"(?i)\b(?:password|passwd|secret|token|api_?key)[\"']?[ ]*[:=][ ]*[\"']?[^ \t\r\n\"']+"
+LOCAL_PHONE = r"\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}\b"
+IPV6 = r"\b(?:[0-9A-Fa-f]{1,4}:){2,7}(?::?[0-9A-Fa-f]{1,4}){1,6}\b"
+SENSITIVE = [
+    ("SECRET", SECRET), ("TOKEN", TOKEN), ("EMAIL", EMAIL), ("KEY", KEY), ("PHONE", PHONE), ("PHONE", LOCAL_PHONE), ("CARD", CARD),
+    ("IP", IPV4), ("IP", IPV6),
+]

@@ -29,8 +29,16 @@ def build_session(app: str = "exposura", master: str | None = None, **conf) -> S
 
 
 def pepper(spark: SparkSession) -> str:
-    """Secret prefix of the identifier hash; set spark.exposura.pepper in a deployment."""
-    return spark.conf.get("spark.exposura.pepper", DEMO_PEPPER)
+    """Secret prefix of the identifier hash; outside a local session spark.exposura.pepper must be set."""
+    named = spark.conf.get("spark.exposura.pepper", None)
+    if named is None and not _one_process(spark):
+        raise RuntimeError("set spark.exposura.pepper")
+    return named or DEMO_PEPPER
+
+
+def _one_process(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -42,8 +50,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    master = spark.sparkContext.master
-    if master != "local" and not master.startswith("local["):
+    if not _one_process(spark):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     made = spark.conf.get("spark.exposura.localDir", None)
     if not made:

@@ -39,10 +39,10 @@ def upsert_index(df: DataFrame, base: DataFrame, path: str, key: list[str], orde
 def route_by_table(df: DataFrame, column: str, routes: dict[str, str] = rules.TABLE_ROUTES) -> DataFrame:
     """Adds the route of the row's table; "" and unlisted tables go to main."""
     low = F.lower(F.col(column))
-    route = F
-    for name, target in routes.items():
-        route = route.when(low == name, target or "main")
-    return df.withColumn("route", route.otherwise("main"))
+    route = F.lit("main")
+    for name, target in reversed(routes.items()):
+        route = F.when(low == name, target or "main").otherwise(route)
+    return df.withColumn("route", route)
 
 
 def write_routed(df: DataFrame, path: str) -> None:
@@ -61,8 +61,10 @@ def write_messages(df: DataFrame, path: str) -> None:
 
 
 def patch_status(df: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """updates(key, new_status, new_time); rows without one keep their own."""
-    joined = df.join(updates, key, "left")
+    """updates(key, new_status, new_time), the newest of a key counts; rows without one keep their own."""
+    newest = updates.groupBy(key).agg(F.max(F.struct("new_time", "new_status")).alias("_u"))
+    newest = newest.select(key, "_u.new_status", "_u.new_time")
+    joined = df.join(newest, key, "left")
     return joined.select(
         *[c for c in df.columns if c not in ("status", "status_time")],
         F.coalesce("new_status", "status").alias("status"),

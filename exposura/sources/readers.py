@@ -14,37 +14,38 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def read_delimited(
     spark: SparkSession, path: str, delim: str = ",", columns: list[str] | None = None,
-    encoding: str = "UTF-8",
+    encoding: str = "UTF-8", multiline: bool = False,
 ) -> DataFrame:
     """Delimited text with a header; short rows give NULLs, long rows lose their tail.
 
     Columns come from the argument or, without one, from the header; all are
-    strings, so nothing is read twice to guess types.
+    strings, so nothing is read twice to guess types. With multiline, quoted fields
+    may hold line breaks, and a file is read by one task; without, files are split.
     """
     reader = (
         spark.read.option("sep", delim).option("header", True).option("mode", "PERMISSIVE")
-        .option("encoding", encoding).option("escape", '"').option("enforceSchema", True)
+        .option("encoding", encoding).option("escape", '"').option("enforceSchema", True).option("multiLine", multiline)
     )
     if columns:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
     return reader.csv(path)
 
 
-def read_headerless_generic(spark: SparkSession, path: str, delim: str = ",") -> DataFrame:
-    """Columns named "0", "1", ... in order."""
-    raw = spark.read.option("sep", delim).option("header", False).option("escape", '"').csv(path)
+def read_headerless_generic(spark: SparkSession, path: str, delim: str = ",", multiline: bool = False) -> DataFrame:
+    """Columns named "0", "1", ... in order; multiline as in read_delimited."""
+    raw = spark.read.option("sep", delim).option("header", False).option("escape", '"').option("multiLine", multiline).csv(path)
     return raw.toDF(*[str(i) for i in range(len(raw.columns))])
 
 
 def read_positional(
-    spark: SparkSession, path: str, column_map: dict[int, str], delim: str = ","
+    spark: SparkSession, path: str, column_map: dict[int, str], delim: str = ",", multiline: bool = False
 ) -> DataFrame:
-    """Headerless text by ordinal; an ordinal past the end of a row is NULL."""
+    """Headerless text by ordinal; an ordinal past the end of a row is NULL; multiline as in read_delimited."""
     width = max(column_map) + 1
     schema = T.StructType([T.StructField(str(i), T.StringType()) for i in range(width)])
     raw = (
         spark.read.schema(schema).option("sep", delim).option("header", False)
-        .option("mode", "PERMISSIVE").option("escape", '"').csv(path)
+        .option("mode", "PERMISSIVE").option("escape", '"').option("multiLine", multiline).csv(path)
     )
     return raw.select(*[F.col(str(i)).alias(name) for i, name in sorted(column_map.items())])
 
@@ -86,21 +87,16 @@ def _records(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
 def read_json(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """JSON lines, one array or one object per file, told apart file by file.
 
-    Whole-file parsing is kept for files that spread a record over lines; their
-    paths, and nothing else, reach the driver. The others stay splittable.
+    Each file is parsed whole; one that is no single JSON value is read line by
+    line, so a broken line costs that line. The test and the parse run in the tasks,
+    and no path reaches the driver. A file is one task's work; JSON lines alone are
+    read by `read_jsonl`, which splits them.
     """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), text.strip(F.col("value")).alias("line")
-    )
-    opening = F.col("line").isin("[", "{") | F.col("line").rlike(r"^[\[{].*[,\[{:]$")
-    spread = lines.filter(~F.col("file").endswith(".jsonl") & opening).select("file").distinct()
-    paths = [r.file for r in spread.collect()]
-    data = lines.filter((F.col("line") != "") & ~F.col("line").rlike("^(#|//)"))
-    if not paths:
-        return _records(data, "line", schema)
-    data = data.filter(~F.col("file").isin(paths))
-    parsed = spark.read.schema(schema).option("multiLine", True).json(paths)
-    return _records(data, "line", schema).unionByName(parsed)
+    whole = spark.read.text(path, wholetext=True).select(text.strip(F.col("value")).alias("body"))
+    marked = whole.withColumn("single", F.try_parse_json(F.concat(F.lit("["), "body", F.lit("]"))).isNotNull())
+    parts = F.when(F.col("single"), F.array("body")).otherwise(F.transform(F.split("body", "\n"), text.strip))
+    lines = marked.select(F.explode(parts).alias("line"))
+    return _records(lines.filter((F.col("line") != "") & ~F.col("line").rlike("^(#|//)")), "line", schema)
 
 
 HOST_FIELDS = """
