@@ -21,34 +21,47 @@ WORDS = re.compile(r"[^\W\d_]+")
 BASE = 1 << 21
 
 
-class Grams(dict):
-    """Word to the ids of its n-grams, a blank at either end; ids count up as n-grams are met."""
+class GramIds(dict):
+    """Ids of n-grams, counting up as they are met; `order` holds their code points as one number."""
 
     def __init__(self):
         super().__init__()
-        self.ids: dict[str, int] = {}
         self.names: list[str] = []
         self.order = np.zeros(1024, np.int64)
 
+    def __missing__(self, gram: str) -> int:
+        found = self[gram] = len(self.names)
+        self.names.append(gram)
+        if found == len(self.order):
+            self.order = np.concatenate([self.order, np.zeros_like(self.order)])
+        key = 0
+        for k in range(LONGEST):
+            key = key * BASE + (ord(gram[k]) + 1 if k < len(gram) else 0)
+        self.order[found] = key
+        return found
+
+
+class Grams(dict):
+    """Word to the ids of its n-grams, a blank at either end."""
+
+    def __init__(self):
+        super().__init__()
+        self.ids = GramIds()
+
     def __missing__(self, word: str) -> np.ndarray:
         letters = word if word.isalpha() else "".join(c for c in word if c.isalpha())
-        padded = f" {letters} "
-        grams = [padded[k:k + n] for n in range(1, LONGEST + 1) for k in range(len(padded) - n + 1)] if letters else []
-        found = self[word] = np.array([self._id(g) for g in grams if g != " "], np.int32)
+        grams: list[str] = []
+        if letters:
+            padded, size = f" {letters} ", len(letters) + 2
+            grams += letters
+            for n in range(2, LONGEST + 1):
+                grams += [padded[k:k + n] for k in range(size - n + 1)]
+        found = self[word] = np.fromiter(map(self.ids.__getitem__, grams), np.int32, len(grams))
         return found
 
-    def _id(self, gram: str) -> int:
-        found = self.ids.get(gram)
-        if found is None:
-            found = self.ids[gram] = len(self.names)
-            self.names.append(gram)
-            if found == len(self.order):
-                self.order = np.concatenate([self.order, np.zeros_like(self.order)])
-            key = 0
-            for k in range(LONGEST):
-                key = key * BASE + (ord(gram[k]) + 1 if k < len(gram) else 0)
-            self.order[found] = key
-        return found
+    @property
+    def names(self) -> list[str]:
+        return self.ids.names
 
     def count(self, words: Counter) -> np.ndarray:
         """Occurrences by n-gram id."""
@@ -63,7 +76,7 @@ class Grams(dict):
         at = np.flatnonzero(counts)
         if len(at) > k:
             at = at[counts[at] >= np.partition(counts[at], len(at) - k)[len(at) - k]]
-        return at[np.lexsort((self.order[at], -counts[at]))][:k]
+        return at[np.lexsort((self.ids.order[at], -counts[at]))][:k]
 
 
 def words_of(text: str | None) -> list[str]:
@@ -110,7 +123,7 @@ class Matcher:
         self.langs, self.size, self.grams = sorted(profiles), size, Grams()
         for lang in self.langs:
             for gram in profiles[lang]:
-                self.grams._id(gram)
+                self.grams.ids[gram]
         self.place = np.full((len(self.langs), len(self.grams.names)), -1)
         for row, lang in enumerate(self.langs):
             for rank, gram in enumerate(profiles[lang]):
