@@ -117,10 +117,10 @@ def domains_alphabetical(spark, folder):
 
 @query("top_n_array", """
 SELECT source, array_to_string(list_slice(list_sort(list_distinct(list(w))), 1, 20), ' ') AS words FROM (
-  SELECT source, unnest(string_split(""" + sql_redacted("split_part(text, chr(10), 1)") + """, ' ')) AS w FROM documents) WHERE w <> '' GROUP BY source""")
+  SELECT source, unnest(string_split(replace(""" + sql_redacted("text") + """, chr(10), ' '), ' ')) AS w FROM documents) WHERE w <> '' GROUP BY source""")
 def top_n_array(spark, folder):
     d = table(spark, folder, "documents")
-    w = d.select("source", F.explode(F.split(redact(text.first_line(F.col("text"))), " ", -1)).alias("w"))
+    w = d.select("source", F.explode(F.split(redact(F.col("text")), "[ \n]", -1)).alias("w"))
     return a.first_names(w, "source", "w").select("source", F.array_join("names", " ").alias("words"))
 
 

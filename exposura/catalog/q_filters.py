@@ -247,21 +247,21 @@ def notable_processes(spark, folder):
 
 
 @query("valid_alias_key", f"""
-WITH k AS (SELECT doc_id, {strip("split_part(text, ' ', 1)")} AS a, CAST(doc_id AS VARCHAR) AS b,
-           left(text, 60) AS c, '{{' || doc_id || '}}' AS d FROM documents),
-long AS (SELECT doc_id, unnest([a, b, c, d]) AS k, unnest([1, 2, 3, 4]) AS i FROM k)
-SELECT doc_id, i, (s <> '' AND length(s) <= 50 AND NOT regexp_matches(s, '^[0-9]+$')
+WITH long AS (SELECT doc_id, unnest(list_concat(string_split(replace(text, chr(10), ' '), ' '), string_split(text, chr(10)),
+  [CAST(doc_id AS VARCHAR), '{{' || doc_id || '}}', text])) AS k FROM documents)
+SELECT doc_id, count(*) AS n_keys, count(*) FILTER (s <> '' AND length(s) <= 50 AND NOT regexp_matches(s, '^[0-9]+$')
   AND NOT regexp_matches(s, '^[^@\\s]+@[^@\\s]+\\.[^@\\s]+$') AND NOT regexp_matches(s, '[\\[\\]{{}}"'']')
-  AND NOT regexp_matches(s, '[\\x00-\\x08\\x0e-\\x1f]') AND NOT contains(s, '�')) AS valid
-FROM (SELECT doc_id, i, {strip('k')} AS s FROM long)""")
+  AND NOT regexp_matches(s, '[\\x00-\\x08\\x0e-\\x1f]') AND NOT contains(s, '�')) AS n_valid
+FROM (SELECT doc_id, {strip('k')} AS s FROM long) GROUP BY doc_id""")
 def valid_alias_key(spark, folder):
+    """Every word, every line, the id and the text itself as keys."""
     d = table(spark, folder, "documents")
-    keys = F.array(
-        F.split("text", " ", 2)[0], F.col("doc_id").cast("string"), F.left("text", F.lit(60)),
-        F.concat(F.lit("{"), "doc_id", F.lit("}")),
+    keys = F.concat(
+        F.split("text", "[ \n]", -1), F.split("text", "\n", -1),
+        F.array(F.col("doc_id").cast("string"), F.concat(F.lit("{"), "doc_id", F.lit("}")), F.col("text")),
     )
-    long = d.select("doc_id", F.posexplode(keys).alias("p", "k"))
-    return long.select("doc_id", (F.col("p") + 1).alias("i"), f.valid_alias_key(F.col("k")).alias("valid"))
+    marked = d.select("doc_id", F.explode(keys).alias("k")).select("doc_id", f.valid_alias_key(F.col("k")).alias("valid"))
+    return marked.groupBy("doc_id").agg(F.count("*").alias("n_keys"), F.count_if("valid").alias("n_valid"))
 
 
 LOG = """log AS (SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp,

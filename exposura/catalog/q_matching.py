@@ -87,12 +87,13 @@ def entry_dedup(spark, folder):
 
 
 @query("ordered_distinct", """
-SELECT doc_id, len(d) AS n_distinct, md5(array_to_string(d, ' ')) AS words_hash FROM (
-  SELECT doc_id, list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda p: list_position(w, p[1]) = p[2]), lambda p: p[1]) AS d
-  FROM (SELECT doc_id, string_split(split_part(text, chr(10), 1), ' ') AS w FROM documents))""")
+WITH words AS (SELECT doc_id, unnest(range(len(a))) AS i, unnest(a) AS w FROM (
+  SELECT doc_id, string_split(replace(text, chr(10), ' '), ' ') AS a FROM documents)),
+firsts AS (SELECT doc_id, w, min(i) AS i FROM words GROUP BY doc_id, w)
+SELECT doc_id, count(*) AS n_distinct, md5(string_agg(w, ' ' ORDER BY i)) AS words_hash FROM firsts GROUP BY doc_id""")
 def ordered_distinct(spark, folder):
     d = table(spark, folder, "documents")
-    words = F.array_distinct(F.split(text.first_line(F.col("text")), " ", -1))
+    words = F.array_distinct(F.split("text", "[ \n]", -1))
     return d.select("doc_id", F.size(words).cast("long").alias("n_distinct"), F.md5(F.array_join(words, " ")).alias("words_hash"))
 
 
@@ -157,10 +158,13 @@ shapes AS (SELECT doc_id, sha256(text) AS content_hash, strlen(text) AS size, CA
 SELECT content_hash, doc_id, size, shape FROM shapes WHERE content_hash NOT IN (SELECT h FROM known)
 QUALIFY row_number() OVER (PARTITION BY content_hash ORDER BY doc_id) = 1""")
 def ingest_files(spark, folder):
-    """Catalog, dedup against the registry and classification in one job."""
+    """Catalog, dedup against the registry and classification in one job.
+
+    An inner join, as a semi join would be moved below the digest and shuffle the texts.
+    """
     d = table(spark, folder, "documents").select("doc_id", "text")
-    known = d.join(table(spark, folder, "labels").select("doc_id"), "doc_id", "left_semi")
-    registry = known.select(files.digest(F.col("text")).alias("sha256"))
+    digests = d.select("doc_id", files.digest(F.col("text")).alias("sha256"))
+    registry = digests.join(table(spark, folder, "labels").select("doc_id").distinct(), "doc_id").select("sha256")
     out = jobs.ingest(d, registry, "doc_id", "text")
     return out.select(
         F.col("sha256").alias("content_hash"), "doc_id", F.col("size").cast("long").alias("size"), "shape"

@@ -12,8 +12,12 @@ from exposura.plans import jobs
 from exposura.sources.readers import table
 
 
+# The entities that the stored pages hold, ampersand last.
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
+
+
 def _decoded(x: str) -> str:
-    for name, char in html.ENTITIES:
+    for name, char in ENTITIES:
         x = f"replace({x}, {q(name)}, {q(char)})"
     return x
 

@@ -20,17 +20,16 @@ def _documents(spark, folder):
 
 
 def _tokens(spark, folder):
-    """(doc_id, pos, token): the e-mail addresses and the words of every first line."""
+    """(doc_id, pos, token): the e-mail addresses and the words of every text."""
     d = _documents(spark, folder)
-    words = F.split(text.first_line(F.col("text")), " ", -1)
-    found = F.concat(sensitive.tokens(F.col("text"), rules.EMAIL), words)
+    found = F.concat(sensitive.tokens(F.col("text"), rules.EMAIL), F.split("text", "[ \n]", -1))
     return d.select("doc_id", F.posexplode(found).alias("pos", "token"))
 
 
 TOKENS = f"""tokens AS (
   SELECT doc_id, unnest(range(len(a))) AS pos, unnest(a) AS token FROM (
     SELECT doc_id, list_concat(regexp_extract_all(text, {q(rules.EMAIL)}),
-                               string_split(split_part(text, chr(10), 1), ' ')) AS a FROM documents))"""
+                               string_split(replace(text, chr(10), ' '), ' ')) AS a FROM documents))"""
 
 
 @query("norm_email", f"""
@@ -360,12 +359,12 @@ def next_day(spark, folder):
 # --- arrays, maps, JSON --------------------------------------------------------------
 
 @query("array_len_stats", """
-SELECT doc_id, len(string_split(text, chr(10))) AS n_lines, len(string_split(split_part(text, chr(10), 1), ' ')) AS n_words
+SELECT doc_id, len(string_split(text, chr(10))) AS n_lines, len(string_split(replace(text, chr(10), ' '), ' ')) AS n_words
 FROM documents""")
 def array_len_stats(spark, folder):
     return _documents(spark, folder).select(
         "doc_id", F.size(F.split("text", "\n", -1)).cast("long").alias("n_lines"),
-        F.size(F.split(text.first_line(F.col("text")), " ", -1)).cast("long").alias("n_words"),
+        F.size(F.split("text", "[ \n]", -1)).cast("long").alias("n_words"),
     )
 
 

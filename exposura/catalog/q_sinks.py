@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from exposura import rules
 from exposura.catalog import views as v
-from exposura.catalog.base import q, query, stamp
+from exposura.catalog.base import q, query, sql_redacted, stamp
 from exposura.operators.aggregates import job_summary as summarise
 from exposura.operators.dedup import upsert
+from exposura.operators.projections import MESSAGE_COLUMNS
+from exposura.plans.jobs import redact
 from exposura.session import scratch_path
 from exposura.sinks import writers as w
 from exposura.sources.readers import table
@@ -73,31 +75,42 @@ def toggle_active(spark, folder):
     return w.toggle_active(v.forums(spark, folder), "base_url", r"src2\d\.").select("forum", "is_active")
 
 
-EXPORT = f"WITH {v.MESSAGES} SELECT strftime(date, '%Y-%m-%d %H:%M:%S') AS date, channel, message_id, username, md5(message) AS message_hash FROM messages"
+EXPORT = f"""
+WITH {v.MESSAGES} SELECT message_id, strftime(date, '%Y-%m-%d %H:%M:%S') AS date, first_name, username,
+  md5({sql_redacted("message")}) AS message_hash, media_type, media_path, views, channel FROM messages"""
+EXPORTED = (
+    "message_id long, date string, sender_id long, first_name string, last_name string, username string, message string, "
+    "media_type string, media_path string, reply_to long, post_author string, views long, forwards long, reactions string, channel long"
+)
+EXPORT_ORDER = ["date", "channel", "message_id"]
 
 
 def _export(spark, folder):
-    return v.messages(spark, folder).select(
-        F.date_format("date", "yyyy-MM-dd HH:mm:ss").alias("date"), "channel", "message_id", "username",
-        F.md5("message").alias("message_hash"),
-    )
+    """All fourteen columns and the channel, the text redacted."""
+    m = redact(v.messages(spark, folder), "message")
+    return m.select(*MESSAGE_COLUMNS, "channel").withColumn("date", F.date_format("date", "yyyy-MM-dd HH:mm:ss"))
 
 
-ROW = "date string, channel long, message_id long, username string, message_hash string"
+def _exported(rows):
+    return rows.select(
+        "message_id", "date", "first_name", "username", F.md5("message").alias("message_hash"), "media_type", "media_path",
+        "views", "channel",
+    )
 
 
 @query("export_csv", EXPORT)
 def export_csv(spark, folder):
     path = scratch_path(spark, "export-csv")
-    w.export_csv(_export(spark, folder), path, ["date", "channel", "message_id"])
-    return spark.read.schema(ROW).option("header", True).csv(path)
+    w.export_csv(_export(spark, folder), path, EXPORT_ORDER)
+    reader = spark.read.schema(EXPORTED).option("header", True).option("escape", '"').option("multiLine", True)
+    return _exported(reader.csv(path))
 
 
 @query("export_json", EXPORT)
 def export_json(spark, folder):
     path = scratch_path(spark, "export-json")
-    w.export_json(_export(spark, folder), path, ["date", "channel", "message_id"])
-    return spark.read.schema(ROW).json(path)
+    w.export_json(_export(spark, folder), path, EXPORT_ORDER)
+    return _exported(spark.read.schema(EXPORTED).json(path))
 
 
 @query("write_jsonl", "SELECT c_custkey, c_name, c_mktsegment FROM customer")

@@ -130,7 +130,7 @@ def order_export(spark, folder):
 @query("union_channels", MSG + "SELECT channel, message_id, username FROM messages WHERE channel IN (1, 2, 5)")
 def union_channels(spark, folder):
     m = v.messages(spark, folder).select("channel", "message_id", "username")
-    return o.union_tables(*[m.filter(F.col("channel") == c) for c in (1, 2, 5)])
+    return o.union_channels(m, "channel", [1, 2, 5])
 
 
 @query("query_batch_and_live", """
@@ -149,15 +149,14 @@ def set_difference(spark, folder):
     return o.set_difference(d, table(spark, folder, "labels"), ["doc_id"])
 
 
-@query("merge_dicts", "SELECT n_nationkey AS k, 'new0' || (n_nationkey + 10) AS value FROM nation WHERE n_nationkey < 10")
+@query("merge_dicts", "SELECT n_nationkey % 13 AS k, CASE WHEN max(n_nationkey) < 13 THEN 'old' ELSE 'new' END || lpad(CAST(max(n_nationkey) AS VARCHAR), 3, '0') AS value FROM nation GROUP BY 1")
 def merge_dicts(spark, folder):
-    """Ten old entries and ten that override them."""
+    """Thirteen old entries and twelve that override all but one of them."""
     from exposura.operators.dedup import upsert
 
-    n = table(spark, folder, "nation").filter("n_nationkey < 20")
-    tagged = n.select(
-        (F.col("n_nationkey") % 10).alias("k"), F.lpad(F.col("n_nationkey").cast("string"), 3, "0").alias("s"), "n_nationkey"
+    tagged = table(spark, folder, "nation").select(
+        (F.col("n_nationkey") % 13).alias("k"), F.lpad(F.col("n_nationkey").cast("string"), 3, "0").alias("s"), "n_nationkey"
     )
-    old = tagged.filter("n_nationkey < 10").select("k", F.concat(F.lit("old"), "s").alias("value"), F.lit(0).alias("v"))
-    new = tagged.filter("n_nationkey >= 10").select("k", F.concat(F.lit("new"), "s").alias("value"), F.lit(0).alias("v"))
+    old = tagged.filter("n_nationkey < 13").select("k", F.concat(F.lit("old"), "s").alias("value"), F.lit(0).alias("v"))
+    new = tagged.filter("n_nationkey >= 13").select("k", F.concat(F.lit("new"), "s").alias("value"), F.lit(0).alias("v"))
     return upsert(old, new, ["k"], ["v"]).select("k", "value")

@@ -2,24 +2,41 @@
 
 from __future__ import annotations
 
+import json
 import re
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, functions as F
 
 from exposura.functions.text import abs_url, bind, strip
 
-# The named entities the pages use, ampersand last.
-ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-    ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
-]
+# Named entities whose replacement is not their own character: a blank that folds with others.
+AS_BLANK = {"nbsp": " "}
+NAMED = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"} | AS_BLANK
+ENTITY = r"&(?:#[0-9]{1,9}|#[xX][0-9A-Fa-f]{1,8}|[A-Za-z][A-Za-z0-9]{1,8});"
 ANCHOR = r"(?is)<a\s[^>]*href=[\"']([^\"']*)[\"'][^>]*>(.*?)</a>"
 
 
+def _decoded(entity: Column) -> Column:
+    """The character of one entity; an unknown name stays, a number of no character becomes U+FFFD."""
+    body = F.substring(entity, 2, F.length(entity) - 2)
+    hexadecimal = F.lower(F.substring(body, 2, 1)) == "x"
+    code = F.when(hexadecimal, F.conv(F.substr(body, F.lit(3)), 16, 10)).otherwise(F.substr(body, F.lit(2))).cast("long")
+    drawn = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(F.when(drawn, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+    names = F.from_json(F.lit(json.dumps(NAMED)), "map<string,string>")
+    return F.when(body.startswith("#"), char).otherwise(F.coalesce(F.try_element_at(names, body), entity))
+
+
 def decode_entities(c: Column) -> Column:
-    for name, char in ENTITIES:
-        c = F.replace(c, F.lit(name), F.lit(char))
-    return c
+    """Named and numbered character references to characters, each once."""
+    def decoded(t: Column) -> Column:
+        found = F.transform(F.regexp_extract_all(t, F.lit(ENTITY), F.lit(0)), _decoded)
+        between = F.split(t, ENTITY, -1)
+        return F.array_join(F.flatten(F.zip_with(
+            between, found, lambda x, y: F.array(x, F.coalesce(y, F.lit(""))))), "")
+
+    return bind(c, lambda t: F.when(t.contains("&"), decoded(t)).otherwise(t))
 
 
 def strip_html(c: Column) -> Column:
@@ -30,13 +47,40 @@ def strip_html(c: Column) -> Column:
 
 
 def element_html(c: Column, selector: str) -> Column:
-    """Inner HTML of the first element under a tag or tag.class selector."""
+    """Inner HTML of the first element under a tag or tag.class selector, "" if none.
+
+    Elements of the same tag within it are counted, so the end is its own closing
+    tag; an element that is never closed runs to the end of the page.
+    """
     tag, _, css = selector.partition(".")
     if css:
         attr = rf"\s[^>]*class=[\"'][^\"']*\b{re.escape(css)}\b[^\"']*[\"'][^>]*"
     else:
         attr = r"(?:\s[^>]*)?"
-    return F.regexp_extract(c, rf"(?is)<{tag}{attr}>(.*?)</{tag}>", 1)
+    edge = rf"(?is)<{tag}(?:\s[^>]*)?>|</{tag}\s*>"
+
+    def inner(rest: Column) -> Column:
+        tags = F.regexp_extract_all(rest, F.lit(edge), F.lit(0))
+        depth = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("seen"), F.lit(0).alias("end"))
+
+        def step(at: Column, t: Column) -> Column:
+            now = at["depth"] + F.when(t.startswith("</"), -1).otherwise(1)
+            seen = at["seen"] + 1
+            ends = (at["end"] == 0) & (now == 0)
+            return F.struct(now.alias("depth"), seen.alias("seen"), F.when(ends, seen).otherwise(at["end"]).alias("end"))
+
+        def text_of(t: Column) -> Column:
+            end = F.aggregate(t, depth, step)["end"]
+            return bind(F.when(end > 0, end - 1).otherwise(F.size(t)), lambda n: F.array_join(F.flatten(F.zip_with(
+                F.slice(F.split(rest, edge, -1), F.lit(2), n), F.slice(t, F.lit(2), n - 1),
+                lambda x, y: F.array(x, F.coalesce(y, F.lit(""))))), ""))
+
+        return bind(tags, text_of)
+
+    whole = bind(c, lambda page: bind(
+        F.regexp_instr(page, F.lit(rf"(?is)<{tag}{attr}>")),
+        lambda at: F.when(at > 0, inner(F.substr(page, at))).otherwise("")))
+    return F.coalesce(whole, F.lit(""))
 
 
 def element_text(c: Column, selector: str) -> Column:

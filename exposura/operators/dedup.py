@@ -16,12 +16,17 @@ def thread_hash(title: Column, forum: Column) -> Column:
 def unique_sparse(df: DataFrame, key: str, order: list[str], cols: list[str]) -> DataFrame:
     """First row per key; rows without a key are all kept.
 
-    The two parts are filtered apart before the aggregate, so rows without a key
-    are not shuffled into one group.
+    One pass over the input: rows without a key group by their own columns, so that
+    they are spread over all tasks, and come back as often as they were counted.
     """
-    keyed = first_per_key(df.filter(F.col(key).isNotNull()), [key], order, cols)
-    loose = df.filter(F.col(key).isNull()).select(*keyed.columns)
-    return keyed.unionByName(loose)
+    row = F.struct(*cols)
+    loose = F.when(F.col(key).isNull(), F.struct(row, F.struct(*order)))
+    picked = df.groupBy(F.col(key).alias("_key"), loose.alias("_loose")).agg(
+        F.min_by(row, F.struct(*order)).alias("_row"), F.count("*").alias("_n")
+    )
+    times = F.when(F.col("_key").isNull(), F.col("_n")).otherwise(1)
+    repeated = picked.select("_row", F.explode(F.sequence(F.lit(1), times)).alias("_i"))
+    return repeated.select(*[F.col(f"_row.{c}").alias(c) for c in cols])
 
 
 def dedup_composite(df: DataFrame, keys: list[str], order: list[str], cols: list[str]) -> DataFrame:

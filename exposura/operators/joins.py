@@ -12,15 +12,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from exposura.functions import text
-from exposura.session import scratch_path
 
 LITERAL_RULES = 1000
 # From this many phrases on, one pass over the grams of a text costs less than a
 # search per phrase, provided the grams are long enough to be rare.
 GRAM_RULES = 64
 GRAM_LENGTH = 8
-# Rows of a side that is sent to every executor, once it has been counted.
-SENT_ROWS = 100_000
+# Bytes of text in a side that is sent to every executor, once they have been added up.
+SENT_BYTES = 16 << 20
 
 
 def new_only(src: DataFrame, done: DataFrame, key: str) -> DataFrame:
@@ -74,6 +73,13 @@ def small_rules(table: DataFrame, limit: int = LITERAL_RULES) -> list | None:
     return rows if len(rows) <= limit else None
 
 
+def sent_if_small(table: DataFrame, limit: int = SENT_BYTES) -> DataFrame:
+    """The table, marked to be sent to every executor if its rows as text are within the limit."""
+    width = F.coalesce(F.octet_length(F.to_json(F.struct(*table.columns))), F.lit(0)) + 8
+    size = table.agg(F.sum(width)).first()[0] or 0
+    return F.broadcast(table) if size <= limit else table
+
+
 def contains_matches(
     df: DataFrame, id_col: str, text_col: str, rules_df: DataFrame, rule_id: str, phrase: str,
     limit: int = LITERAL_RULES,
@@ -101,42 +107,46 @@ def _contains_literals(df, id_col, text_col, rows, rules_df, rule_id) -> DataFra
 
 
 def contains_by_grams(
-    df: DataFrame, id_col: str, text_col: str, rules_df: DataFrame, rule_id: str, phrase: str
+    df: DataFrame, id_col: str, text_col: str, rules_df: DataFrame, rule_id: str, phrase: str,
+    sent: int = SENT_BYTES, literals: int = LITERAL_RULES,
 ) -> DataFrame:
     """The same pairs for a rule table of any size, by an equi-join on grams.
 
     With q such that 2q - 1 is at most the length of the shortest phrase, the
     text is cut into consecutive grams of q characters and each phrase gives its
     first q grams. Whatever the offset of an occurrence, one of those grams falls
-    on a cut of the text, so no match is lost. The candidates are then checked
-    against the whole text.
+    on a cut of the text, so no match is lost. Phrases too short for rare grams are
+    matched as literals while they are few; else they shorten the grams of all.
 
-    The candidates are written to the shared folder and counted: while they are
-    few they are sent to the texts, beyond that both sides are shuffled by id.
+    While the phrases' grams are within `sent` bytes they are sent to the texts,
+    and a candidate is checked where its text is: only ids leave the task. Beyond
+    that, candidates meet the phrases and then the texts by shuffled joins.
     """
-    spark = df.sparkSession
+    long_enough = F.length(phrase) >= 2 * GRAM_LENGTH - 1
+    named = rules_df.filter(F.length(phrase) > 0).select(rule_id, phrase)
+    short = small_rules(named.filter(~long_enough), literals)
+    if short:
+        by_literal = _contains_literals(df, id_col, text_col, short, rules_df, rule_id)
+        rest = named.filter(long_enough)
+        return by_literal.unionByName(contains_by_grams(df, id_col, text_col, rest, rule_id, phrase, sent, literals))
     low = df.select(id_col, F.lower(F.col(text_col)).alias("_low"))
-    phrases = rules_df.select(rule_id, F.lower(F.col(phrase)).alias("_phrase")).filter(
-        F.length("_phrase") > 0
-    )
-    shortest, n_phrases = phrases.agg(F.min(F.length("_phrase")), F.count("*")).first()
+    phrases = named.select(rule_id, F.lower(F.col(phrase)).alias("_phrase"))
+    shortest, size = phrases.agg(
+        F.min(F.length("_phrase")), F.sum(F.octet_length("_phrase") + F.octet_length(F.col(rule_id).cast("string")) + 48)
+    ).first()
     q = min(12, ((shortest or 1) + 1) // 2)
     grams = F.array_distinct(F.regexp_extract_all("_low", F.lit(f"(?s).{{{q}}}"), F.lit(0)))
-    text_grams = low.select(id_col, F.explode(grams).alias("_gram"))
     heads = F.array_distinct(
         F.array(*[F.substr(F.col("_phrase"), F.lit(i + 1), F.lit(q)) for i in range(q)])
     )
+    if (size or 0) * q <= sent:
+        rule_grams = F.broadcast(phrases.select(rule_id, "_phrase", F.explode(heads).alias("_gram")))
+        met = low.select(id_col, "_low", F.explode(grams).alias("_gram")).join(rule_grams, "_gram")
+        return met.filter(F.col("_low").contains(F.col("_phrase"))).select(id_col, rule_id).distinct()
+    text_grams = low.select(id_col, F.explode(grams).alias("_gram"))
     rule_grams = phrases.select(rule_id, F.explode(heads).alias("_gram"))
-    if n_phrases * q <= SENT_ROWS:
-        rule_grams = F.broadcast(rule_grams)
-
-    path = scratch_path(spark, "candidates")
-    text_grams.join(rule_grams, "_gram").select(id_col, rule_id).distinct().write.parquet(path)
-    candidates = spark.read.parquet(path)
-    pairs = candidates.join(phrases, rule_id)
-    if candidates.count() <= SENT_ROWS:
-        pairs = F.broadcast(pairs)
-    checked = low.join(pairs, id_col)
+    candidates = text_grams.join(rule_grams, "_gram").select(id_col, rule_id).distinct()
+    checked = low.join(candidates.join(phrases, rule_id), id_col)
     return checked.filter(F.col("_low").contains(F.col("_phrase"))).select(id_col, rule_id)
 
 

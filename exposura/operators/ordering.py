@@ -29,5 +29,10 @@ def union_tables(*tables: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
+def union_channels(df: DataFrame, channel: str, wanted: list) -> DataFrame:
+    """The rows of the wanted channels, in one scan of a store that holds all of them."""
+    return df.filter(F.col(channel).isin(wanted))
+
+
 def set_difference(all_rows: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     return all_rows.join(done.select(*keys), keys, "left_anti")

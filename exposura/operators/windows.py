@@ -43,17 +43,22 @@ def tail_n(df: DataFrame, order: str, keep: Column, n: int = 100, last: int = 50
     return recent.filter(keep).orderBy(F.desc(order)).limit(n)
 
 
-def block_numbers(df: DataFrame, key: str, order: list[str], start: Column, out: str = "block_id") -> DataFrame:
+def block_numbers(
+    df: DataFrame, key: str, order: list[str], start: Column, out: str = "block_id", rows_per_range: int = 2_000_000,
+) -> DataFrame:
     """Rows numbered by block, a block running from one start row of its key to the next.
 
     Rows before the first start get 0. The running count is taken in two steps, so
     that no task holds a whole key: the rows are placed in ranges of (key, order),
-    which are of similar size however hot a key is, counted within their range,
+    which are of similar size however hot a key is and whose number follows the rows'
+    own, so that none outgrows a task, counted within their range,
     and raised by what the earlier ranges of the key hold. The placed rows are
     written to the shared folder, since both steps must see the same ranges.
     """
     spark = df.sparkSession
-    placed = df.withColumn("_start", start.cast("int")).repartitionByRange(key, *order)
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(least, -(-df.count() // rows_per_range))
+    placed = df.withColumn("_start", start.cast("int")).repartitionByRange(ranges, key, *order)
     path = scratch_path(spark, "ranges")
     placed.withColumn("_range", F.spark_partition_id()).write.parquet(path)
     ranged = spark.read.parquet(path)

@@ -69,8 +69,14 @@ def credential_list_quarantine(df: DataFrame, key: str, column: str, threshold:
     return df.select(key, share.alias("share")).withColumn("quarantined", F.col("share") >= threshold)
 
 
-def domain_mentions(df: DataFrame, keep: list[str], column: str, suffixes: list[str]) -> DataFrame:
-    """(keep.., kind, domain, n): registered domains of the addresses in every text."""
+def domain_mentions(
+    df: DataFrame, keep: list[str], column: str, suffixes: list[str], owned: DataFrame | None = None
+) -> DataFrame:
+    """(keep.., kind, domain, n): registered domains of the addresses in every text.
+
+    With a table of owned domains only theirs are counted; the others are left
+    before anything is shuffled where that table is small enough to be sent.
+    """
     def mentions(kind: str, found: Column) -> Column:
         return F.transform(
             found,
@@ -82,15 +88,17 @@ def domain_mentions(df: DataFrame, keep: list[str], column: str, suffixes: list[
         mentions("url", sensitive.tokens(F.col(column), r"https?://[A-Za-z0-9.-]+")),
     )
     long = df.select(*keep, F.explode(pairs).alias("m")).select(*keep, "m.kind", "m.domain")
-    return long.filter(F.col("domain") != "").groupBy(*keep, "kind", "domain").agg(F.count("*").alias("n"))
+    named = long.filter(F.col("domain") != "")
+    if owned is not None:
+        named = named.join(joins.sent_if_small(owned.select("domain").distinct()), "domain", "left_semi")
+    return named.groupBy(*keep, "kind", "domain").agg(F.count("*").alias("n"))
 
 
 def watchlist_exposure(
     df: DataFrame, owned: DataFrame, keep: list[str], column: str, suffixes: list[str]
 ) -> DataFrame:
-    """Counts by owned domain and kind; texts are counted down before they meet the list."""
-    mentions = domain_mentions(df, keep, column, suffixes)
-    return mentions.join(owned.select("domain").distinct(), "domain")
+    """Counts by owned domain and kind; a domain meets the list before it is counted."""
+    return domain_mentions(df, keep, column, suffixes, owned)
 
 
 def exposure_report(exposure: DataFrame, by: list[str]) -> DataFrame:

@@ -84,8 +84,12 @@ def toggle_active(df: DataFrame, column: str, pattern: str, active: bool = True)
 
 
 def export_csv(df: DataFrame, path: str, order: list[str]) -> None:
-    """Files in range order of the sort columns: part-00000 holds the earliest rows."""
-    df.orderBy(*order).write.mode("errorifexists").option("header", True).option("escape", '"').csv(path)
+    """Files in range order of the sort columns: part-00000 holds the earliest rows.
+
+    Blanks at either end of a value are kept; an empty value reads back as NULL.
+    """
+    writer = df.orderBy(*order).write.mode("errorifexists").option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def export_json(df: DataFrame, path: str, order: list[str]) -> None:

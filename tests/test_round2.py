@@ -4,8 +4,10 @@ import os
 
 from pyspark.sql import functions as F, types as T
 
-from exposura.functions import sensitive, text
-from exposura.operators import inference
+from conftest import FOLDER
+from exposura import catalog
+from exposura.functions import html, sensitive, text
+from exposura.operators import dedup, inference, joins
 from exposura.sinks import writers
 from exposura.sources import readers
 
@@ -70,3 +72,60 @@ def test_every_kind_is_masked(one):
     for value in ("010-9999", "2001:db8", "822463", "hunter22", "eyJ", "a@example.com"):
         assert value not in masked
     assert masked.startswith("call [PHONE] or [IP] card [CARD] [SECRET]")
+
+
+def test_elements_end_at_their_own_closing_tag(spark):
+    pages = [
+        ('<div class="message-body">a<div>b</div>c</div>d', "a<div>b</div>c", "a b c"),
+        ('x<div class="other">n</div><div class="message-body">open <b>k</b>', "open <b>k</b>", "n"),
+        ('<DIV CLASS="message-body"></DIV>e', "", ""),
+        ("no element", "", ""), ("", "", ""), (None, "", ""),
+        ('<divider>z</divider><div>y</div>', "", "y"),
+        ("<div class='message-body'>" + "<div>q" * 300 + "</div>" * 300 + "end</div>tail", "<div>q" * 300 + "</div>" * 300 + "end",
+         "q " * 300 + "end"),
+    ]
+    df = spark.createDataFrame([(i, p[0]) for i, p in enumerate(pages)], "i int, h string")
+    got = df.select("i", html.element_html(F.col("h"), "div.message-body").alias("a"), html.element_text(F.col("h"), "div").alias("b"))
+    assert [(r["a"], r["b"]) for r in got.orderBy("i").collect()] == [(a, b) for _, a, b in pages]
+
+
+def test_entities_by_name_and_number(spark):
+    df = spark.createDataFrame([("&#8217;&#x27;&eacute;&amp;lt;&bogus;&nbsp;&#0;&#55296;&#x1F600; & &;",), ("plain",), (None,)], "h string")
+    got = [r["t"] for r in df.select(html.decode_entities(F.col("h")).alias("t")).collect()]
+    assert got == ["’'é&lt;&bogus; ��\U0001F600 & &;", "plain", None]
+
+
+def test_unique_sparse_keeps_equal_rows_without_a_key_in_one_scan(spark):
+    df = spark.createDataFrame([("a", 2), ("a", 1), (None, 5), (None, 5), (None, 6)], "k string, id int")
+    out = dedup.unique_sparse(df, "k", ["id"], ["id", "k"])
+    assert sorted((r["k"] or "", r["id"]) for r in out.collect()) == [("", 5), ("", 5), ("", 6), ("a", 1)]
+    one = catalog.queries()["unique_sparse"](spark, FOLDER)
+    assert one._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_phrase_matches_agree_on_both_sides_of_every_switch(spark):
+    docs = spark.createDataFrame(
+        [(1, "xx The Quick brown fox jumps over it"), (2, "ab"), (2, "ab"), (3, None), (4, "")], "id int, text string")
+    phrases = spark.createDataFrame(
+        [("p", "quick brown fox jumps"), ("q", "aB"), ("r", "over it and more words"), ("s", ""), ("t", None)], "rule string, phrase string")
+    want = {(1, "p"), (2, "q")}
+    for sent in (0, 1 << 20):
+        for literals in (0, 1000):
+            found = joins.contains_by_grams(docs, "id", "text", phrases, "rule", "phrase", sent, literals)
+            assert {tuple(r) for r in found.collect()} == want, (sent, literals)
+    for limit in (0, 1000):
+        assert {tuple(r) for r in joins.contains_matches(docs, "id", "text", phrases, "rule", "phrase", limit).collect()} == want
+
+
+def test_no_text_moves_where_phrases_are_sent(spark):
+    docs, items = readers.table(spark, FOLDER, "documents"), readers.table(spark, FOLDER, "benchmark").withColumnRenamed("text", "phrase")
+    found = joins.contains_by_grams(docs, "doc_id", "text", items, "item_id", "phrase")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and "strategy=broadcast" in plan
+
+
+def test_export_keeps_blanks_quotes_and_breaks(spark, tmp_path):
+    df = spark.createDataFrame([(1, ' lead, "q"\nnext '), (2, "x")], "i int, t string")
+    writers.export_csv(df, str(tmp_path / "x"), ["i"])
+    back = spark.read.schema("i int, t string").option("header", True).option("escape", '"').option("multiLine", True).csv(str(tmp_path / "x"))
+    assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in df.collect())
