@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from exposura.catalog import views as v
-from exposura.catalog.base import query, sql_list, stamp
+from exposura.catalog.base import q, query, sql_list, stamp
 from exposura.catalog.q_filters import VIDEO, forwarding_rules
 from exposura.operators import filters as f
-from exposura.session import scratch_path
+from exposura.session import DEMO_PEPPER, pepper, scratch_path
 from exposura.sources.readers import table
 from exposura.streaming import jobs as s
 
+PEPPER = q(DEMO_PEPPER)
+
 
 def _paths(spark, label):
     base = scratch_path(spark, label)
@@ -102,13 +104,51 @@ def stream_normalize(spark, folder):
     return _appended(spark, s.stream_normalize(lines, "line", {0: "status", 1: "priority"}), "normalize")
 
 
-@query("stream_normalize_dict", """
+HEADERS = {"identity": "E_Mail,Name,\"Mobile\",note", "transaction": "purchase_reference_id,Payment_Vendor,charge_amount,currency"}
+
+
+def _with_header(spark, rows, key, header, label):
+    """Lines of a stream whose files each begin with the header, normalised under the header probed from one file."""
+    path = scratch_path(spark, label)
+    lines = rows.unionByName(spark.createDataFrame([(None, header)], f"{key} long, line string"))
+    lines.write.parquet(path)
+    probe = scratch_path(spark, f"{label}-head")
+    spark.createDataFrame([(header,)], "value string").coalesce(1).write.text(probe)
+    stream = spark.readStream.schema(lines.schema).parquet(path)
+    found = s.normalize_lines(stream, "line", s.probe_header(spark, probe), pepper(spark))
+    return _appended(spark, found, f"{label}-out")
+
+
+@query("stream_normalize_identity", f"""
+SELECT c_custkey, sha256({PEPPER} || lower(c_name)) AS username_hash, sha256({PEPPER} || '+1' || c_custkey) AS phone_hash FROM customer""")
+def stream_normalize_identity(spark, folder):
+    phone = F.concat(F.lit("+1 ("), F.col("c_custkey").cast("string"), F.lit(")"))
+    line = F.concat_ws(",", F.lit("-"), F.concat(F.lit(' "'), "c_name", F.lit('"')), phone, "c_mktsegment")
+    rows = table(spark, folder, "customer").select(F.col("c_custkey").cast("long").alias("c_custkey"), line.alias("line"))
+    return _with_header(spark, rows, "c_custkey", HEADERS["identity"], "identity").select("c_custkey", "username_hash", "phone_hash")
+
+
+@query("stream_normalize_transaction", """
+SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS purchase_ref, nullif(o_orderpriority, '5-LOW') AS payment_vendor,
+       CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS charge_amount FROM orders""")
+def stream_normalize_transaction(spark, folder):
+    vendor = F.when(F.col("o_orderpriority") == "5-LOW", "N/A").otherwise(F.col("o_orderpriority"))
+    line = F.concat_ws(",", "o_orderkey", vendor, F.col("o_totalprice").cast("decimal(18,2)"), F.lit("none"))
+    rows = table(spark, folder, "orders").select(F.col("o_orderkey").cast("long").alias("o_orderkey"), line.alias("line"))
+    found = _with_header(spark, rows, "o_orderkey", HEADERS["transaction"], "transaction")
+    return found.select("o_orderkey", "purchase_ref", "payment_vendor", "charge_amount")
+
+
+@query("stream_normalize_dict", f"""
 SELECT event_id, CASE WHEN event_type <> 'error' THEN json_extract_string(props, '$.k') END AS step,
+       CASE WHEN event_type = 'error' THEN sha256({PEPPER} || 'user ' || user_id) END AS username_hash,
        CASE WHEN event_type <> 'error' THEN 'transaction' ELSE 'identity' END AS mode FROM events""")
 def stream_normalize_dict(spark, folder):
-    payload = F.when(F.col("event_type") == "error", '{"name": "x"}').otherwise(F.col("props"))
+    named = F.concat(F.lit('{"name": " User '), F.col("user_id").cast("string"), F.lit('"}'))
+    payload = F.when(F.col("event_type") == "error", named).otherwise(F.col("props"))
     stream = _events(spark, folder).select("event_id", payload.alias("payload"))
-    return _appended(spark, s.stream_normalize_dict(stream, "payload", {"k": "step"}), "dict")
+    found = s.stream_normalize_dict(stream, "payload", {"k": "step"}, pepper(spark)).select("event_id", "step", "username_hash", "mode")
+    return _appended(spark, found, "dict")
 
 
 NEWEST = """

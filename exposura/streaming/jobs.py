@@ -10,10 +10,14 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from exposura.functions import text, values
+from exposura import rules
+from exposura.functions import sensitive, text, values
+from exposura.operators import projections
 from exposura.operators.joins import content_route
 from exposura.operators.windows import latest_per_key
 
+PRIVATE_TARGETS = ["address", "birthdate", "facebook_generated_email", "url"]
+
 
 # --- sources ------------------------------------------------------------------
 
@@ -116,28 +120,121 @@ def compact(spark: SparkSession, path: str, target: str, key: list[str], order:
 
 # --- jobs ---------------------------------------------------------------------
 
+def guarded(df: DataFrame, names: list[str], pepper: str | None) -> DataFrame:
+    """Mapped identity columns as keyed hashes and kinds; names, addresses and birth dates go."""
+    out = []
+    for c in df.columns:
+        value = F.col(f"`{c}`")
+        if c not in names or c not in rules.IDENTITY_TARGETS + PRIVATE_TARGETS:
+            out.append(value)
+        elif c == "password":
+            out.append(sensitive.secret_kind(value).alias("secret_kind"))
+        elif c in projections.IDENTITY_PILLARS:
+            if pepper is None:
+                raise ValueError(f"{c} needs a pepper")
+            out.append(sensitive.keyed_hash(text.blank_to_null(value), pepper).alias(f"{c}_hash"))
+    return df.select(*out)
+
+
 def stream_normalize(
-    stream: DataFrame, line: str, column_map: dict[int, str], delim: str = ","
+    stream: DataFrame, line: str, column_map: dict[int, str], delim: str = ",", pepper: str | None = None
 ) -> DataFrame:
-    """Delimited lines to named columns by ordinal, placeholders to NULL; empty rows go."""
+    """Delimited lines to named columns by ordinal, placeholders to NULL; empty rows go.
+
+    Identity columns leave as keyed hashes and kinds only.
+    """
     parts = F.split(F.col(line), f"\\Q{delim}\\E", -1)
     named = [
         text.null_token(text.clean_header(F.get(parts, F.lit(i)))).alias(n) for i, n in sorted(column_map.items())
     ]
     rest = [c for c in stream.columns if c != line]
     out = stream.select(*rest, *named)
-    return out.filter(F.coalesce(*[F.col(n) for n in column_map.values()]).isNotNull())
+    kept = out.filter(F.coalesce(*[F.col(n) for n in column_map.values()]).isNotNull())
+    return guarded(kept, list(column_map.values()), pepper)
+
+
+def probe_header(spark: SparkSession, path: str) -> str:
+    """First line of a file; one row reaches the driver."""
+    row = spark.read.text(path).first()
+    return row["value"] if row else ""
+
+
+def header_columns(header: str, delim: str = ",") -> list[str]:
+    """Lower-cased names of a header line, quotes taken off."""
+    return [h.strip().strip("\"'").lower() for h in header.split(delim)]
 
 
-def stream_normalize_dict(stream: DataFrame, payload: str, fields: dict[str, str]) -> DataFrame:
-    """JSON payload to columns: the transaction fields first, a plain kind where there are none."""
-    found = [
-        text.null_token(values.json_get(F.col(payload), source)).alias(target)
-        for source, target in fields.items()
+def header_mode(columns: list[str]) -> str:
+    """"transaction" where a column only transactions have is present, else "identity"."""
+    return "transaction" if set(columns) & set(rules.TRANSACTION_MARKS) else "identity"
+
+
+def normalize_lines(
+    lines: DataFrame, line: str, header: str, pepper: str, delim: str = ","
+) -> DataFrame:
+    """Delimited lines under a probed header, by the mode that the header tells; stream or batch.
+
+    Both modes go through the batch functions: transaction fields under canonical
+    names, identities as keyed hashes. Of repeated names the last column counts;
+    repeated header lines and rows without any field go.
+    """
+    columns = header_columns(header, delim)
+    at = {name: i for i, name in enumerate(columns) if name}
+    parts = F.split(F.col(line), f"\\Q{delim}\\E", -1)
+    rest = [c for c in lines.columns if c != line]
+    data = lines.filter(text.strip(F.col(line)) != header.strip())
+
+    def field(name: str) -> Column:
+        return text.null_token(text.clean_header(F.get(parts, F.lit(at[name]))))
+
+    if header_mode(columns) == "transaction":
+        used = [c for c in rules.TRANSACTION_COLUMNS if c in at]
+        named = data.select(*[F.col(c).alias(f"_{c}") for c in rest], *[field(c).alias(c) for c in used])
+        out = projections.normalize_transaction(named)
+        fields = [c for c in out.columns if not c.startswith("_")]
+        out = projections.require_transaction_field(out, fields)
+    else:
+        named = {p: [field(a) for a in aliases if a in at] for p, aliases in rules.PILLAR_ALIASES.items()}
+        named = {p: F.coalesce(*found) for p, found in named.items() if found}
+        if not named:
+            raise ValueError("the header names no identity column")
+        pillars = data.select(*[F.col(c).alias(f"_{c}") for c in rest], *[c.alias(p) for p, c in named.items()])
+        out = projections.require_pillar(projections.normalize_identity(pillars, pepper))
+    kept = {f"_{c}": c for c in rest}
+    return out.select(*[F.col(c).alias(kept.get(c, c)) for c in out.columns])
+
+
+def stream_normalize_dict(
+    stream: DataFrame, payload: str, fields: dict[str, str], pepper: str,
+    embedded: dict[str, dict[str, str]] | None = None,
+) -> DataFrame:
+    """JSON payload to columns, stream or batch: transaction fields first, else identities.
+
+    `embedded` names fields that hold JSON as text, each with its own fields. Where
+    no transaction field is found, the identities of the payload follow as keyed
+    hashes; payloads with neither go.
+    """
+    found = [(target, values.json_get(F.col(payload), source)) for source, target in fields.items()]
+    for outer, inner in (embedded or {}).items():
+        found += [(t, values.json_get(values.json_get(F.col(payload), outer), s)) for s, t in inner.items()]
+    by_target: dict[str, list[Column]] = {}
+    for target, value in found:
+        by_target.setdefault(target, []).append(text.null_token(value))
+    rest = [c for c in stream.columns if c != payload]
+    has = F.coalesce(*[F.col(t) for t in by_target]).isNotNull()
+    pillars = {
+        p: F.coalesce(*[text.null_token(values.json_get(F.col(payload), a)) for a in aliases])
+        for p, aliases in rules.PILLAR_ALIASES.items()
+    }
+    read = stream.select(*rest, *[values.last_non_empty(*c).alias(t) for t, c in by_target.items()],
+                         *[c.alias(f"_{p}") for p, c in pillars.items()])
+    norm = {"email": text.norm_email, "phone": text.norm_phone}
+    hashed = [
+        F.when(~has, sensitive.keyed_hash(norm.get(p, text.strip)(F.col(f"_{p}")), pepper)).alias(f"{p}_hash") for p in pillars
     ]
-    out = stream.select(*[c for c in stream.columns if c != payload], *found)
-    has = F.coalesce(*[F.col(t) for t in fields.values()]).isNotNull()
-    return out.withColumn("mode", F.when(has, "transaction").otherwise("identity"))
+    mode = F.when(has, "transaction").otherwise("identity").alias("mode")
+    known = has | F.coalesce(*[F.col(f"_{p}") for p in pillars]).isNotNull()
+    return read.filter(known).select(*rest, *by_target, *hashed, mode)
 
 
 def stream_route(stream: DataFrame, rules_df: DataFrame, kind: Column) -> DataFrame:
@@ -169,20 +266,25 @@ def window_counts(
 
 def ingest_manifest(
     stream: DataFrame, path_col: str, out: str, dead: str, checkpoint: str,
-    read: Callable[[list[str]], DataFrame],
+    read: Callable[[list[str]], DataFrame], group: int = 10_000,
 ):
     """Messages name files; each batch reads its files and writes them under its number.
 
-    Messages without a path go to the dead-letter table. Only the paths of one
-    micro-batch, bounded by the source's files per trigger, reach the driver.
+    Messages without a path go to the dead-letter table. A batch's paths are dealt
+    into groups of about `group` by their hash, read and written group after group,
+    so that no more than a group's paths reach the driver at a time.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         missing = F.col(path_col).isNull() | (F.col(path_col) == "")
         batch.filter(missing).write.mode("overwrite").parquet(f"{dead}/batch_id={batch_id}")
-        paths = [r[0] for r in batch.filter(~missing).select(path_col).distinct().collect()]
-        if paths:
-            read(paths).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        named = batch.filter(~missing).select(path_col).distinct()
+        groups = -(-named.count() // group)
+        for k in range(groups):
+            mine = named.filter(F.pmod(F.xxhash64(path_col), F.lit(groups)) == k)
+            paths = [r[0] for r in mine.collect()]
+            if paths:
+                read(paths).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}/part={k}")
 
     return run_available(stream.writeStream.foreachBatch(write), checkpoint)
 

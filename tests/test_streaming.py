@@ -108,3 +108,57 @@ def test_late_rows_beyond_the_watermark_are_dropped(spark, tmp_path):
         s.window_counts(stream, "ts", "k", out, checkpoint)
     got = s.read_latest(spark, out, ["window_start", "k"], ["n"])
     assert sorted((r.window_start.hour, r.n) for r in got.collect()) == [(0, 1), (5, 2)]
+
+
+def test_headers_tell_the_mode_and_identities_leave_hashed(spark, tmp_path):
+    header = 'E_Mail,Name,"Mobile"'
+    rows = [(1, header), (2, "a@example.com,-,"), (3, ' ,"Ann",+1 555'), (4, "null,none,n/a"), (5, None), (6, "b@example.com")]
+    df = spark.createDataFrame(rows, "id int, line string")
+    assert s.header_mode(s.header_columns(header)) == "identity"
+    batch = s.normalize_lines(df, "line", header, "p")
+    assert batch.columns == ["id", "email_hash", "username_hash", "phone_hash"]
+    got = {r["id"]: r for r in batch.collect()}
+    assert set(got) == {2, 3, 6} and got[2]["username_hash"] is None and got[2]["email_hash"] != got[6]["email_hash"]
+    assert not any("@" in str(v) or "Ann" in str(v) for r in got.values() for v in r)
+
+    path = str(tmp_path / "lines")
+    df.repartition(3).write.parquet(path)
+    stream = s.normalize_lines(spark.readStream.schema(df.schema).parquet(path), "line", header, "p")
+    s.append_to(stream, str(tmp_path / "o"), str(tmp_path / "c"))
+    assert sorted(spark.read.parquet(str(tmp_path / "o")).collect()) == sorted(batch.collect())
+
+
+def test_transaction_lines(spark):
+    header = "purchase_reference_id,charge_amount,purchase_amount,other"
+    df = spark.createDataFrame([("r1,5,,z",), ("r2,5,7,z",), ("-,null,,z",), ("",)], "line string")
+    got = s.normalize_lines(df, "line", header, "p").collect()
+    assert [(r["purchase_ref"], r["charge_amount"]) for r in got] == [("r1", "5"), ("r2", "7")]
+
+
+def test_payloads_of_either_mode_and_of_none(spark):
+    df = spark.createDataFrame(
+        [(1, '{"amount": "5", "email": "a@example.com"}'), (2, '{"inner": "{\\"vendor\\": \\"v\\"}"}'),
+         (3, '{"email": " A@example.com "}'), (4, '{"x": 1}'), (5, "broken"), (6, None)], "id int, payload string")
+    found = s.stream_normalize_dict(df, "payload", {"amount": "charge_amount"}, "p", {"inner": {"vendor": "payment_vendor"}})
+    got = {r["id"]: r for r in found.collect()}
+    assert {k: r["mode"] for k, r in got.items()} == {1: "transaction", 2: "transaction", 3: "identity"}
+    assert got[2]["payment_vendor"] == "v" and got[1]["email_hash"] is None and len(got[3]["email_hash"]) == 64
+
+
+def test_mapped_identities_never_leave_in_clear(spark):
+    df = spark.createDataFrame([("a@example.com,hunter22,Ann,x",)], "line string")
+    out = s.stream_normalize(df, "line", {0: "email", 1: "password", 2: "first_name", 3: "city"}, pepper="p")
+    assert set(out.columns) == {"email_hash", "secret_kind", "city"}
+    with pytest.raises(ValueError):
+        s.stream_normalize(df, "line", {0: "email"})
+
+
+def test_manifest_in_groups_reads_every_file_once(spark, queue, tmp_path):
+    files = spark.read.json(queue, schema=SCHEMA).select(F.col("_metadata.file_path").alias("file_path")).distinct()
+    manifest = str(tmp_path / "manifest")
+    files.coalesce(1).write.json(manifest)
+    out = str(tmp_path / "o")
+    s.ingest_manifest(
+        s.queue_source(spark, manifest, "file_path string"), "file_path", out, str(tmp_path / "d"), str(tmp_path / "c"),
+        lambda paths: spark.read.schema(SCHEMA).json(paths), group=2)
+    assert spark.read.parquet(out).select("id").distinct().count() == spark.read.parquet(out).count() == 100
