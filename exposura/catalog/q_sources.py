@@ -177,6 +177,16 @@ def catalog_files(spark, folder):
     return sizes.withColumn("parent_directory", F.regexp_replace("parent_directory", "^source=", ""))
 
 
+@query("catalog_directories", """
+SELECT 'source=' || source AS relative_path, CAST(sum(strlen(text) + 1) AS BIGINT) AS file_size_bytes, CAST(1 AS BIGINT) AS depth_level
+FROM documents GROUP BY source""")
+def catalog_directories(spark, folder):
+    """The directories of a tree that was written out, each with the size of what is below."""
+    written = r.catalog_files(spark, _text_tree(spark, folder, "folders"))
+    texts = written.filter(F.col("extension") == ".txt")
+    return r.directory_rows(texts).select("relative_path", "file_size_bytes", (F.col("depth_level") + 1).cast("long").alias("depth_level"))
+
+
 @query("scan_batch_dir", FILE_SIZES)
 def scan_batch_dir(spark, folder):
     found = r.scan_batch_dir(spark, _text_tree(spark, folder, "batch"), "*.txt")

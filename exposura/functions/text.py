@@ -112,22 +112,35 @@ def host_of(c: Column) -> Column:
     return F.lower(F.regexp_extract(no_scheme, r"^([^/:?#\s]+)", 1))
 
 
+def parse_suffixes(lines: list[str]) -> list[str]:
+    """Entries of a public-suffix file; blank lines and // comments are no entries."""
+    return [line.split()[0].lower() for line in lines if line.strip() and not line.strip().startswith("//")]
+
+
 def registered_domain(c: Column, suffixes: list[str]) -> Column:
     """Longest listed public suffix plus one label, or "" when none is listed.
 
-    Each ending of the host is looked up in the list as a hashed set, from the
+    An entry "*.name" makes every label before the name part of the suffix; "!a.name"
+    excepts that host from it, which is then a registered domain itself. Each ending of the host is looked up in the list as a hashed set, from the
     longest down, so a list of thousands costs a few lookups and no join.
     """
-    by_labels: dict[int, list[str]] = {}
+    plain: dict[int, list[str]] = {}
+    wild: dict[int, list[str]] = {}
+    excepted: dict[int, list[str]] = {}
     for suffix in suffixes:
-        by_labels.setdefault(suffix.count(".") + 1, []).append(suffix.lower())
+        kind = wild if suffix.startswith("*.") else excepted if suffix.startswith("!") else plain
+        kind.setdefault(suffix.count(".") + 1, []).append(suffix.lower().removeprefix("*.").removeprefix("!"))
 
     def longest(labels: Column) -> Column:
-        tests = []
-        for k in sorted(by_labels, reverse=True):
-            ending = F.array_join(F.slice(labels, -k, k), ".")
-            listed = (F.size(labels) > k) & ending.isin(by_labels[k])
-            tests.append((listed, F.array_join(F.slice(labels, -(k + 1), k + 1), ".")))
+        def ending(k: int) -> Column:
+            return F.when(F.size(labels) >= k, F.array_join(F.slice(labels, -k, k), "."))
+
+        tests = [(ending(k).isin(excepted[k]), ending(k)) for k in sorted(excepted, reverse=True)]
+        for k in sorted({*plain, *wild}, reverse=True):
+            listed = ending(k).isin(plain[k]) if k in plain else F.lit(False)
+            if k in wild:
+                listed = listed | ending(k - 1).isin(wild[k])
+            tests.append(((F.size(labels) > k) & listed, ending(k + 1)))
         return first_rule(tests, F.lit(""))
 
     return bind(F.split(host_of(c), "[.]", -1), longest)

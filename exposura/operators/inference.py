@@ -137,6 +137,26 @@ def sample_shapes(df: DataFrame, ordinal: str, columns: list[str], rows: int = 1
     )
 
 
+def filename_record(name: Column, records: list[dict]) -> Column:
+    """(parser, delimiter, header, columns) of the first record whose pattern the lower-cased name matches.
+
+    A record has `pattern` and `parser`; `delimiter`, `header` and `columns` (ordinal
+    to target) may be left out and are NULL then.
+    """
+    kind = "struct<parser:string,delimiter:string,header:boolean,columns:map<int,string>>"
+
+    def row(r: dict) -> Column:
+        pairs = [x for k, t in sorted(r.get("columns", {}).items()) for x in (F.lit(int(k)), F.lit(t))]
+        return F.struct(
+            F.lit(r["parser"]).alias("parser"), F.lit(r.get("delimiter")).cast("string").alias("delimiter"),
+            F.lit(r.get("header")).cast("boolean").alias("header"),
+            (F.create_map(*pairs) if pairs else F.lit(None)).cast("map<int,string>").alias("columns"),
+        ).cast(kind)
+
+    none = F.lit(None).cast(kind)
+    return text.first_rule([(F.lower(name).rlike(r["pattern"]), row(r)) for r in records], none) if records else none
+
+
 def filename_rule(name: Column, table: list[tuple[str, str]]) -> Column:
     """Value of the first pattern the lower-cased name matches, or NULL."""
     low = F.lower(name)

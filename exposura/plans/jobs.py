@@ -110,14 +110,25 @@ def score_hosts(counts: DataFrame, host: str, kind: str, n: str, weights=rules.R
     return aggregates.risk_score(counts, host, kind, n, weights)
 
 
-def classify_file(catalog: DataFrame, path: str, sample: Column | None = None) -> DataFrame:
-    """Adds the parser of every file: by suffix, then by the shape of a text sample."""
+def classify_file(
+    catalog: DataFrame, path: str, sample: Column | None = None,
+    records: list[dict] | None = None, list_threshold: float | None = None,
+) -> DataFrame:
+    """Adds the parser of every file: by suffix, then by the shape of a text sample.
+
+    Filename records, if given, come first. With a threshold, samples laid out like
+    a credential list that far get "credential_list", which is for quarantine.
+    """
     family = files.file_family(F.col(path))
     if sample is not None:
         shape = inference.csv_vs_list(sample)
         family = F.when(
             (family == "list") & (shape == "table"), "structured_table"
         ).otherwise(family)
+    if sample is not None and list_threshold is not None:
+        family = F.when(inference.list_share(sample) >= list_threshold, "credential_list").otherwise(family)
+    if records:
+        family = F.coalesce(inference.filename_record(files.filename(F.col(path)), records)["parser"], family)
     return catalog.withColumn("parser", family)
 
 
@@ -135,6 +146,26 @@ def ingest(
     return first_per_key(fresh, ["sha256"], [key], [key, "size", "shape"])
 
 
+def ingest_into(
+    files_df: DataFrame, registry_path: str, key: str, content: str, batch: str
+) -> DataFrame:
+    """Appends the new files of a batch to the registry and returns them, as stored.
+
+    A registry is a folder of batches; a batch that is run again overwrites its own
+    part, and files known from other batches are left out, so neither a repeated
+    batch nor a repeated file doubles a row. Rows carry the status "processed".
+    """
+    spark = files_df.sparkSession
+    schema = "sha256 string, size long, shape string, status string, batch string"
+    path = spark._jvm.org.apache.hadoop.fs.Path(registry_path)
+    exists = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    known = spark.read.parquet(registry_path).filter(F.col("batch") != batch) if exists else spark.createDataFrame([], schema)
+    fresh = ingest(files_df, known, key, content).withColumn("size", F.col("size").cast("long"))
+    part = f"{registry_path.rstrip('/')}/batch={batch}"
+    fresh.withColumn("status", F.lit("processed")).write.mode("overwrite").parquet(part)
+    return spark.read.parquet(part)
+
+
 def extract_entries(pages: DataFrame, url: str, column: str, layouts: list[tuple[str, dict]]) -> DataFrame:
     """Cards of every page under the first layout whose name is part of the host."""
     host = text.host_of(F.col(url))

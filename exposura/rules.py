@@ -116,8 +116,6 @@ TRANSACTION_TRIGGERS = [
     "purchase_reference_id", "purchase_revenue_id", "buyable_object_type",
     "charge_amount", "payment_vendor",
 ]
-# A header with one of these is that of transactions.
-TRANSACTION_MARKS = ["purchase_reference_id", "purchase_revenue_id", "buyable_object_type", "charge_amount", "payment_vendor"]
 # Identity columns of streamed records, in order of preference.
 PILLAR_ALIASES = {
     "email": ["email", "e_mail", "mail"],

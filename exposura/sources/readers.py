@@ -169,15 +169,39 @@ def catalog_columns(df: DataFrame, path: str, size: str, is_directory=None) -> D
     )
 
 
-def catalog_files(spark: SparkSession, root: str) -> DataFrame:
-    """Catalog of a directory tree; contents are not read."""
+def catalog_files(spark: SparkSession, root: str, directories: bool = False) -> DataFrame:
+    """Catalog of a directory tree, its directories too if asked for; contents are not read."""
     found = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
         .select("path", F.col("length").alias("size"))
     )
     base = root.rstrip("/") + "/"
     relative = F.substring_index(F.col("path"), base, -1)
-    return catalog_columns(found.withColumn("rel", relative), "rel", "size")
+    listed = catalog_columns(found.withColumn("rel", relative), "rel", "size")
+    return listed.unionByName(directory_rows(listed), allowMissingColumns=True) if directories else listed
+
+
+def directory_rows(catalog: DataFrame) -> DataFrame:
+    """Catalog rows of every directory above the files, with child_count and size.
+
+    The size is that of all files below; children are the files and directories
+    directly within. Each file counts into its ancestors where it is read, so only
+    sums are shuffled.
+    """
+    parts = F.split("relative_path", "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda k: F.array_join(F.slice(parts, 1, k), "/"))
+    within = F.when(F.size(parts) > 1, above).otherwise(F.array().cast("array<string>"))
+    found = catalog.filter(~F.col("is_directory")).select(
+        "parent_path", F.col("file_size_bytes").alias("_bytes"), F.explode(within).alias("_dir")
+    )
+    sums = found.groupBy("_dir").agg(
+        F.sum("_bytes").alias("_size"), F.count_if(F.col("parent_path") == F.col("_dir")).alias("_files"))
+    folders = sums.groupBy(files.parent_path(F.col("_dir")).alias("_above")).agg(F.count("*").alias("_folders"))
+    joined = sums.join(folders, F.col("_dir") == F.col("_above"), "left")
+    rows = catalog_columns(joined, "_dir", "_size", F.lit(True))
+    counted = joined.select(
+        F.col("_dir").alias("relative_path"), (F.col("_files") + F.coalesce("_folders", F.lit(0))).alias("child_count"))
+    return rows.join(counted, "relative_path")
 
 
 def scan_batch_dir(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:

@@ -166,7 +166,7 @@ def header_columns(header: str, delim: str = ",") -> list[str]:
 
 def header_mode(columns: list[str]) -> str:
     """"transaction" where a column only transactions have is present, else "identity"."""
-    return "transaction" if set(columns) & set(rules.TRANSACTION_MARKS) else "identity"
+    return "transaction" if set(columns) & set(rules.TRANSACTION_TRIGGERS) else "identity"
 
 
 def normalize_lines(

@@ -8,6 +8,7 @@ from conftest import FOLDER
 from exposura import catalog
 from exposura.functions import html, sensitive, text
 from exposura.operators import dedup, inference, joins
+from exposura.plans import jobs
 from exposura.sinks import writers
 from exposura.sources import readers
 
@@ -129,3 +130,54 @@ def test_export_keeps_blanks_quotes_and_breaks(spark, tmp_path):
     writers.export_csv(df, str(tmp_path / "x"), ["i"])
     back = spark.read.schema("i int, t string").option("header", True).option("escape", '"').option("multiLine", True).csv(str(tmp_path / "x"))
     assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in df.collect())
+
+
+def test_suffixes_with_wildcards_and_exceptions(spark):
+    listed = text.parse_suffixes(["// comment", "", "com", "*.ck", "!www.ck", "co.example"])
+    assert listed == ["com", "*.ck", "!www.ck", "co.example"]
+    cases = {"https://a.b.com/x": "b.com", "u@m.a.b.ck": "a.b.ck", "x.y.www.ck": "www.ck", "www.ck": "www.ck", "b.ck": "", "ck": "",
+             "a.co.example": "a.co.example", "co.example": "", "com": "", "": ""}
+    df = spark.createDataFrame([(k,) for k in cases], "h string")
+    got = {r["h"]: r["d"] for r in df.select("h", text.registered_domain(F.col("h"), listed).alias("d")).collect()}
+    assert got == cases
+    assert df.select(text.registered_domain(F.col("h"), []).alias("d")).distinct().collect()[0]["d"] == ""
+
+
+def test_directories_count_children_and_bytes(spark, tmp_path):
+    root = str(tmp_path / "tree")
+    for name, size in (("a/x.txt", 3), ("a/b/y.txt", 5), ("a/b/z.txt", 7), ("c/w.txt", 1), ("top.txt", 2)):
+        put(os.path.dirname(f"{root}/{name}"), os.path.basename(name), "q" * size)
+    found = readers.catalog_files(spark, root, directories=True).collect()
+    folders = {r["relative_path"]: (r["child_count"], r["file_size_bytes"], r["parent_path"], r["extension"]) for r in found if r["is_directory"]}
+    assert folders == {"a": (2, 15, "", None), "a/b": (2, 12, "a", None), "c": (1, 1, "", None)}
+    assert sum(not r["is_directory"] for r in found) == 5
+
+
+def test_failed_rows_are_counted_and_not_written(spark, tmp_path):
+    df = spark.createDataFrame([(1,), (None,), (3,)], "i int")
+    assert writers.write_index(df, str(tmp_path / "i"), failed=F.col("i").isNull()) == {"written": 2, "failed": 1}
+    assert spark.read.parquet(str(tmp_path / "i")).count() == 2
+
+
+def test_ingest_is_idempotent(spark, tmp_path):
+    registry = str(tmp_path / "registry")
+    df = spark.createDataFrame([(1, "a,b"), (2, "c"), (3, "c"), (4, None)], "id int, content string")
+    first = {r["id"] for r in jobs.ingest_into(df, registry, "id", "content", "one").collect()}
+    assert {1, 2} <= first and 3 not in first
+    assert {r["id"] for r in jobs.ingest_into(df, registry, "id", "content", "one").collect()} == first
+    more = df.filter("id < 3").union(spark.createDataFrame([(9, "new")], df.schema))
+    assert [r["id"] for r in jobs.ingest_into(more, registry, "id", "content", "two").collect()] == [9]
+    stored = spark.read.parquet(registry)
+    assert stored.filter("sha256 IS NOT NULL").count() == 3 and {r["status"] for r in stored.collect()} == {"processed"}
+
+
+def test_filename_records_come_before_suffix_and_list_check(spark):
+    records = [{"pattern": r"^orders_.*\.txt$", "parser": "structured_table", "delimiter": "|", "header": False, "columns": {0: "user_id", 2: "currency"}},
+               {"pattern": "^notes", "parser": "list"}]
+    sample = "\n".join(f"user{i}@example.com:secret{i}" for i in range(30))
+    df = spark.createDataFrame([(1, "in/Orders_1.txt", "x"), (2, "in/notes.csv", "x"), (3, "in/other.txt", sample), (4, "in/z.csv", "a,b")],
+                               "i int, path string, s string")
+    got = jobs.classify_file(df, "path", F.col("s"), records, 0.7)
+    assert {r["i"]: r["parser"] for r in got.collect()} == {1: "structured_table", 2: "list", 3: "credential_list", 4: "structured_table"}
+    record = df.select(inference.filename_record(F.lit("orders_7.txt"), records).alias("r")).first()["r"]
+    assert (record["delimiter"], record["header"], record["columns"]) == ("|", False, {0: "user_id", 2: "currency"})
