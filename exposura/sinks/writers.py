@@ -11,16 +11,17 @@ from exposura.sources.readers import channel_bucket
 def write_index(
     df: DataFrame, path: str, mode: str = "append", partition_by: list[str] | None = None, failed: Column | None = None
 ) -> dict:
-    """Rows to a parquet table; returns the numbers written and failed, observed on the way.
+    """Rows to a parquet table; returns the number written, observed on the way.
 
-    Rows for which `failed` holds are counted and not written.
+    Rows for which `failed` holds, if it is given, are counted too and not written.
     """
     seen = Observation()
-    bad = F.coalesce(failed, F.lit(False)) if failed is not None else F.lit(False)
-    marked = df.withColumn("_failed", bad)
-    counted = marked.observe(
-        seen, F.count_if(~F.col("_failed")).alias("written"), F.count_if("_failed").alias("failed")
-    ).filter(~F.col("_failed")).drop("_failed")
+    if failed is None:
+        counted = df.observe(seen, F.count(F.lit(1)).alias("written"))
+    else:
+        marked = df.withColumn("_failed", F.coalesce(failed, F.lit(False)))
+        numbers = F.count_if(~F.col("_failed")).alias("written"), F.count_if("_failed").alias("failed")
+        counted = marked.observe(seen, *numbers).filter(~F.col("_failed")).drop("_failed")
     if partition_by:
         _balanced(counted, partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
     else:
