@@ -73,13 +73,6 @@ def small_rules(table: DataFrame, limit: int = LITERAL_RULES) -> list | None:
     return rows if len(rows) <= limit else None
 
 
-def sent_if_small(table: DataFrame, limit: int = SENT_BYTES) -> DataFrame:
-    """The table, marked to be sent to every executor if its rows as text are within the limit."""
-    width = F.coalesce(F.octet_length(F.to_json(F.struct(*table.columns))), F.lit(0)) + 8
-    size = table.agg(F.sum(width)).first()[0] or 0
-    return F.broadcast(table) if size <= limit else table
-
-
 def contains_matches(
     df: DataFrame, id_col: str, text_col: str, rules_df: DataFrame, rule_id: str, phrase: str,
     limit: int = LITERAL_RULES,

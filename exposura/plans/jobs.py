@@ -75,7 +75,7 @@ def domain_mentions(
     """(keep.., kind, domain, n): registered domains of the addresses in every text.
 
     With a table of owned domains only theirs are counted; the others are left
-    before anything is shuffled where that table is small enough to be sent.
+    before anything is shuffled where that table is below the broadcast threshold.
     """
     def mentions(kind: str, found: Column) -> Column:
         return F.transform(
@@ -90,7 +90,7 @@ def domain_mentions(
     long = df.select(*keep, F.explode(pairs).alias("m")).select(*keep, "m.kind", "m.domain")
     named = long.filter(F.col("domain") != "")
     if owned is not None:
-        named = named.join(joins.sent_if_small(owned.select("domain").distinct()), "domain", "left_semi")
+        named = named.join(owned.select("domain"), "domain", "left_semi")
     return named.groupBy(*keep, "kind", "domain").agg(F.count("*").alias("n"))
 
 
