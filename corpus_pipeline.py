@@ -9,6 +9,7 @@ from exposura.llm import bpe, exact, minhash, mixing, quality
 from exposura.llm.common import free_name, saved, table
 
 ORACLE_SQL = None
+SIMILAR = (80, 100)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,8 +31,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return _kept(docs, minhash.near_duplicates(docs))
+    """One document of each group of near copies, linked from a similarity of 0.80 on."""
+    return _kept(docs, minhash.near_duplicates(docs, threshold=SIMILAR))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

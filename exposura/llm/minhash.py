@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,9 +14,9 @@ from pyspark.sql import functions as F
 from exposura.llm.common import saved
 
 WIDTH = 5
-ROWS, BANDS = 6, 32
-SKETCH = ROWS * BANDS
-NUMERATOR, DENOMINATOR = 85, 100
+SKETCH = 192
+MISSED = 3.1e-7
+THRESHOLD = (85, 100)
 BLOCK = 256
 WORDS_HELD = 500_000
 
@@ -23,7 +24,7 @@ _rng = np.random.default_rng(20240501)
 _MIX = [int(x) | 1 for x in _rng.integers(1, 2**63, WIDTH, dtype=np.uint64)]
 _FACTORS = np.array(_MIX, np.uint64)
 _SEEDS = _rng.integers(1, 2**63, 2 * SKETCH, dtype=np.uint64) | np.uint64(1)
-_BAND = _rng.integers(1, 2**63, (BANDS, ROWS), dtype=np.uint64) | np.uint64(1)
+_BAND = _rng.integers(1, 2**63, SKETCH, dtype=np.uint64) | np.uint64(1)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -92,15 +93,29 @@ def sketch(items: np.ndarray, size: int = SKETCH, seeds: np.ndarray = _SEEDS) ->
     return out
 
 
-def band_keys(values: np.ndarray) -> np.ndarray:
-    return mixed((values.reshape(BANDS, ROWS) * _BAND).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+def banding(threshold: tuple[int, int] = THRESHOLD) -> tuple[int, int]:
+    """(bands, rows): the widest bands of a sketch by which a pair at the threshold
+    is missed with probability MISSED at most."""
+    share = threshold[0] / threshold[1]
+    for rows in range(SKETCH, 0, -1):
+        least = math.log(MISSED) / math.log1p(-share**rows) if share < 1 else 1
+        if math.ceil(least) * rows <= SKETCH:
+            return math.ceil(least), rows
+    raise ValueError(f"a sketch of {SKETCH} coordinates does not find pairs at {share}")
+
+
+def band_keys(values: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    factors = _BAND[:bands * rows].reshape(bands, rows)
+    return mixed((values.reshape(bands, rows) * factors).sum(axis=1, dtype=np.uint64) + np.arange(bands, dtype=np.uint64)).view(np.int64)
 
 
 SKETCHED = "doc_id long, n long, digest binary, bands array<long>"
 
 
-def sketches(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def sketches(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """Rows doc_id, n (set size), digest of the set and band keys; both null for an empty set."""
+    count, rows = banding(threshold)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
@@ -110,7 +125,7 @@ def sketches(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                     items = shingles(text.as_py())
                     sizes.append(len(items))
                     digests.append(xxhash.xxh3_128_digest(items.tobytes()) if len(items) else None)
-                    bands.append(band_keys(sketch(items)) if len(items) else None)
+                    bands.append(band_keys(sketch(items, count * rows), count, rows) if len(items) else None)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
                     ["doc_id", "n", "digest", "bands"])
@@ -143,8 +158,9 @@ class Linker:
     by how rare they are in the block. Counts of shared items confirm a link.
     """
 
-    def __init__(self, sets: list[np.ndarray], ids: list[int]):
+    def __init__(self, sets: list[np.ndarray], ids: list[int], threshold: tuple[int, int] = THRESHOLD):
         self.ids, self.parent = ids, list(range(len(ids)))
+        self.numerator, self.denominator = threshold
         self.sizes = np.array([len(s) for s in sets])
         everything, inverse = np.unique(np.concatenate(sets), return_inverse=True) if sets else (np.zeros(0), np.zeros(0, int))
         rare = np.argsort(np.argsort(np.bincount(inverse, minlength=len(everything)), kind="stable"))
@@ -159,10 +175,10 @@ class Linker:
 
     def linked(self, a: int, b: int) -> bool:
         small, large = sorted((self.sizes[a], self.sizes[b]))
-        if small * DENOMINATOR < large * NUMERATOR:
+        if small * self.denominator < large * self.numerator:
             return False
         shared = len(np.intersect1d(self.sets[a], self.sets[b], assume_unique=True))
-        return shared * DENOMINATOR >= NUMERATOR * (small + large - shared)
+        return shared * self.denominator >= self.numerator * (small + large - shared)
 
     def links(self, hub: int, queries: list[int], others: list[int] | None = None) -> list[tuple[int, int]]:
         """Links that join the components: of the hub first, then among queries (and others)."""
@@ -193,7 +209,7 @@ class Linker:
 
     def _prefix(self, k: int) -> list[int]:
         n = int(self.sizes[k])
-        return self.sets[k][:n - -(-NUMERATOR * n // DENOMINATOR) + 1].tolist()
+        return self.sets[k][:n - -(-self.numerator * n // self.denominator) + 1].tolist()
 
 
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
@@ -210,14 +226,14 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
         yield held
 
 
-def _linked(rows: DataFrame) -> DataFrame:
+def _linked(rows: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """Links of the rows (hub, block, role, id, comp, text), one (hub, block) at a time.
 
     Role 0 is the hub, 1 a query, 2 a row that queries are compared with.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _grouped(batches):
-            linker = Linker([shingles(r["text"]) for r in group], [r["id"] for r in group])
+            linker = Linker([shingles(r["text"]) for r in group], [r["id"] for r in group], threshold)
             by_comp: dict[int, int] = {}
             for k, r in enumerate(group):
                 if r["comp"] is not None:
@@ -253,25 +269,28 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
+def near_duplicates(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK, threshold: tuple[int, int] = THRESHOLD,
+) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
 
-    Documents link when 100 * |A and B| >= 85 * |A or B| over their sets of five-word
-    shingles, confirmed on the full sets; component_id is the smallest id that links
+    Documents link when |A and B| / |A or B| is at least the threshold, a fraction
+    (85, 100), over their sets of five-word shingles, confirmed on the full sets; component_id is the smallest id that links
     lead to, itself included. A null text or one without words has no shingles and
     links with nothing. A null id gets a null component and stays. Rows that repeat
     an id and its text share one answer. An empty table gives no rows; other columns are not read.
 
     1. Sketch every text; rows with one set become one, whose id is the smallest.
-    2. 32 bands of 6 coordinates: a pair at the threshold shares no band with
-       probability 3e-7, less above it. A bucket's sets meet under its hub.
+    2. Bands as `banding` has them, 32 of 6 coordinates at 0.85 and 38 of 5 at 0.80: a
+       pair at the threshold shares no band with probability 3e-7, less above it. A
+       bucket's sets meet under its hub.
     3. A hub's sets are verified in blocks of at most `block` sets: hub first, then
        every pair of a block not joined yet.
     4. Hubs with more than one block: sets still apart from their hub are compared, as
        queries, with the hub's other blocks. No pair is left out for the size of
        its bucket, and no task holds more than two blocks.
     """
-    drawn = saved(sketches(df, id_col, text_col), "near-sketches")
+    drawn = saved(sketches(df, id_col, text_col, threshold), "near-sketches")
     filled = drawn.where("n > 0 AND doc_id IS NOT NULL")
     reps = filled.groupBy("digest").agg(F.min(F.struct("doc_id", "bands")).alias("r"))
     reps = saved(reps.select("digest", F.col("r.doc_id").alias("rep"), F.col("r.bands").alias("bands")), "near-reps")
@@ -292,7 +311,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     none = F.lit(None).cast("long").alias("comp")
     first = placed.select("hub", "block", F.lit(1).alias("role"), F.col("member").alias("id"), none).union(
         placed.select("hub", "block", F.lit(0).alias("role"), F.col("hub").alias("id"), none).distinct())
-    links = saved(_linked(with_texts(first)), "near-links")
+    links = saved(_linked(with_texts(first), threshold), "near-links")
     labels = components(links)
 
     wide = placed.where("blocks > 1")
@@ -310,7 +329,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             "hub", "part", "other", F.lit(1).alias("role"), F.col("member").alias("id"), "comp")
         both = asked.union(others.where("part <> other"))
         both = both.select("hub", F.concat_ws("-", "part", "other").alias("block"), "role", "id", "comp")
-        more = _linked(with_texts(both))
+        more = _linked(with_texts(both), threshold)
         links = saved(links.union(more), "near-links")
         labels = components(links)
 

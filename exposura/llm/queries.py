@@ -39,7 +39,7 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_near_dedup")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     """Components of near copies over all documents."""
-    return minhash.near_duplicates(table(spark, folder, "documents"))
+    return minhash.near_duplicates(table(spark, folder, "documents"), threshold=(85, 100))
 
 
 @query("op3_language")
