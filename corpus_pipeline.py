@@ -19,20 +19,38 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return docs.withColumn(score, quality.score_column(model, F.col("text"))).where(F.col(score) >= quality.THRESHOLD).drop(score)
 
 
-def _kept(docs: DataFrame, marks: DataFrame) -> DataFrame:
-    """Rows whose id is marked as kept, one for each id; rows without an id stay."""
-    kept = marks.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns).union(docs.where("doc_id IS NULL"))
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows, written with a number for each, and the number's column."""
+    number = free_name(docs, "row_number")
+    return saved(docs.withColumn(number, F.monotonically_increasing_id()), "pipeline-numbered"), number
+
+
+def _one_each(rows: DataFrame, number: str, groups: DataFrame, sign: int) -> DataFrame:
+    """The row of each group (doc_id: the row's number, grouped) with the largest id
+    (sign 1) or the smallest (sign -1); null ids come last, ties go to the first row.
+
+    Winners combine in every task before they move, without texts.
+    """
+    known = F.col("doc_id").isNotNull()
+    rank = F.struct(known.alias("known"), (F.col("doc_id") if sign > 0 else F.bitwise_not("doc_id")).alias("id"), F.negate(number).alias("first"))
+    ranked = rows.select(F.col(number).alias("n"), rank.alias("rank"))
+    best = ranked.join(groups.select(F.col("doc_id").alias("n"), "grouped"), "n").groupBy("grouped").agg(F.max("rank").alias("best"))
+    return rows.join(best.select(F.negate("best.first").alias(number)), number, "left_semi").drop(number)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
-    return _kept(docs, exact.exact_groups(docs))
+    """One row of each group of equal texts: of the largest id, the first of its rows."""
+    rows, number = _numbered(docs)
+    groups = exact.exact_groups(rows, id_col=number).withColumn("grouped", F.col("keep_id"))
+    return _one_each(rows, number, groups, 1)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, linked from a similarity of 0.80 on."""
-    return _kept(docs, minhash.near_duplicates(docs, threshold=SIMILAR))
+    """One row of each group of near copies, linked from a similarity of 0.80 on: of
+    the smallest id, the first of its rows; a row without words is a group of its own."""
+    rows, number = _numbered(docs)
+    groups = minhash.near_duplicates(rows, id_col=number, threshold=SIMILAR).withColumn("grouped", F.col("component_id"))
+    return _one_each(rows, number, groups, -1)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,3 +50,19 @@ def test_bands_miss_few_pairs_at_any_threshold():
     for percent in range(10, 100):
         bands, rows = minhash.banding((percent, 100))
         assert bands * rows <= minhash.SKETCH and (1 - (percent / 100) ** rows) ** bands <= minhash.MISSED
+
+
+def test_dedup_stages_leave_one_row_of_repeats_and_null_ids(spark):
+    bases, copies = near_pairs()
+    copy, near = "The same short text", (bases[0], copies[0])
+    rows = [(5, copy)] * 30 + [(None, copy.upper())] * 20 + [(4, copy), (4, "another text"), (None, "no id"), (None, "no id"), (None, None), (None, "")]
+    rows += [(9, near[0])] * 4 + [(8, near[1])] * 3 + [(None, near[0])] * 2
+    df = spark.createDataFrame([(i, t, "en", "a", k) for k, (i, t) in enumerate(rows)], DOCS).repartition(3)
+    exact_rows = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_copies(spark, df, "").collect()]
+    wanted = [(4, "another text"), (5, copy), (8, near[1]), (9, near[0]), (None, "no id")]
+    assert sorted(exact_rows, key=str) in [sorted(wanted + [(None, t)], key=str) for t in (None, "")]
+    for frame in (df, df.where("text IS NOT NULL AND text <> ''")):
+        found = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, frame, "").collect()]
+        worded = sorted(((i, (t or "").lower()) for i, t in found if t), key=str)
+        assert worded == sorted([(4, copy.lower()), (4, "another text"), (8, near[1]), (None, "no id")], key=str)
+    assert corpus_pipeline.drop_near_copies(spark, df, "").columns == df.columns == corpus_pipeline.drop_copies(spark, df, "").columns
