@@ -134,8 +134,10 @@ def plan(sized: DataFrame, old_shards: int, shards: int) -> tuple[DataFrame, np.
 
 def reshard(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", old_shards: int = 12, shards: int = 16, old_col: str | None = None,
+    keep_columns: bool = False,
 ) -> DataFrame:
-    """Rows doc_id, text, size, old_shard, shard, slot.
+    """Rows doc_id, text, size, old_shard, shard, slot; with keep_columns also row, a
+    struct of all columns of df.
 
     Size is the text's UTF-8 bytes plus one, null text: one. Without `old_col` the
     old layout is by text bucket, modulo the old shard count. The new shards have
@@ -143,7 +145,8 @@ def reshard(
     needs. With `old_col` (int, 0 to old_shards - 1; null: 0) equal texts stay
     together only within one old shard. Slots count from 0 without gaps within a
     shard, in the order of (bucket, split, id). Equal rows share a block and differ
-    in the slot; an empty table gives no rows; other columns are not read.
+    in the slot; an empty table gives no rows; without keep_columns other columns are
+    not read.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     bucket = F.pmod(F.xxhash64(text), F.lit(BUCKETS)).cast("int")
@@ -155,16 +158,17 @@ def reshard(
         old = F.pmod(bucket, F.lit(old_shards)).cast("int")
     split = F.pmod(F.xxhash64(id_col), F.lit(SPLITS)).cast("int")
     size = (F.octet_length(text) + 1).cast("long")
+    kept = [F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")] if keep_columns else []
     rows = df.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), size.alias("size"),
-        bucket.alias("bucket"), split.alias("split"), old.alias("old_shard"))
+        bucket.alias("bucket"), split.alias("split"), old.alias("old_shard"), *kept)
     blocks, _ = plan(rows.select("bucket", "split", "old_shard", "size"), old_shards, shards)
     met = rows.drop("old_shard").join(
         F.broadcast(blocks), (rows.bucket == blocks.b_bucket) & ((blocks.b_split < 0) | (blocks.b_split == rows.split)))
     dealt = met.withColumn("file", F.pmod(F.xxhash64("b_bucket", "b_split"), F.lit(FILES_PER_SHARD))).repartition("shard", "file")
     order = W.partitionBy("shard", "file", "b_bucket", "b_split").orderBy("doc_id")
     slot = (F.col("first_slot") + F.row_number().over(order) - 1).cast("long")
-    return dealt.select("doc_id", "text", "size", "old_shard", "shard", slot.alias("slot"))
+    return dealt.select("doc_id", "text", "size", "old_shard", "shard", slot.alias("slot"), *(["row"] if keep_columns else []))
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
@@ -173,7 +177,8 @@ def write_shards(sharded: DataFrame, path: str) -> None:
 
 
 def rewrite_affected(spark: SparkSession, source: str, target: str, shards: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Reshards a dataset stored as shard=N folders; only affected shards are written.
+    """Reshards a dataset stored as shard=N folders; only affected shards are written,
+    with all their columns under their own names.
 
     A shard no byte enters or leaves keeps its old files. Returns the manifest: shard,
     path, rewritten. The old files stay until the caller switches over to the
@@ -181,12 +186,12 @@ def rewrite_affected(spark: SparkSession, source: str, target: str, shards: int,
     """
     old = spark.read.parquet(source)
     count = (old.agg(F.max("shard")).first()[0] or 0) + 1
-    renamed = old.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col("shard").alias("old"))
-    moved = reshard(renamed, "doc_id", "text", count, shards, "old")
+    moved = reshard(old, id_col, text_col, count, shards, "shard", keep_columns=True)
     tally = moved.groupBy("old_shard", "shard").count().collect()
     touched = sorted({s for r in tally if r["old_shard"] != r["shard"] for s in (r["old_shard"], r["shard"])})
     kept = sorted({r["shard"] for r in tally} - set(touched))
-    write_shards(moved.where(F.col("shard").isin(touched)).select("doc_id", "text", "shard"), target)
+    columns = [F.col(f"row.`{c}`") for c in old.columns if c != "shard"]
+    write_shards(moved.where(F.col("shard").isin(touched)).select(*columns, "shard"), target)
     present = {r["shard"] for r in tally}
     listed = [(s, f"{target.rstrip('/')}/shard={s}", True) for s in touched if s in present]
     listed += [(s, f"{source.rstrip('/')}/shard={s}", False) for s in kept]
