@@ -31,14 +31,18 @@ ALLOWED = (
     re.compile(r"[A-Za-z]+"),
     re.compile(r"[0-9]+"),
     re.compile(r"(?:[A-Za-z]+[-_/+=])+[A-Za-z]*"),
-    re.compile(r".*(?:example|sample|placeholder|0123456789|abcdefgh|xxxx).*", re.I),
 )
+# Parts of placeholders: a window that holds one counts for nothing, those beside it do.
+MARKED = re.compile(r"(?=(example|sample|placeholder|0123456789|abcdefgh|xxxx))", re.I)
 
 _BITS = [0.0] + [n * math.log2(n) for n in range(1, WINDOW + 1)]
 
 
-def dense_runs(text: str, start: int, end: int, least: float, window: int = WINDOW) -> list[tuple[int, int]]:
-    """Runs of windows of text[start:end] with at least so many bits per character.
+def dense_runs(
+    text: str, start: int, end: int, least: float, window: int = WINDOW, marked: list[tuple[int, int]] = (),
+) -> list[tuple[int, int]]:
+    """Runs of windows of text[start:end] with at least so many bits per character,
+    without the windows that hold one of the marked places (in order of their starts) whole.
 
     A window's entropy is log2(w) - sum(c * log2(c)) / w over its character counts c;
     moving on changes two counts, so each step takes constant time.
@@ -46,7 +50,7 @@ def dense_runs(text: str, start: int, end: int, least: float, window: int = WIND
     bits = _BITS if window == WINDOW else [0.0] + [n * math.log2(n) for n in range(1, window + 1)]
     most = (math.log2(window) - least) * window + 1e-9
     counts: dict[str, int] = {}
-    total, runs = 0.0, []
+    total, runs, k = 0.0, [], 0
     for at in range(start, end):
         n = counts.get(text[at], 0)
         counts[text[at]] = n + 1
@@ -54,7 +58,9 @@ def dense_runs(text: str, start: int, end: int, least: float, window: int = WIND
         first = at - window + 1
         if first < start:
             continue
-        if total <= most:
+        while k < len(marked) and marked[k][0] < first:
+            k += 1
+        if total <= most and not (marked and any(e <= at + 1 for _, e in marked[k:k + window])):
             if runs and first <= runs[-1][1]:
                 runs[-1] = (runs[-1][0], at + 1)
             else:
@@ -65,11 +71,12 @@ def dense_runs(text: str, start: int, end: int, least: float, window: int = WIND
     return runs
 
 
-def scan(text: str, allowed=ALLOWED) -> tuple[list[tuple[int, str, int]], list[tuple[int, str, int]]]:
+def scan(text: str, allowed=ALLOWED, marked=MARKED) -> tuple[list[tuple[int, str, int]], list[tuple[int, str, int]]]:
     """(base spans, entropy spans), each (start, kind, end) in code points.
 
     A candidate that fully matches an allowed pattern, or a run that does, is
-    suppressed; so is a run within a base span, which already stands for it.
+    suppressed; so is a run within a base span, which already stands for it. A marker
+    of placeholders takes out the windows it lies in and no more.
     """
     base = [(m.start(), "assign", m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= LEAST_ASSIGN]
     base += [(m.start(), "access", m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= LEAST_ACCESS]
@@ -79,7 +86,8 @@ def scan(text: str, allowed=ALLOWED) -> tuple[list[tuple[int, str, int]], list[t
         for m in pattern.finditer(text):
             if any(a.fullmatch(m[0]) for a in allowed):
                 continue
-            for start, end in dense_runs(text, m.start(), m.end(), least):
+            places = [p.span(1) for p in marked.finditer(text, m.start(), m.end())]
+            for start, end in dense_runs(text, m.start(), m.end(), least, marked=places):
                 inside = any(s <= start and end <= e for s, _, e in base + found)
                 if not inside and not any(a.fullmatch(text, start, end) for a in allowed):
                     found.append((start, kind, end))
@@ -94,7 +102,7 @@ def joined(spans: list[tuple[int, str, int]]) -> str:
 OUT = "doc_id long, n_assign long, n_access long, n_hex long, base_spans string, base_sha256 string, spans string"
 
 
-def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", allowed=ALLOWED) -> DataFrame:
+def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", allowed=ALLOWED, marked=MARKED) -> DataFrame:
     """One row per input row: doc_id, counts, base_spans, base_sha256, spans.
 
     Spans are places, never values. A null text counts as empty: no spans, the digest
@@ -105,7 +113,7 @@ def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for batch in batches:
             rows = []
             for text in batch.column(1):
-                base, found = scan(text.as_py(), allowed)
+                base, found = scan(text.as_py(), allowed, marked)
                 kinds = [s[1] for s in base]
                 listed = joined(base)
                 rows.append((*map(kinds.count, KINDS[:3]), listed, hashlib.sha256(listed.encode()).hexdigest(), joined(base + found)))

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from exposura.llm import minhash, sharding
+from exposura.llm import minhash, secrets, sharding
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -82,3 +82,27 @@ def test_every_column_survives_a_rewrite(spark, tmp_path):
         assert part.columns == columns
         read += part.collect()
     assert sorted(map(tuple, read)) == sorted(map(tuple, docs.drop("shard").collect()))
+
+
+def test_secrets_beside_a_marker_are_found():
+    value = "Xk9v2Lq8Rt5Zw1Nb7Yc4HdJ"
+    for text in (f"docs/sample/{value}", f"MY_SAMPLE_ID={value}", f"{value}-placeholder"):
+        (span,) = secrets.scan(text)[1]
+        assert value in text[span[0]:span[2]]
+    rng = random.Random(3)
+    long = "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWYZabcdefghijkmnopqrstuvwyz23456789") for _ in range(4000))
+    spans = secrets.scan(long[:2000] + "xxxx" + long[2000:])[1]
+    assert sum(e - s for s, _, e in spans) > 3500
+    assert secrets.scan("my_example_key_4f6T9")[1] == []
+
+
+def test_marked_windows_equal_recount():
+    rng = random.Random(4)
+    for _ in range(300):
+        text = "".join(rng.choice(["x", "X", "xxxx", "sample", "0123456789", "abcdefgh", "Qw7", "e9R", "k2", "Zt"]) for _ in range(rng.randint(8, 25)))
+        wanted = set()
+        for s in range(len(text) - 19):
+            if secrets.dense_runs(text[s:s + 20], 0, 20, 3.2) and not any(m in text[s:s + 20].lower() for m in ("xxxx", "sample", "0123456789", "abcdefgh")):
+                wanted.update(range(s, s + 20))
+        places = [m.span(1) for m in secrets.MARKED.finditer(text)]
+        assert {k for s, e in secrets.dense_runs(text, 0, len(text), 3.2, marked=places) for k in range(s, e)} == wanted
