@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from exposura.llm import bpe, exact, html, langid, minhash, mixing, quality, secrets, sharding, vectors
+from exposura.llm import bpe, exact, html, langid, minhash, mixing, quality, secrets, sharding, transducer, vectors
 from exposura.llm.common import UPPER, table
 from exposura.session import scratch_path
 
@@ -127,6 +127,12 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.vector_duplicates(table(spark, folder, "embeddings"))
 
 
+@query("op11_token_counts")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    return transducer.count_tokens(table(spark, folder, "documents")).withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
