@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from exposura.llm import bpe, exact, html, langid, minhash, mixing, quality, secrets, sharding, transducer, vectors
+from exposura.llm import alignment, bpe, exact, html, langid, merkle, minhash, mixing, quality, secrets, sharding, transducer, vectors
 from exposura.llm.common import UPPER, table
 from exposura.session import scratch_path
 
@@ -133,6 +133,74 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     return transducer.count_tokens(table(spark, folder, "documents")).withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def merkle_sql(heights: tuple[int, int] = (12, 6)) -> str:
+    """The manifest level by level, for up to 3 ** 12 rows a source and 3 ** 6 sources."""
+    def item(x):
+        return f"coalesce(CAST(octet_length(encode(CAST({x} AS VARCHAR))) AS VARCHAR) || ':' || CAST({x} AS VARCHAR), '-')"
+
+    def leaf(text):
+        return "sha256(" + " || ".join(map(item, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+    low_bit = (
+        "list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),"
+        " lambda c, b: list_reduce(list_prepend(xor(c, b), [1, 1, 1, 1, 1, 1, 1, 1]), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))) & 1")
+
+    def climb(name, group, height):
+        """Levels of trees over name_0 (group, idx, n, d); a finished tree's root stays as it is."""
+        return [
+            f"{name}_{k + 1} AS (SELECT {group}, idx // 3 AS idx, (n + 2) // 3 AS n,"
+            f" CASE WHEN n = 1 THEN any_value(d) ELSE sha256(string_agg(d, '' ORDER BY idx)) END AS d, list(d ORDER BY idx) AS run"
+            f" FROM {name}_{k} GROUP BY {group}, idx // 3, n)" for k in range(height)]
+
+    def way(name, group, at, height, start, key):
+        """Of each row, the digest carried up and what lies beside it."""
+        out, last = [], start
+        for k in range(height):
+            turn = f"p.{at} // {3 ** k} % 3"
+            out.append(
+                f"{name}_{k + 1} AS (SELECT p.* EXCLUDE (up, beside),"
+                f" CASE WHEN len(r.run) = 1 AND c.n = 1 THEN p.up ELSE sha256(array_to_string(list_transform(r.run, lambda x, i: CASE WHEN i = {turn} + 1 THEN p.up ELSE x END), '')) END AS up,"
+                f" p.beside || array_to_string(list_filter(r.run, lambda x, i: i <> {turn} + 1), '') AS beside"
+                f" FROM {last} p JOIN {key}_{k + 1} r ON p.{group} = r.{group} AND p.{at} // {3 ** (k + 1)} = r.idx"
+                f" JOIN {key}_{k} c ON p.{group} = c.{group} AND p.{at} // {3 ** k} = c.idx)")
+            last = f"{name}_{k + 1}"
+        return out, last
+
+    low, high = heights
+    lower, last = way("w", "g", "idx", low, "w_0", "t")
+    upper, end = way("v", "z", "g", high, "v_0", "s")
+    parts = [
+        "names AS (SELECT source AS named, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS g FROM (SELECT DISTINCT source FROM documents))",
+        f"leaves AS (SELECT d.doc_id, names.g, {leaf('text')} AS leaf, CASE WHEN {low_bit} = 0 THEN {leaf('text')} ELSE {leaf("replace(text, chr(10), '')")} END AS taken"
+        " FROM documents d JOIN names ON d.source IS NOT DISTINCT FROM names.named)",
+        "t_0 AS (SELECT g, row_number() OVER (PARTITION BY g ORDER BY doc_id, leaf) - 1 AS idx, count(*) OVER (PARTITION BY g) AS n, leaf AS d, doc_id, taken FROM leaves)",
+        *climb("t", "g", low),
+        f"s_0 AS (SELECT 0 AS z, g AS idx, count(*) OVER () AS n, d FROM t_{low})",
+        *climb("s", "z", high),
+        "w_0 AS (SELECT doc_id, g, idx, d AS leaf, taken AS up, '' AS beside FROM t_0)",
+        *lower,
+        f"v_0 AS (SELECT *, 0 AS z FROM {last})",
+        *upper,
+    ]
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, leaf, t.d AS subroot, s.d AS root, sha256(beside) AS proof_sha256, up AS folded_root, up = s.d AS verified
+FROM {end} e JOIN t_{low} t ON e.g = t.g JOIN s_{high} s ON e.z = s.z"""
+
+
+@query("op12_merkle", merkle_sql())
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, roots and proof of every document; every other id has its line breaks deleted."""
+    docs = table(spark, folder, "documents")
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    return merkle.manifest(docs, changed={"text": F.replace("text", F.lit("\n"), F.lit(""))}, where=even)
+
+
+@query("op13_alignment")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links of two tokenizers' tokens over every document."""
+    return alignment.align(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
