@@ -15,18 +15,30 @@ from exposura.session import scratch_path
 from exposura.sinks.writers import write_messages
 from exposura.sources import readers as r
 
-CUSTOMER = "SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS segment FROM customer"
+# Names with a line break, the delimiters and quotes within, or a quote that opens nothing.
+NAME = """CASE c_custkey % 5 WHEN 0 THEN c_name || chr(10) || 'of ;,|"' || c_custkey || '"' || chr(10) WHEN 1 THEN '5" ' || c_name ELSE c_name END"""
+CUSTOMER = f"SELECT CAST(c_custkey AS VARCHAR) AS id, {NAME} AS name, c_mktsegment AS segment FROM customer"
 
 
 def _customers(spark, folder):
+    k, name = F.col("c_custkey"), F.col("c_name")
+    broken = F.concat(name, F.lit('\nof ;,|"'), k, F.lit('"\n'))
     return r.table(spark, folder, "customer").select(
-        F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")
-    )
+        k.cast("string").alias("id"), F.when(k % 5 == 0, broken).when(k % 5 == 1, F.concat(F.lit('5" '), name)).otherwise(name).alias("name"),
+        F.col("c_mktsegment").alias("segment"))
 
 
 def _written_csv(spark, df, label, sep=",", header=True):
+    """The table as delimited lines; a field is quoted only where it must be."""
+    def field(c):
+        must = c.contains(sep) | c.contains("\n") | c.startswith('"')
+        return F.when(must, F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(c)
+
     path = scratch_path(spark, label)
-    df.write.option("sep", sep).option("header", header).option("escape", '"').csv(path)
+    line = F.concat_ws(sep, *[field(F.col(c)) for c in df.columns])
+    head = spark.createDataFrame([(sep.join(df.columns),)], "value string") if header else None
+    body = df.select(line.alias("value"))
+    (head.unionByName(body).coalesce(1) if header else body).write.text(path)
     return path
 
 
@@ -36,13 +48,13 @@ def read_delimited(spark, folder):
     return r.read_delimited(spark, path, ";", ["id", "name", "segment"])
 
 
-@query("read_positional", "SELECT CAST(c_custkey AS VARCHAR) AS id, c_mktsegment AS segment, CAST(NULL AS VARCHAR) AS beyond FROM customer")
+@query("read_positional", f"SELECT CAST(c_custkey AS VARCHAR) AS id, {NAME} AS name, c_mktsegment AS segment, CAST(NULL AS VARCHAR) AS beyond FROM customer")
 def read_positional(spark, folder):
     path = _written_csv(spark, _customers(spark, folder), "positional", "|", header=False)
-    return r.read_positional(spark, path, {0: "id", 2: "segment", 9: "beyond"}, "|")
+    return r.read_positional(spark, path, {0: "id", 1: "name", 2: "segment", 9: "beyond"}, "|")
 
 
-@query("read_headerless_generic", 'SELECT CAST(c_custkey AS VARCHAR) AS "0", c_name AS "1", c_mktsegment AS "2" FROM customer')
+@query("read_headerless_generic", f'SELECT CAST(c_custkey AS VARCHAR) AS "0", {NAME} AS "1", c_mktsegment AS "2" FROM customer')
 def read_headerless_generic(spark, folder):
     path = _written_csv(spark, _customers(spark, folder), "headerless", header=False)
     return r.read_headerless_generic(spark, path)
@@ -86,11 +98,18 @@ def _write_arrays(lines, path):
     arrays.write.partitionBy("part").text(path)
 
 
-@query("read_json_array", JSON_SQL)
+@query("read_json_array", "SELECT c_custkey AS id, c_name || '},{\"[' || c_custkey AS name FROM customer")
 def read_json_array(spark, folder):
+    """One array over all records in one file, with brackets and quotes in its texts, and nested parts."""
+    c = r.table(spark, folder, "customer")
+    name = F.concat("c_name", F.lit('},{"['), "c_custkey")
+    inner = F.struct(F.array(F.struct(F.lit("}").alias("x"))).alias("list"))
+    one = F.to_json(F.struct(F.col("c_custkey").alias("id"), inner.alias("more"), name.alias("name")))
+    lines = c.select(F.explode(F.array(one, F.lit(","))).alias("value"))
+    first, last = (spark.createDataFrame([(x,)], "value string") for x in ("[", "{}]"))
     path = scratch_path(spark, "json-array")
-    _write_arrays(_json_lines(spark, folder), path)
-    return r.read_json_array(spark, f"{path}/part=*", RECORD)
+    first.unionByName(lines).unionByName(last).coalesce(1).write.text(path)
+    return r.read_json_array(spark, path, RECORD).filter("id IS NOT NULL")
 
 
 @query("read_json_object", "SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name FROM nation")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from exposura import rules
 from exposura.functions import files, text
+from exposura.sources import quoted
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -14,45 +15,62 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def read_delimited(
     spark: SparkSession, path: str, delim: str = ",", columns: list[str] | None = None,
-    encoding: str = "UTF-8", multiline: bool = False,
+    encoding: str = "UTF-8", multiline: bool = True,
 ) -> DataFrame:
     """Delimited text with a header; short rows give NULLs, long rows lose their tail.
 
     Columns come from the argument or, without one, from the header; all are
-    strings, so nothing is read twice to guess types. With multiline, quoted fields
-    may hold line breaks, and a file is read by one task; without, files are split.
+    strings, so nothing is read twice to guess types. Files are split whatever they
+    hold: where a quoted field holds a line break, which one scan finds out, records
+    are put together across splits (`quoted_rows`); multiline=False spares the scan
+    where there are none. Encodings besides UTF-8 go to the reader that has one task
+    read a file with such breaks.
     """
     reader = (
         spark.read.option("sep", delim).option("header", True).option("mode", "PERMISSIVE")
-        .option("encoding", encoding).option("escape", '"').option("enforceSchema", True).option("multiLine", multiline)
+        .option("encoding", encoding).option("escape", '"').option("enforceSchema", True)
     )
+    if multiline and encoding.upper() != "UTF-8":
+        reader = reader.option("multiLine", True)
+    elif multiline and quoted.breaks_in_quotes(spark, path, delim):
+        names = columns or reader.option("multiLine", True).csv(path).columns
+        return quoted.quoted_rows(spark, path, names, delim)
     if columns:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
     return reader.csv(path)
 
 
-def read_headerless_generic(spark: SparkSession, path: str, delim: str = ",", multiline: bool = False) -> DataFrame:
+def _headerless(spark: SparkSession, path: str, delim: str, multiline: bool, width: int | None = None) -> DataFrame:
+    """Columns "0", "1", ...: as many as asked for, or as the first record has."""
+    reader = spark.read.option("sep", delim).option("header", False).option("mode", "PERMISSIVE").option("escape", '"')
+    broken = multiline and quoted.breaks_in_quotes(spark, path, delim)
+    if width is None:
+        width = len(reader.option("multiLine", broken).csv(path).columns)
+    names = [str(i) for i in range(width)]
+    if broken:
+        return quoted.quoted_rows(spark, path, names, delim, header=False)
+    return reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names])).csv(path)
+
+
+def read_headerless_generic(spark: SparkSession, path: str, delim: str = ",", multiline: bool = True) -> DataFrame:
     """Columns named "0", "1", ... in order; multiline as in read_delimited."""
-    raw = spark.read.option("sep", delim).option("header", False).option("escape", '"').option("multiLine", multiline).csv(path)
-    return raw.toDF(*[str(i) for i in range(len(raw.columns))])
+    return _headerless(spark, path, delim, multiline)
 
 
 def read_positional(
-    spark: SparkSession, path: str, column_map: dict[int, str], delim: str = ",", multiline: bool = False
+    spark: SparkSession, path: str, column_map: dict[int, str], delim: str = ",", multiline: bool = True
 ) -> DataFrame:
     """Headerless text by ordinal; an ordinal past the end of a row is NULL; multiline as in read_delimited."""
-    width = max(column_map) + 1
-    schema = T.StructType([T.StructField(str(i), T.StringType()) for i in range(width)])
-    raw = (
-        spark.read.schema(schema).option("sep", delim).option("header", False)
-        .option("mode", "PERMISSIVE").option("escape", '"').option("multiLine", multiline).csv(path)
-    )
+    raw = _headerless(spark, path, delim, multiline, max(column_map) + 1)
     return raw.select(*[F.col(str(i)).alias(name) for i, name in sorted(column_map.items())])
 
 
 def read_json_array(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Files holding one array; each is parsed whole by one task, as JSON demands."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    """Files holding one array of objects each, however large: a file is read by as many tasks as it has splits.
+
+    An object that does not parse is skipped.
+    """
+    return quoted.json_array_rows(spark, path, schema)
 
 
 def read_json_object(spark: SparkSession, path: str, schema) -> DataFrame:
