@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import unicodedata
 from collections.abc import Iterator
+from string import ascii_letters
 
 import pyarrow as pa
 import public_tokenizers
@@ -13,15 +14,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHUNK = 1 << 15
-KEPT_STATES = 250_000
+ONE_BYTE_LETTERS = frozenset(ascii_letters)
+KEPT_STATES = 400_000
+KEPT_WORDS = 400_000
+LONG_WORD = 40
 MARK = "\ud800"
 START, LETTERS, OTHERS, QUOTE, QUOTE_R, QUOTE_V, QUOTE_L = range(7)
 SPACE, NUMBER = "space", "number"
+# White space of the tokenizer's pattern besides the blank.
+OTHER_WHITE = regex.compile("[\t\n\v\f\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 OPEN = {QUOTE: "", QUOTE_R: "r", QUOTE_V: "v", QUOTE_L: "l"}
 # The endings the tokenizer's pattern takes together with an apostrophe.
 ENDINGS = {"s", "t", "re", "ve", "m", "ll", "d"}
-# White space of the tokenizer's pattern.
-WHITE = {chr(c) for c in (9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)}
 LETTER, DIGIT = regex.compile(r"\p{L}"), regex.compile(r"\p{N}")
 # Lower case of letters newer than the Unicode tables of the Python here.
 NEWER = {0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B} | {c: c + 32 for c in range(0x10D50, 0x10D66)}
@@ -119,18 +123,55 @@ class Merges:
 class State(dict):
     """A state: for each character (next state, change of the token count)."""
 
-    __slots__ = ("key", "machine")
+    __slots__ = ("key", "machine", "ended")
 
     def __init__(self, machine: "Transducer", key: tuple):
         super().__init__()
-        self.machine, self.key = machine, key
+        self.machine, self.key, self.ended = machine, key, None
+
+    def end(self) -> int:
+        """Change of the count when the text, or the word, ends here."""
+        if self.ended is None:
+            self.ended = self.machine.rest(*self.key)
+        return self.ended
 
     def __missing__(self, ch: str):
-        key, change = self.machine.transition(*self.key, ch)
-        found = self[ch] = (self.machine.state(key), change)
+        machine, (phase, held, active) = self.machine, self.key
+        if phase == LETTERS and ch in ONE_BYTE_LETTERS:
+            active, change = machine._advance(active, held, machine.plain)
+            key = (phase, ord(ch), active)
+        else:
+            key, change = machine.transition(phase, held, active, ch)
+        after = machine.states.get(key)
+        if after is None:
+            after = machine.states[key] = State(machine, key)
+        found = self[ch] = (after, change)
         return found
 
 
+class Words(dict):
+    """Transitions of the first state over whole words: tokens between two blanks.
+
+    White space leads every state back to the first, so a word's tokens are always
+    the same, and a comma or full stop after letters begins a piece of its own. Long
+    words are run each time.
+    """
+
+    def __init__(self, machine: "Transducer"):
+        super().__init__()
+        self.machine = machine
+
+    def __missing__(self, word: str) -> int:
+        if word[-1:] in (",", ".") and word[:-1].isalpha():
+            count = self[word[:-1]] + self[word[-1]]
+        else:
+            state, count = self.machine.stepped(self.machine.state(self.machine.BEGIN), word)
+            count += state.end()
+        if len(word) <= LONG_WORD:
+            self[word] = count
+        return count
+
+
 class Transducer:
     """A deterministic machine over characters whose transitions carry token counts.
 
@@ -165,6 +206,7 @@ class Transducer:
             (self.closing if closed else self.plain)[node] = token
         self.kinds: dict[str, object] = {}
         self.states: dict[tuple, State] = {}
+        self.words = Words(self)
 
     def state(self, key: tuple) -> State:
         found = self.states.get(key)
@@ -175,27 +217,37 @@ class Transducer:
     def trim(self) -> None:
         if len(self.states) > KEPT_STATES:
             self.states.clear()
+        if len(self.words) > KEPT_WORDS:
+            self.words.clear()
 
     def kind(self, ch: str):
         known = self.kinds.get(ch)
         if known is None:
-            known = SPACE if ch in WHITE else LETTERS if LETTER.match(ch) else NUMBER if DIGIT.match(ch) else OTHERS
+            known = SPACE if ch == " " else LETTERS if LETTER.match(ch) else NUMBER if DIGIT.match(ch) else OTHERS
             self.kinds[ch] = known
         return known
 
     def _advance(self, active: tuple, byte: int, tokens: list[int]) -> tuple[tuple, int]:
         """The places where tokens may have begun, and the change of the count, after a byte."""
+        child, known, fits = self.child, self.merges.pairs.get, self.merges.fits
         grown, chosen, change = [], -1, 0
         for node, before, since in active:
-            node = self.child[node].get(byte)
+            node = child[node].get(byte)
             if node is None:
                 continue
-            if self.child[node]:
+            if child[node]:
                 grown.append((node, before, since))
-            token = tokens[node]
-            if chosen < 0 <= token and self.merges.fits(before, token):
-                chosen, change = token, 1 - since
-        return (*((node, before, since + change) for node, before, since in grown), (0, chosen, 0)), change
+            if chosen < 0:
+                token = tokens[node]
+                if token >= 0:
+                    fit = known((before, token))
+                    if fit is None:
+                        fit = fits(before, token)
+                    if fit:
+                        chosen, change = token, 1 - since
+        if change:
+            grown = [(node, before, since + change) for node, before, since in grown]
+        return (*grown, (0, chosen, 0)), change
 
     def _feed(self, active: tuple, held: int, data: bytes) -> tuple[tuple, int, int]:
         total = 0
@@ -245,6 +297,18 @@ class Transducer:
         return ended + (self._piece(OPEN[phase]) if phase > QUOTE else 0)
 
     def run(self, state: State, text: str) -> tuple[State, int]:
+        """State and tokens after the text; whole words between blanks are one step each."""
+        if " " not in text:
+            return self.stepped(state, text)
+        first, *words = text.split(" ")
+        state, count = self.stepped(state, first)
+        count += state.end()
+        last = words.pop()
+        count += sum(map(self.words.__getitem__, words))
+        state, more = self.stepped(self.state(self.BEGIN), last)
+        return state, count + more
+
+    def stepped(self, state: State, text: str) -> tuple[State, int]:
         total = 0
         for ch in text:
             state, change = state[ch]
@@ -256,12 +320,12 @@ class Transducer:
         parts = [text]
         for special in self.special:
             parts = [piece for part in parts for piece in _between(part.split(special))]
-        return "".join(p if p == MARK else _lower(unicodedata.normalize("NFC", p)) for p in parts)
+        return "".join(p if p == MARK else _folded(unicodedata.normalize("NFC", p)) for p in parts)
 
     def count(self, text: str) -> int:
         self.trim()
         state, total = self.run(self.state(self.BEGIN), self.normal(text))
-        return total + self.rest(*state.key)
+        return total + state.end()
 
     def chunk_map(self, text: str) -> tuple[str, int, tuple | None]:
         """What a chunk does to any state before it: (head, count, exit).
@@ -302,7 +366,7 @@ class Transducer:
         """Tokens of a text from its map."""
         head, count, exit_ = whole
         state, read = self.run(self.state(self.BEGIN), head)
-        return read + count + self.rest(*(exit_ or state.key))
+        return read + count + self.state(exit_ or state.key).end()
 
 
 def _between(parts: list[str]) -> Iterator[str]:
@@ -313,8 +377,9 @@ def _between(parts: list[str]) -> Iterator[str]:
             yield part
 
 
-def _lower(text: str) -> str:
-    """Lower case letter by letter: a sigma at a word's end is no exception."""
+def _folded(text: str) -> str:
+    """Blanks for white space, and lower case letter by letter: a sigma at a word's end is no exception."""
+    text = OTHER_WHITE.sub(" ", text)
     if not text.isascii() and HAS_NEWER.search(text):
         text = text.translate(NEWER)
     return text.replace("Σ", "σ").lower()
