@@ -135,3 +135,14 @@ def test_registered_query(spark, both):
     same(alignment.align(df), brute(both, rows))
     whole = queries.queries()["op13_alignment"](spark, FOLDER)
     assert sorted(whole.columns) == sorted(COLUMNS) and whole.count() == len(docs)
+
+
+def test_ranks_equal_the_library(both):
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as a, open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as b:
+        tok = alignment.Tokenizers(a.read(), b.read())
+    rng = random.Random(6)
+    parts = ["hello", " world", "\n", "  ", "é", "中文", "😀", "<|endoftext|>", "123", "don't", "'LL", "\x1c", " ", "́", "ing", "a" * 300, " " * 70, "==="]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(25))) for _ in range(500)] + ["x" * 30_000, " " * 30_000, "".join(map(chr, range(1, 0x3000)))]
+    assert tok.ranks is not None
+    for text in texts:
+        assert tok.left(" " + text) == both[0].encode(" " + text, add_special_tokens=False).ids
