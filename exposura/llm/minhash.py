@@ -18,6 +18,7 @@ SKETCH = 192
 MISSED = 3.1e-7
 THRESHOLD = (85, 100)
 BLOCK = 256
+SALTS = 64
 WORDS_HELD = 500_000
 
 _rng = np.random.default_rng(20240501)
@@ -109,11 +110,12 @@ def band_keys(values: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return mixed((values.reshape(bands, rows) * factors).sum(axis=1, dtype=np.uint64) + np.arange(bands, dtype=np.uint64)).view(np.int64)
 
 
-SKETCHED = "doc_id long, n long, digest binary, bands array<long>"
+SKETCHED = "doc_id long, of long, n long, digest binary, bands array<long>"
 
 
 def sketches(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
-    """Rows doc_id, n (set size), digest of the set and band keys; both null for an empty set."""
+    """Rows doc_id, of (hash of the text), n (set size), digest of the set and band keys;
+    both null for an empty set."""
     count, rows = banding(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,16 +123,17 @@ def sketches(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thre
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
                 sizes, digests, bands = [], [], []
-                for text in part.column(1):
+                for text in part.column(2):
                     items = shingles(text.as_py())
                     sizes.append(len(items))
                     digests.append(xxhash.xxh3_128_digest(items.tobytes()) if len(items) else None)
                     bands.append(band_keys(sketch(items, count * rows), count, rows) if len(items) else None)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                    ["doc_id", "n", "digest", "bands"])
+                    [part.column(0), part.column(1), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                    ["doc_id", "of", "n", "digest", "bands"])
 
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, SKETCHED)
+    text = F.col(text_col)
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("of"), text.alias("text")).mapInArrow(run, SKETCHED)
 
 
 def hub_pairs(reps: DataFrame) -> DataFrame:
@@ -269,6 +272,13 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _by_hub(rows: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Left join of rows (hub, member, ..) with a row per hub; a hub's rows are dealt over SALTS tasks."""
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("member"), F.lit(SALTS)))
+    copies = hubs.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return salted.join(copies, ["hub", "salt"], "left").drop("salt")
+
+
 def near_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK, threshold: tuple[int, int] = THRESHOLD,
 ) -> DataFrame:
@@ -278,9 +288,10 @@ def near_duplicates(
     (85, 100), over their sets of five-word shingles, confirmed on the full sets; component_id is the smallest id that links
     lead to, itself included. A null text or one without words has no shingles and
     links with nothing. A null id gets a null component and stays. Rows that repeat
-    an id and its text share one answer. An empty table gives no rows; other columns are not read.
+    an id and its text share one answer; rows of one id with different texts each have
+    their own text's component. An empty table gives no rows; other columns are not read.
 
-    1. Sketch every text; rows with one set become one, whose id is the smallest.
+    1. Sketch every text; rows with one set become one, with a number of its own.
     2. Bands as `banding` has them, 32 of 6 coordinates at 0.85 and 38 of 5 at 0.80: a
        pair at the threshold shares no band with probability 3e-7, less above it. A
        bucket's sets meet under its hub.
@@ -292,16 +303,19 @@ def near_duplicates(
     """
     drawn = saved(sketches(df, id_col, text_col, threshold), "near-sketches")
     filled = drawn.where("n > 0 AND doc_id IS NOT NULL")
-    reps = filled.groupBy("digest").agg(F.min(F.struct("doc_id", "bands")).alias("r"))
-    reps = saved(reps.select("digest", F.col("r.doc_id").alias("rep"), F.col("r.bands").alias("bands")), "near-reps")
+    reps = filled.groupBy("digest").agg(F.min(F.struct("doc_id", "of", "bands")).alias("r"))
+    reps = saved(reps.select("digest", "r.*").withColumn("rep", F.monotonically_increasing_id()), "near-reps")
     pairs = hub_pairs(reps)
 
-    wanted = pairs.select(F.col("member").alias("id")).union(pairs.select("hub")).distinct()
-    texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    texts = saved(texts.join(wanted.hint("merge"), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "near-texts")
+    wanted = pairs.select(F.col("member").alias("rep")).union(pairs.select("hub")).distinct()
+    named = reps.select("rep", F.col("doc_id").alias("its_id"), F.col("of").alias("its_text")).join(wanted, "rep", "left_semi")
+    texts = df.select(F.col(id_col).cast("long").alias("its_id"), F.col(text_col).alias("text")).withColumn("its_text", F.xxhash64("text"))
+    met = texts.join(named.hint("merge"), ["its_id", "its_text"])
+    texts = saved(met.groupBy(F.col("rep").alias("id")).agg(F.min("text").alias("text")), "near-texts")
 
-    blocks = pairs.groupBy("hub").agg(F.count("*").alias("size")).select("hub", F.ceil(F.col("size") / block).alias("blocks"))
-    placed = pairs.where("hub <> member").join(blocks, "hub").select(
+    large = pairs.groupBy("hub").agg(F.count("*").alias("size")).where(F.col("size") > block).select(
+        "hub", F.ceil(F.col("size") / block).alias("blocks"))
+    placed = _by_hub(pairs.where("hub <> member"), large).withColumn("blocks", F.coalesce("blocks", F.lit(1))).select(
         "hub", "member", "blocks", F.pmod(F.xxhash64("member"), "blocks").alias("block"))
     placed = saved(placed, "near-placed")
 
@@ -319,7 +333,8 @@ def near_duplicates(
         own = wide.join(labels, wide.member == labels.id, "left").select(
             "hub", "member", "block", "blocks", F.coalesce("comp", "member").alias("comp"))
         hub_comp = labels.select(F.col("id").alias("hub"), F.col("comp").alias("hub_comp"))
-        own = saved(own.join(hub_comp, "hub", "left").withColumn("hub_comp", F.coalesce("hub_comp", "hub")), "near-apart")
+        hub_comp = hub_comp.join(wide.select("hub").distinct(), "hub", "left_semi")
+        own = saved(_by_hub(own, hub_comp).withColumn("hub_comp", F.coalesce("hub_comp", "hub")), "near-apart")
         apart = own.where("comp <> hub_comp").withColumn("part", F.col("block"))
         queries = apart.select("hub", "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"), "member", "comp", "block")
         cells = queries.select(F.col("hub").alias("of"), "part", "other").distinct()
@@ -333,7 +348,9 @@ def near_duplicates(
         links = saved(links.union(more), "near-links")
         labels = components(links)
 
-    named = reps.join(labels, reps.rep == labels.id, "left").select("digest", F.coalesce("comp", "rep").alias("comp"))
+    classes = saved(reps.join(labels, reps.rep == labels.id, "left").select("digest", "doc_id", F.coalesce("comp", "rep").alias("class")), "near-classes")
+    smallest = classes.groupBy("class").agg(F.min("doc_id").alias("comp"))
+    named = classes.join(smallest, "class").select("digest", "comp")
     found = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
     return drawn.join(named, "digest", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), found.alias("component_id"),
