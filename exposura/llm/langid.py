@@ -17,6 +17,7 @@ from exposura.llm.common import id_remainder
 LONGEST = 3
 PROFILE = 300
 WORDS_HELD = 300_000
+GRAMS_HELD = 1 << 16
 WORDS = re.compile(r"[^\W\d_]+")
 BASE = 1 << 21
 
@@ -41,6 +42,13 @@ class GramIds(dict):
         return found
 
 
+    def forget(self, kept: int) -> None:
+        """Drops all but the first n-grams; the ids of the others are given out again."""
+        del self.names[kept:]
+        super().clear()
+        self.update((gram, k) for k, gram in enumerate(self.names))
+
+
 class Grams(dict):
     """Word to the ids of its n-grams, a blank at either end."""
 
@@ -59,6 +67,14 @@ class Grams(dict):
         found = self[word] = np.fromiter(map(self.ids.__getitem__, grams), np.int32, len(grams))
         return found
 
+    def trim(self, kept: int = 0) -> None:
+        """Empties full tables; n-grams of the first `kept` ids stay. Between texts only."""
+        full = len(self.names) > kept + GRAMS_HELD
+        if full or len(self) > WORDS_HELD:
+            self.clear()
+        if full:
+            self.ids.forget(kept)
+
     @property
     def names(self) -> list[str]:
         return self.ids.names
@@ -100,8 +116,7 @@ def learn_profiles(df: DataFrame, text_col: str = "text", lang_col: str = "lang"
                     [pa.array([lang] * len(at), pa.string()), pa.array([grams.names[k] for k in at], pa.string()),
                      pa.array(counts[at].astype(np.int64))], ["lang", "gram", "n"])
             words.clear()
-            if len(grams) > WORDS_HELD:
-                grams.clear()
+            grams.trim()
 
         for batch in batches:
             for text, lang in zip(batch.column(0), batch.column(1)):
@@ -130,8 +145,7 @@ class Matcher:
                 self.place[row, self.grams.ids[gram]] = rank
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if len(self.grams) > WORDS_HELD:
-            self.grams.clear()
+        self.grams.trim(self.place.shape[1])
         mine = self.grams.top(self.grams.count(Counter(words_of(text))), self.size)
         if not len(mine) or not self.langs:
             return "und", 0.0
