@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
@@ -36,14 +37,67 @@ PART_NAMES = frozenset(
     "comments reply replies respond discussion share social related newsletter subscribe signup popup modal breadcrumb breadcrumbs "
     "pagination pager menu nav navbar navigation footer header masthead toolbar login search disclaimer alert".split())
 
-_TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
+# A quote counts only where a value begins, right after an equals sign.
+_TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)>""")
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _NAME = re.compile(r"[A-Za-z][a-z0-9]*")
 
 
+_elements: dict[str, tuple[int, bool, bool]] = {}
+
+
+def _element(element: str) -> tuple[int, bool, bool]:
+    """(bits of its hashed words, whether it is a part of the page's frame, whether an article)."""
+    found = _elements.get(element)
+    if found is None:
+        if len(_elements) > 20_000:
+            _elements.clear()
+        tag, *names = element.split()
+        bits = 0
+        for k, token in enumerate(element.split()):
+            bits |= 1 << zlib.crc32(f"{'tag' if k == 0 else 'name'} {token}".encode()) % PATH
+        found = _elements[element] = bits, tag in PAGE_PARTS or bool(PART_NAMES.intersection(names)), tag in ("article", "main")
+    return found
+
+
+class Path:
+    """The elements around a block, from the root down; a path shares all of the one above.
+
+    What is asked of a whole path is kept with each step, so a page's time and
+    memory do not grow with its depth.
+    """
+
+    __slots__ = ("above", "element", "bits", "framed", "article")
+
+    def __init__(self, above: "Path | None" = None, element: str = ""):
+        self.above, self.element = above, element
+        if above is None:
+            self.bits, self.framed, self.article = 0, False, False
+        else:
+            bits, framed, article = _element(element)
+            self.bits, self.framed, self.article = above.bits | bits, above.framed or framed, above.article or article
+
+    def __iter__(self) -> Iterator[str]:
+        out, at = [], self
+        while at.above is not None:
+            out.append(at.element)
+            at = at.above
+        return reversed(out)
+
+
+ROOT = Path()
+
+
+def path_of(elements) -> Path:
+    path = ROOT
+    for element in elements:
+        path = Path(path, element)
+    return path
+
+
 @dataclass
 class Block:
-    path: tuple[str, ...]
+    path: Path
     text: str
     linked: int
 
@@ -57,34 +111,41 @@ def blocks(html: str | None) -> list[Block]:
     """
     html = html or ""
     out: list[Block] = []
-    stack: list[tuple[str, str]] = []
+    stack: list[tuple[str, Path]] = []
+    opened: Counter = Counter()
     held: list[str] = []
-    path: tuple[str, ...] = ()
-    state = {"linked": 0}
+    path, linked = ROOT, 0
 
     def flush() -> None:
-        nonlocal path
+        nonlocal linked, path
         text = " ".join("".join(held).split())
         if text:
-            out.append(Block(path, text, min(state["linked"], len(text))))
+            out.append(Block(path, text, min(linked, len(text))))
         held.clear()
-        state["linked"] = 0
+        linked, path = 0, None
 
     def add(raw: str) -> None:
-        nonlocal path
+        nonlocal path, linked
         if not raw:
             return
         text = unescape(raw)
         if text.strip():
-            if not any(part.strip() for part in held):
-                path = tuple(full for _, full in stack)
-            if any(tag == "a" for tag, _ in stack):
-                state["linked"] += len(text.strip())
+            if path is None:
+                path = stack[-1][1] if stack else ROOT
+            if opened["a"]:
+                linked += len(text.strip())
         held.append(text)
 
+    def push(tag: str, element: str) -> None:
+        stack.append((tag, Path(stack[-1][1] if stack else ROOT, element)))
+        opened[tag] += 1
+
     def close(at: int) -> None:
+        for tag, _ in stack[at:]:
+            opened[tag] -= 1
         del stack[at:]
 
+    path = None
     at, end = 0, len(html)
     while at < end:
         lt = html.find("<", at)
@@ -93,7 +154,7 @@ def blocks(html: str | None) -> list[Block]:
             break
         add(html[at:lt])
         if html.startswith("<!--", lt):
-            stop = html.find("-->", lt + 4)
+            stop = html.find("-->", lt + 2)
             at = end if stop < 0 else stop + 3
             continue
         follows = html[lt + 1:lt + 2]
@@ -121,60 +182,50 @@ def blocks(html: str | None) -> list[Block]:
         if tag not in INLINE:
             flush()
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    close(k)
-                    break
+            if opened[tag]:
+                close(max(k for k in range(len(stack)) if stack[k][0] == tag) if stack[-1][0] != tag else len(stack) - 1)
             continue
         if tag in RAW or tag == "title":
             stop = re.compile(f"</{tag}", re.I).search(html, at)
             if tag == "title":
-                stack.append((tag, tag))
+                push(tag, tag)
                 add(html[at:stop.start() if stop else end])
                 flush()
-                stack.pop()
+                close(len(stack) - 1)
             after = html.find(">", stop.start()) if stop else -1
             at = end if after < 0 else after + 1
             continue
         ends = CLOSES.get(tag, frozenset()) | (frozenset() if tag in CLOSES_NO_P else frozenset({"p"}))
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in ends:
-                close(k)
-                break
-            if stack[k][0] in SCOPES:
-                break
+        if any(opened[t] for t in ends):
+            for k in range(len(stack) - 1, -1, -1):
+                if stack[k][0] in ends:
+                    close(k)
+                    break
+                if stack[k][0] in SCOPES:
+                    break
         if tag not in VOID:
             names = " ".join(v.strip("\"'") for v in _NAMED.findall(attributes)) if attributes else ""
-            stack.append((tag, f"{tag} {' '.join(n.lower() for n in _NAME.findall(names))}".strip()))
+            push(tag, f"{tag} {' '.join(n.lower() for n in _NAME.findall(names))}".strip())
     flush()
     return out
 
 
-def taught_label(path: tuple[str, ...], has_article: bool) -> int:
+def taught_label(path: Path, has_article: bool) -> int:
     """Label that a page's own marking gives: in an article and in no part of the page's frame."""
-    inside = not has_article
-    for element in path:
-        tag, *names = element.split()
-        if tag in PAGE_PARTS or PART_NAMES.intersection(names):
-            return 0
-        inside = inside or tag in ("article", "main")
-    return int(inside)
+    return int(not path.framed and (path.article or not has_article))
 
 
-_paths: dict[tuple[str, ...], np.ndarray] = {}
+_paths: dict[int, np.ndarray] = {}
 _words: dict[str, int] = {}
 
 
-def _path_vector(path: tuple[str, ...]) -> np.ndarray:
-    found = _paths.get(path)
+def _path_vector(path: Path) -> np.ndarray:
+    found = _paths.get(path.bits)
     if found is None:
         if len(_paths) > 20_000:
             _paths.clear()
-        found = np.zeros(PATH, np.float32)
-        for element in path:
-            for k, token in enumerate(element.split()):
-                found[zlib.crc32(f"{'tag' if k == 0 else 'name'} {token}".encode()) % PATH] = 1
-        _paths[path] = found
+        packed = np.frombuffer(path.bits.to_bytes(PATH // 8, "little"), np.uint8)
+        found = _paths[path.bits] = np.unpackbits(packed, bitorder="little").astype(np.float32)
     return found
 
 
@@ -316,14 +367,14 @@ def training_pages(pages: list[str], seed: int = 11) -> list[tuple[list[Block],
         page = blocks(html)
         if not page:
             continue
-        article = any(e.split()[0] in ("article", "main") for b in page for e in b.path)
+        article = any(b.path.article for b in page)
         label = [taught_label(b.path, article) for b in page]
         out.append((page, label))
         body = BODIES[rng.integers(len(BODIES))]
         name, *rest = body.split(" ", 1)
         names = " ".join(_NAME.findall(rest[0].split("=")[1])).lower() if rest else ""
         element = f"{name} {names}".strip()
-        renamed = [Block(tuple(element if e.split()[0] in ("article", "main") else e for e in b.path), b.text, b.linked) for b in page]
+        renamed = [Block(path_of(element if e.split()[0] in ("article", "main") else e for e in b.path), b.text, b.linked) for b in page]
         varied, kept = list(renamed), list(label)
         for _ in range(int(rng.integers(1, 4))):
             borrowed = page[rng.integers(len(page))].text
