@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -71,6 +73,19 @@ def dense_runs(
     return runs
 
 
+class Cover:
+    """Whether a stretch lies within one of the given spans, in logarithmic time."""
+
+    def __init__(self, spans: list[tuple[int, str, int]]):
+        ordered = sorted((s, e) for s, _, e in spans)
+        self.starts = [s for s, _ in ordered]
+        self.ends = list(accumulate((e for _, e in ordered), max))
+
+    def holds(self, start: int, end: int) -> bool:
+        k = bisect_right(self.starts, start)
+        return k > 0 and self.ends[k - 1] >= end
+
+
 def scan(text: str, allowed=ALLOWED, marked=MARKED) -> tuple[list[tuple[int, str, int]], list[tuple[int, str, int]]]:
     """(base spans, entropy spans), each (start, kind, end) in code points.
 
@@ -83,13 +98,13 @@ def scan(text: str, allowed=ALLOWED, marked=MARKED) -> tuple[list[tuple[int, str
     base += [(m.start(), "hex", m.end()) for m in HEX.finditer(text)]
     found: list[tuple[int, str, int]] = []
     for kind, (pattern, least) in CLASSES.items():
+        known = Cover(base + found)
         for m in pattern.finditer(text):
             if any(a.fullmatch(m[0]) for a in allowed):
                 continue
             places = [p.span(1) for p in marked.finditer(text, m.start(), m.end())]
             for start, end in dense_runs(text, m.start(), m.end(), least, marked=places):
-                inside = any(s <= start and end <= e for s, _, e in base + found)
-                if not inside and not any(a.fullmatch(text, start, end) for a in allowed):
+                if not known.holds(start, end) and not any(a.fullmatch(text, start, end) for a in allowed):
                     found.append((start, kind, end))
     return base, found
 
