@@ -143,13 +143,15 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None
     return Model(center, scale, w, b, prior)
 
 
-def _feature_rows(df: DataFrame) -> np.ndarray:
+def _feature_rows(df: DataFrame, most: int) -> np.ndarray:
+    """Features of at most so many rows, in the order of (id, features)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([features(t.as_py()).astype(np.float16).tobytes() for t in batch.column(1)], pa.binary()), batch.column(0)], ["x", "doc_id"])
 
-    rows = df.mapInArrow(run, "x binary, doc_id long").orderBy("doc_id", "x").collect()
+    drawn = df.mapInArrow(run, "x binary, doc_id long").orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(most)
+    rows = sorted(drawn.collect(), key=lambda r: (r["doc_id"], bytes(r["x"])))
     return np.array([np.frombuffer(r["x"], np.float16) for r in rows], np.float32).reshape(len(rows), WIDTH)
 
 
@@ -158,7 +160,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     Only ids whose crc32 modulo 5 is not 0 take part. At most `sample` documents of
     either kind, those of the smallest hashes, whose features reach the driver; that
-    bounds it whatever the input. Labels 0 and null labels are not used.
+    bounds it whatever the input, since rows that repeat an id count as well. Labels 0 and null labels are not used.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where(id_remainder(F.col("doc_id"), 5) != 0)
 
@@ -168,7 +170,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     trusted = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id")).where(id_remainder(F.col("doc_id"), 5) != 0)
     present = trusted.join(texts.select("doc_id"), "doc_id", "left_semi")
     chosen = [smallest(present), smallest(texts.select("doc_id"))]
-    found = [_feature_rows(texts.join(F.broadcast(ids), "doc_id", "left_semi")) for ids in chosen]
+    found = [_feature_rows(texts.join(F.broadcast(ids), "doc_id", "left_semi"), sample) for ids in chosen]
     return fit(*found)
 
 
