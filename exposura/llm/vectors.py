@@ -50,6 +50,12 @@ def linked_pairs(a: np.ndarray, b: np.ndarray, least: float = COSINE) -> np.ndar
     return out
 
 
+def scaled(v: np.ndarray) -> np.ndarray:
+    """The vector times the power of two that brings its largest component to between one
+    half and one: no cosine changes, and no square is too large or too small."""
+    return np.ldexp(v, -np.frexp(np.abs(v).max())[1]) + 0.0
+
+
 def _valid(df: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
     """Rows vec_id, label, vec: bytes of the float64 components; null where it links with nothing."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,10 +65,8 @@ def _valid(df: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataF
                 vec = None
                 if x.is_valid and len(x) and x.values.null_count == 0:
                     v = x.values.to_numpy(zero_copy_only=False).astype(np.float64)
-                    with np.errstate(over="ignore", invalid="ignore"):
-                        length = np.linalg.norm(v)
-                    if np.isfinite(v).all() and 0 < length < np.inf:
-                        vec = v.tobytes()
+                    if np.isfinite(v).all() and v.any():
+                        vec = scaled(v).tobytes()
                 vectors.append(vec)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(vectors, pa.binary())], ["vec_id", "label", "vec"])
 
