@@ -129,7 +129,7 @@ def test_vectors_edges(spark):
 
 
 def test_pipeline_stages_on_edges(spark, docs, empty, tmp_path):
-    labels = spark.createDataFrame([(1, 1, 0), (7, 1, 0), (5, None, 0)], "doc_id long, quality int, toxic int")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0), (7, 1, 0), (5, None, 0)], "doc_id long, quality int, toxic int")
     for name, frame in (("some", docs), ("none", empty)):
         folder = os.path.join(tmp_path, name)
         labels.write.parquet(f"{folder}/labels.parquet")
