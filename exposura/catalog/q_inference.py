@@ -102,6 +102,49 @@ def schema_catalog(spark, folder):
     )
 
 
+# A dump per part: a table with nested brackets and literals that look like statements, one
+# that is only filled, one filled without columns, one under a schema's name.
+DUMP = [
+    "-- dump (of; everything)\nCREATE TABLE IF NOT EXISTS `", "<name>", "` (\n  `id` int(11) NOT NULL COMMENT 'a, (b); CREATE TABLE x (y)',\n"
+    "  price decimal(10,2),\n  kind enum('a','b'),\n  PRIMARY KEY (`id`, price),\n  CONSTRAINT c CHECK ((price > 0))\n) ENGINE=x;\nINSERT INTO `",
+    "<name>", "` VALUES (1,2.5,'it''s; (fine)'),(", "<size>", ",3,'INSERT INTO z (q) VALUES');\nINSERT INTO log_", "<size>",
+    " (at, `by`) VALUES ('now', 'me');\nINSERT INTO log_", "<size>", " (other) VALUES (1);\nINSERT INTO bare VALUES (1);\n"
+    'CREATE TABLE "main"."late" ("key" text, val', "<size>", " text); insert into late (key) values ('a');\n"]
+DUMP_SQL = " || ".join({"<name>": "n", "<size>": "CAST(p_size AS VARCHAR)"}.get(x) or q(x) for x in DUMP)
+MADE = r'(?is)^\s*CREATE\s+TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?(?:[`"]?\w+[`"]?\.)*[`"]?(\w+)'
+FILLED = r"(?is)^\s*INSERT\s+INTO\s+[`]?(\w+)"
+DDL_WORDS = sql_in(rules.DDL_CONSTRAINTS)
+COLUMN = r'^\s*[`"]?(\w+)'
+
+
+@query("schema_catalog_dump", f"""
+WITH d AS (SELECT p_partkey, p_size, replace(p_name, ' ', '_') AS n FROM part),
+quiet AS (SELECT p_partkey, regexp_replace({DUMP_SQL}, {q("(?s)'(?:[^']|'')*'")}, '0', 'g') AS t FROM d),
+bare AS (SELECT p_partkey, regexp_replace(regexp_replace(t, '-- [^\\n]*', ' ', 'g'), {q(r"(?is)\bVALUES\b[^;]*")}, ' ', 'g') AS t FROM quiet),
+st AS (SELECT p_partkey, unnest(range(len(a))) AS pos, unnest(a) AS s FROM (SELECT p_partkey, string_split(t, ';') AS a FROM bare)),
+named AS (SELECT p_partkey, pos, s, regexp_extract(s, {q(MADE)}, 1) AS made, regexp_extract(s, {q(FILLED)}, 1) AS filled FROM st),
+body AS (SELECT p_partkey, pos, CASE WHEN made <> '' THEN made ELSE filled END AS table_name, made <> '' AS created,
+  regexp_replace(regexp_replace(regexp_extract(s, '(?s)[(](.*)[)]', 1), '[(][^()]*[)]', '', 'g'), '[(][^()]*[)]', '', 'g') AS b
+  FROM named WHERE made <> '' OR filled <> ''),
+kept AS (SELECT * FROM body QUALIFY row_number() OVER (PARTITION BY p_partkey, table_name ORDER BY created DESC, pos) = 1),
+cols AS (SELECT p_partkey, pos, table_name, list_filter(list_transform(string_split(b, ','), lambda x: regexp_extract(x, {q(COLUMN)}, 1)),
+  lambda x: x <> '' AND lower(x) NOT IN {DDL_WORDS} OR x = 'key' AND table_name = 'late') AS c FROM kept)
+SELECT p_partkey, string_agg(table_name || ':' || array_to_string(c, ','), '|' ORDER BY pos) AS tables, count(*) AS n_tables,
+  CAST(sum(len(c)) AS BIGINT) AS n_columns, 'statements' AS method, '2024-01-02 03:04:05' AS scanned_at FROM cols GROUP BY p_partkey""")
+def schema_catalog_dump(spark, folder):
+    p = table(spark, folder, "part")
+    names = {"<name>": F.translate("p_name", " ", "_"), "<size>": F.col("p_size").cast("string")}
+    dumps = p.select("p_partkey", F.concat(*[names.get(x, F.lit(x)) for x in DUMP]).alias("body"))
+    dumps = dumps.withColumn("line", text.first_line(F.col("body")))
+    at = F.lit("2024-01-02 03:04:05").cast("timestamp")
+    c = inf.schema_catalog(dumps, "p_partkey", "line", F.lit(True), "body", at)
+    listed = F.transform("tables", lambda t: F.concat(t["table_name"], F.lit(":"), F.array_join(t["columns"], ",")))
+    return c.select(
+        "p_partkey", F.array_join(listed, "|").alias("tables"), F.size("tables").cast("long").alias("n_tables"),
+        F.aggregate("tables", F.lit(0).cast("long"), lambda n, t: n + t["n_columns"]).alias("n_columns"), "method",
+        F.date_format("scanned_at", "yyyy-MM-dd HH:mm:ss").alias("scanned_at"))
+
+
 @query("mapping_failed", f"""
 WITH {NAMES}, useful AS (SELECT p_partkey, {CLASS} IN {sql_in(rules.IDENTITY_TARGETS + rules.FINANCIAL_TARGETS)} AS u FROM names)
 SELECT p_partkey, NOT u AS failed, p_partkey % 2 = 0 AS ambiguous FROM useful""")
@@ -179,17 +222,27 @@ def is_transaction_file(spark, folder):
     return table(spark, folder, "orders").select("o_orderkey", inf.is_transaction_header(header).alias("is_transaction"))
 
 
-@query("positional_fingerprint", """
-SELECT l_orderkey, l_linenumber, l_linenumber >= 3 AND l_suppkey % 2 = 0 AS matches FROM lineitem""")
+# Line of a lineitem: every third has quoted delimiters in its second field, so that counting commas would mislead.
+POSITIONAL = """placed AS (SELECT l_orderkey, l_linenumber, lpad(CAST(l_orderkey AS VARCHAR), 9, '1') || ','
+  || CASE WHEN l_partkey % 3 = 0 THEN '"a,""b"",,"' WHEN l_partkey % 3 = 1 THEN '"a"' ELSE 'a "b' END || ',b,'
+  || CASE WHEN l_suppkey % 2 = 0 THEN '"' || lpad(CAST(l_partkey AS VARCHAR), 10, '5') || '"' ELSE 'none' END
+  || repeat(',', CAST(l_linenumber AS INTEGER) + 13) AS line FROM lineitem)"""
+FIELDS = r"""regexp_extract_all(',' || line, ',("(?:[^"]|"")*"[^,]*|[^,]*)', 1)"""
+
+
+@query("positional_fingerprint", f"""
+WITH {POSITIONAL}, f AS (SELECT l_orderkey, l_linenumber, {FIELDS} AS a FROM placed)
+SELECT l_orderkey, l_linenumber, len(a) >= 20 AND regexp_matches(trim(a[1]), '^[0-9]{{8,20}}$')
+  AND regexp_matches(trim(trim(a[4]), '"'), '^[+]?[0-9]{{8,15}}$') AS matches FROM f""")
 def positional_fingerprint(spark, folder):
+    k = F.col("l_partkey") % 3
+    second = F.when(k == 0, '"a,""b"",,"').when(k == 1, '"a"').otherwise('a "b')
+    phone = F.concat(F.lit('"'), F.lpad(F.col("l_partkey").cast("string"), 10, "5"), F.lit('"'))
     line = F.concat(
-        F.lpad(F.col("l_orderkey").cast("string"), 9, "1"), F.lit(",a,b,"),
-        F.when(F.col("l_suppkey") % 2 == 0, F.lpad(F.col("l_partkey").cast("string"), 10, "5")).otherwise("none"),
-        F.repeat(F.lit(","), F.col("l_linenumber") + 13),
-    )
-    return table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_linenumber", inf.positional_fingerprint(F.split(line, ",", -1)).alias("matches")
+        F.lpad(F.col("l_orderkey").cast("string"), 9, "1"), F.lit(","), second, F.lit(",b,"),
+        F.when(F.col("l_suppkey") % 2 == 0, phone).otherwise("none"), F.repeat(F.lit(","), F.col("l_linenumber") + 13),
     )
+    return table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", inf.positional_line(line).alias("matches"))
 
 
 @query("extract_columns_from_create", """

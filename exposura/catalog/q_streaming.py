@@ -92,12 +92,13 @@ def ingest_stream(spark, folder):
 
 
 @query("stream_normalize", f"""
-SELECT o_orderkey AS id, nullif(o_orderstatus, 'F') AS status, nullif(o_orderpriority, '5-LOW') AS priority FROM orders
-WHERE NOT (o_orderstatus = 'F' AND o_orderpriority = '5-LOW')""")
+SELECT o_orderkey AS id, CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus || CASE WHEN o_orderkey % 3 = 0 THEN ', "' || o_orderkey || '" left' ELSE '' END END AS status,
+  nullif(o_orderpriority, '5-LOW') AS priority FROM orders WHERE NOT (o_orderstatus = 'F' AND o_orderpriority = '5-LOW')""")
 def stream_normalize(spark, folder):
     stream = s.table_stream(spark, folder, "orders")
+    more = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit(', ""'), "o_orderkey", F.lit('"" left'))).otherwise("")
     line = F.concat_ws(
-        ",", F.when(F.col("o_orderstatus") == "F", " NULL").otherwise(F.concat(F.lit('"'), "o_orderstatus", F.lit('"'))),
+        ",", F.when(F.col("o_orderstatus") == "F", " NULL").otherwise(F.concat(F.lit('"'), "o_orderstatus", more, F.lit('"'))),
         F.when(F.col("o_orderpriority") == "5-LOW", "-").otherwise(F.col("o_orderpriority")),
     )
     lines = stream.select(F.col("o_orderkey").alias("id"), line.alias("line"))
@@ -120,19 +121,21 @@ def _with_header(spark, rows, key, header, label):
 
 
 @query("stream_normalize_identity", f"""
-SELECT c_custkey, sha256({PEPPER} || lower(c_name)) AS username_hash, sha256({PEPPER} || '+1' || c_custkey) AS phone_hash FROM customer""")
+SELECT c_custkey, sha256({PEPPER} || lower(c_name) || CASE WHEN c_custkey % 2 = 0 THEN ', jun.' ELSE '' END) AS username_hash, sha256({PEPPER} || '+1' || c_custkey) AS phone_hash FROM customer""")
 def stream_normalize_identity(spark, folder):
     phone = F.concat(F.lit("+1 ("), F.col("c_custkey").cast("string"), F.lit(")"))
-    line = F.concat_ws(",", F.lit("-"), F.concat(F.lit(' "'), "c_name", F.lit('"')), phone, "c_mktsegment")
+    name = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit('"'), "c_name", F.lit(', jun."'))).otherwise(F.concat(F.lit(' "'), "c_name", F.lit('"')))
+    line = F.concat_ws(",", F.lit("-"), name, phone, "c_mktsegment")
     rows = table(spark, folder, "customer").select(F.col("c_custkey").cast("long").alias("c_custkey"), line.alias("line"))
     return _with_header(spark, rows, "c_custkey", HEADERS["identity"], "identity").select("c_custkey", "username_hash", "phone_hash")
 
 
 @query("stream_normalize_transaction", """
-SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS purchase_ref, nullif(o_orderpriority, '5-LOW') AS payment_vendor,
+SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS purchase_ref, CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN '4, NOT' ELSE nullif(o_orderpriority, '5-LOW') END AS payment_vendor,
        CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS charge_amount FROM orders""")
 def stream_normalize_transaction(spark, folder):
-    vendor = F.when(F.col("o_orderpriority") == "5-LOW", "N/A").otherwise(F.col("o_orderpriority"))
+    priority = F.col("o_orderpriority")
+    vendor = F.when(priority == "5-LOW", "N/A").when(priority == "4-NOT SPECIFIED", '"4, NOT"').otherwise(priority)
     line = F.concat_ws(",", "o_orderkey", vendor, F.col("o_totalprice").cast("decimal(18,2)"), F.lit("none"))
     rows = table(spark, folder, "orders").select(F.col("o_orderkey").cast("long").alias("o_orderkey"), line.alias("line"))
     found = _with_header(spark, rows, "o_orderkey", HEADERS["transaction"], "transaction")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -146,6 +148,27 @@ def registered_domain(c: Column, suffixes: list[str]) -> Column:
     return bind(F.split(host_of(c), "[.]", -1), longest)
 
 
+def quoted_fields(c: Column, delim: str = ",") -> Column:
+    """Fields of a delimited line; a quoted field may hold the delimiter, two quotes in it stand for one.
+
+    A quote opens a field only at its beginning; what follows the closing quote is
+    kept; a field whose quote is never closed is taken as it is. Lines without a quote
+    are only split.
+    """
+    d = re.escape(delim)
+    quoted = r'(?s)^"((?:[^"]|"")*+)"(?!")(.*)$'
+
+    def bare(field: Column) -> Column:
+        inner = F.replace(F.regexp_extract(field, quoted, 1), F.lit('""'), F.lit('"'))
+        return F.when(field.rlike(quoted), F.concat(inner, F.regexp_extract(field, quoted, 2))).otherwise(field)
+
+    def cut(line: Column) -> Column:
+        pattern = rf'(?s){d}("(?:[^"]|"")*+"(?!")[^{d}]*+|[^{d}]*+)'
+        return F.transform(F.regexp_extract_all(F.concat(F.lit(delim), line), F.lit(pattern), F.lit(1)), bare)
+
+    return bind(c, lambda line: F.when(line.contains('"'), cut(line)).otherwise(F.split(line, d, -1)))
+
+
 def abs_url(href: Column, root: Column) -> Column:
     return F.when(href.startswith("http"), href).otherwise(
         F.concat(root, F.lit("/"), F.regexp_replace(href, "^/+", ""))

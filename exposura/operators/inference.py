@@ -87,26 +87,97 @@ def learn_aliases(existing: DataFrame, found: DataFrame) -> DataFrame:
     return joined.select("name", F.when(upgrade, F.col("_found")).otherwise(F.col("target")).alias("target"))
 
 
-def schema_catalog(files: DataFrame, key: str, header: str) -> DataFrame:
-    """Per file its delimiter and columns, as one nested value read off the first line.
-
-    Where the first line is data its columns are named "0", "1", ..., and no value
-    of it is kept.
+def schema_catalog(
+    files: DataFrame, key: str, header: str, dump: Column | None = None, body: str | None = None, at: Column | None = None,
+) -> DataFrame:
+    """Per file: key, delimiter, tables, method, scanned_at; each table with its columns.
+
+    A flat file is one table read off its first line ("header"); where that line is
+    data its columns are named "0", "1", ..., and no value of it is kept. Where
+    `dump` holds, the whole text in `body` is read for its tables (`dump_tables`), the
+    delimiter is NULL and the method "statements".
     """
-    sniffed = files.select(key, F.col(header).alias("_line"), sniff_delimiter(F.col(header)).alias("delimiter"))
+    is_dump = F.coalesce(dump, F.lit(False)) if dump is not None else F.lit(False)
+    texts = [F.col(body).alias("_body")] if body else []
+    sniffed = files.select(
+        key, F.col(header).alias("_line"), sniff_delimiter(F.col(header)).alias("delimiter"), is_dump.alias("_dump"), *texts)
     read = sniffed.select(
-        key, "delimiter", header_tokens(F.col("_line"), F.col("delimiter")).alias("_tokens"),
+        key, "delimiter", "_dump", *(["_body"] if body else []), header_tokens(F.col("_line"), F.col("delimiter")).alias("_tokens"),
         is_headerless(F.col("_line"), F.col("delimiter")).alias("_headerless"),
     )
     ordinals = F.transform("_tokens", lambda t, i: i.cast("string"))
     read = read.withColumn("_columns", F.when(F.col("_headerless"), ordinals).otherwise(F.col("_tokens")))
-    table = F.struct(
-        F.lit("_flat").alias("table_name"),
-        F.col("_columns").alias("columns"),
-        F.size("_columns").alias("n_columns"),
-        F.col("_headerless").alias("headerless"),
-    )
-    return read.select(key, "delimiter", F.array(table).alias("tables"))
+
+    def table(name: Column, columns: Column, headerless: Column) -> Column:
+        return F.struct(
+            name.alias("table_name"), columns.alias("columns"), F.size(columns).alias("n_columns"), headerless.alias("headerless"))
+
+    tables = F.array(table(F.lit("_flat"), F.col("_columns"), F.col("_headerless")))
+    if body:
+        found = F.transform(dump_tables(F.col("_body")), lambda t: table(t["table_name"], t["columns"], F.lit(False)))
+        tables = F.when(F.col("_dump"), found).otherwise(tables)
+    return read.select(
+        key, F.when(~F.col("_dump"), F.col("delimiter")).alias("delimiter"), tables.alias("tables"),
+        F.when(F.col("_dump"), "statements").otherwise("header").alias("method"),
+        (at if at is not None else F.current_timestamp()).alias("scanned_at"))
+
+
+LITERAL = r"(?s)'(?:[^'\\]|\\.|'')*+'"
+COMMENT = r"(?s)/\*.*?\*/|(?m:--[ \t][^\n]*|^[ \t]*#[^\n]*)"
+TABLE_NAME = r"(?:[`\"\[]?\w+[`\"\]]?\.)*+[`\"\[]?(\w+)"
+CREATE = rf"(?is)^\s*CREATE\s+(?:TEMPORARY\s+)?TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?{TABLE_NAME}"
+INSERT = rf"(?is)^\s*(?:INSERT\s+(?:IGNORE\s+)?|REPLACE\s+)INTO\s+{TABLE_NAME}"
+
+
+def dump_tables(c: Column) -> Column:
+    """(table_name, columns, method) of every table a dump defines or fills, in order; names only.
+
+    One fold over the pieces between brackets, commas and semicolons carries the open
+    table, its depth and its columns so far. Text literals and what follows VALUES
+    are blanked first, so no value of a row is looked at. A table that is defined
+    has the columns of its definition ("create"); one that is only filled those of
+    its first statement's column list, or none ("insert").
+    """
+    bare = F.regexp_replace(F.regexp_replace(c, LITERAL, "''"), COMMENT, " ")
+    bare = F.regexp_replace(bare, r"(?is)\bVALUES\b[^;]*", " ")
+    pieces = F.regexp_extract_all(bare, F.lit(r"[(),;]|[^(),;]+"), F.lit(0))
+    table = "struct<table_name:string,columns:array<string>,method:string>"
+    none, names = F.lit(None).cast("string"), F.array().cast("array<string>")
+    start = F.struct(
+        F.lit(0).alias("depth"), none.alias("name"), none.alias("method"), names.alias("columns"), F.lit(True).alias("fresh"),
+        F.array().cast(f"array<{table}>").alias("out"))
+
+    def column(piece: Column) -> Column:
+        name = F.regexp_extract(piece, r"^\s*[`\"\[]?(\w+)", 1)
+        quoted = piece.rlike(r"^\s*[`\"\[]")
+        return F.when((name != "") & (quoted | ~F.lower(name).isin(rules.DDL_CONSTRAINTS)), F.array(name)).otherwise(names)
+
+    def step(at: Column, piece: Column) -> Column:
+        opened, closed, said = piece == "(", piece == ")", ~piece.isin("(", ")", ",", ";")
+        top, inside = at["depth"] == 0, at["name"].isNotNull() & (at["depth"] == 1)
+        depth = F.greatest(F.lit(0), at["depth"] + F.when(opened, 1).when(closed, -1).otherwise(0))
+        creates, fills = top & said & piece.rlike(CREATE), top & said & piece.rlike(INSERT)
+        ends = at["name"].isNotNull() & ((closed & (at["depth"] == 1)) | (top & (piece == ";")))
+        takes = inside & said & at["fresh"]
+        fresh = (opened & top) | ((piece == ",") & (at["depth"] == 1)) | (at["fresh"] & ~takes)
+        whole = F.struct(at["name"].alias("table_name"), at["columns"].alias("columns"), at["method"].alias("method")).cast(table)
+        name = F.when(creates, F.regexp_extract(piece, CREATE, 1)).when(fills, F.regexp_extract(piece, INSERT, 1)).when(ends, none)
+        return F.struct(
+            depth.alias("depth"),
+            name.when(~creates & ~fills & ~ends, at["name"]).alias("name"),
+            F.when(creates, "create").when(fills, "insert").otherwise(at["method"]).alias("method"),
+            F.when(creates | fills, names).when(takes, F.concat(at["columns"], column(piece))).otherwise(at["columns"]).alias("columns"),
+            fresh.alias("fresh"),
+            F.when(ends, F.concat(at["out"], F.array(whole))).otherwise(at["out"]).alias("out"))
+
+    def once(found: Column) -> Column:
+        def first(x: Column, i: Column) -> Column:
+            defined = F.exists(found, lambda y: (y["table_name"] == x["table_name"]) & (y["method"] == "create"))
+            earlier = F.exists(F.slice(found, 1, i), lambda y: (y["table_name"] == x["table_name"]) & (y["method"] == x["method"]))
+            return ~earlier & ((x["method"] == "create") | ~defined)
+        return F.filter(found, first)
+
+    return text.bind(F.aggregate(pieces, start, step, lambda at: at["out"]), once)
 
 
 def mapping_failed(columns: Column) -> Column:
@@ -168,6 +239,11 @@ def is_transaction_header(columns: Column, triggers: list[str] = rules.TRANSACTI
     return F.arrays_overlap(low, F.array(*[F.lit(t) for t in triggers]))
 
 
+def positional_line(line: Column, delim: str = ",") -> Column:
+    """The fingerprint of a delimited line, whose quoted fields may hold the delimiter."""
+    return text.bind(text.quoted_fields(line, delim), positional_fingerprint)
+
+
 def positional_fingerprint(fields: Column) -> Column:
     """At least twenty fields, an id-like first and a phone-like fourth."""
     return (

@@ -6,6 +6,7 @@ so a lost executor or a restarted driver replays a batch without doubling rows.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -141,9 +142,10 @@ def stream_normalize(
 ) -> DataFrame:
     """Delimited lines to named columns by ordinal, placeholders to NULL; empty rows go.
 
-    Identity columns leave as keyed hashes and kinds only.
+    Quoted fields may hold the delimiter. Identity columns leave as keyed hashes and
+    kinds only.
     """
-    parts = F.split(F.col(line), f"\\Q{delim}\\E", -1)
+    parts = text.quoted_fields(F.col(line), delim)
     named = [
         text.null_token(text.clean_header(F.get(parts, F.lit(i)))).alias(n) for i, n in sorted(column_map.items())
     ]
@@ -160,8 +162,8 @@ def probe_header(spark: SparkSession, path: str) -> str:
 
 
 def header_columns(header: str, delim: str = ",") -> list[str]:
-    """Lower-cased names of a header line, quotes taken off."""
-    return [h.strip().strip("\"'").lower() for h in header.split(delim)]
+    """Lower-cased names of a header line, quotes taken off; a quoted name may hold the delimiter."""
+    return [h.strip().strip("\"'").lower() for h in next(csv.reader([header], delimiter=delim), [])]
 
 
 def header_mode(columns: list[str]) -> str:
@@ -176,11 +178,12 @@ def normalize_lines(
 
     Both modes go through the batch functions: transaction fields under canonical
     names, identities as keyed hashes. Of repeated names the last column counts;
-    repeated header lines and rows without any field go.
+    repeated header lines and rows without any field go. Quoted fields may hold the
+    delimiter.
     """
     columns = header_columns(header, delim)
     at = {name: i for i, name in enumerate(columns) if name}
-    parts = F.split(F.col(line), f"\\Q{delim}\\E", -1)
+    parts = text.quoted_fields(F.col(line), delim)
     rest = [c for c in lines.columns if c != line]
     data = lines.filter(text.strip(F.col(line)) != header.strip())
 
