@@ -86,25 +86,30 @@ def next_page_link(spark, folder):
     return _pages(spark, folder).select("page_id", html.next_page_link(second, "/[A-Z]").alias("next"))
 
 
-CARD = {
-    "card": r"(?is)<li>(.*?)</li>",
-    "title": r"(?is)<a\s[^>]*>(.*?)</a>",
-    "link": r"(?is)<a\s[^>]*href=[\"']([^\"']*)[\"']",
-}
-PARAGRAPHS = {"card": r"(?is)<p>(.*?)</p>", "title": r"^([^.]*)", "link": r"(?is)href=[\"']([^\"']*)[\"']"}
+PARAGRAPHS = {"card": r"(?is)<p>(.*?)</p>"}
+# Two layouts: list items whose link is the title; articles in boxes within boxes.
+LIST = {"card": "li", "title": "a", "link": "a"}
+BOXES = {"card": "div.box", "title": "h1, h2", "link": "a[href*=http]", "text": "article"}
+IS_BLOG = "contains(regexp_extract(url, 'https?://([^/:]+)', 1), 'blog.')"
 
 
 @query("extract_entries", f"""
-WITH cards AS (
-  SELECT url, unnest(range(len(a))) AS ordinal, unnest(a) AS card FROM (
-    SELECT url, regexp_extract_all(html, {q(CARD['card'])}, 1) AS a FROM pages
-    WHERE contains(regexp_extract(url, 'https?://([^/:]+)', 1), 'blog.') OR contains(url, 'example'))
-  WHERE len(a) > 0)
-SELECT url, CAST(ordinal AS INTEGER) AS ordinal, {_visible(f"regexp_extract(card, {q(CARD['title'])}, 1)")} AS title,
-       regexp_extract(card, {q(CARD['link'])}, 1) AS entry_url FROM cards""")
+WITH listed AS (SELECT url, unnest(range(len(a))) AS ordinal, unnest(a) AS card FROM (
+    SELECT url, regexp_extract_all(html, '<li>(.*?)</li>', 1) AS a FROM pages WHERE {IS_BLOG}) WHERE len(a) > 0),
+boxed AS (SELECT url, regexp_extract(html, '(?s)<article>(.*)</article>', 1) AS a FROM pages WHERE NOT {IS_BLOG})
+SELECT url, CAST(ordinal AS INTEGER) AS ordinal, {_visible("regexp_extract(card, '<a [^>]*>(.*?)</a>', 1)")} AS title,
+       regexp_extract(card, 'href="([^"]*)"', 1) AS entry_url, md5({_visible("card")}) AS body_hash FROM listed
+UNION ALL
+SELECT url, 0, {_visible("regexp_extract(a, '(?s)<h1>(.*?)</h1>', 1)")}, url, md5({_visible("a")}) FROM boxed""")
 def extract_entries(spark, folder):
-    layouts = [("blog.", CARD), ("example", CARD)]
-    return jobs.extract_entries(_pages(spark, folder), "url", "html", layouts).drop("body")
+    """Pages whose articles sit in nested boxes, with the same tags in comments, scripts and attributes."""
+    noise = "<!-- <div class='box'> --><script>var t = \"<div class='box'></div>\";</script>"
+    box = F.concat(F.lit(f'{noise}<div title="</div> <div>" class="wide box"><div><div class=inner>{noise}<a href="/no">no</a><a href="'),
+                   "url", F.lit('">x</a></div></div><article>'))
+    pages = _pages(spark, folder).withColumn(
+        "html", F.replace(F.replace("html", F.lit("<article>"), box), F.lit("</article>"), F.lit("</article><div></div></div>")))
+    found = jobs.extract_entries(pages, "url", "html", [("blog.", LIST), ("example", BOXES)])
+    return found.select("url", "ordinal", "title", "entry_url", F.md5("body").alias("body_hash"))
 
 
 @query("entry_stoplist", f"""

@@ -1,4 +1,8 @@
-"""Extraction from stored pages, as regular expressions over whole pages."""
+"""Extraction from stored pages.
+
+One grammar of markup serves all: comments, raw text elements, declarations and tags
+are told apart once, and selectors, cards and visible text are read off its tokens.
+"""
 
 from __future__ import annotations
 
@@ -39,54 +43,110 @@ def decode_entities(c: Column) -> Column:
     return bind(c, lambda t: F.when(t.contains("&"), decoded(t)).otherwise(t))
 
 
+# Markup: comments, elements of raw text with what they hold, declarations, tags. A quote
+# counts only where an attribute's value begins.
+SILENT = r"(?is)<!--(?:-?>|.*?(?:-->|$))|<(script|style)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|$)"
+MARKUP = SILENT + r"""|<[!?][^>]*>|</?[a-z](?:[^>=]|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+>"""
+TAG = r"(?i)^</?([a-z][^\s/>]*)"
+
+
 def strip_html(c: Column) -> Column:
     """Visible text: scripts, styles, comments and tags out, entities decoded."""
-    c = F.regexp_replace(c, r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->", " ")
-    c = F.regexp_replace(c, r"(?s)<[^>]*>", " ")
-    return strip(F.regexp_replace(decode_entities(c), r"\s+", " "))
+    return strip(F.regexp_replace(decode_entities(F.regexp_replace(c, MARKUP, " ")), r"\s+", " "))
+
+
+def tokens(c: Column) -> Column:
+    """The page's tags, comments, raw elements and runs of text, in order; joined they are the page."""
+    return F.regexp_extract_all(c, F.lit(MARKUP + "|[^<]+|<"), F.lit(0))
+
+
+def opens(token: Column, selector: str) -> Column:
+    """Whether a token is an opening tag under a selector.
+
+    A selector is `tag`, `tag.class` or `tag[attribute*=part]`, or several of them
+    with commas between.
+    """
+    def value(attribute: str, inner: str, bare: str) -> str:
+        return rf"""\s{attribute}\s*=\s*(?:"{inner.replace('@', '[^"]*')}"|'{inner.replace('@', "[^']*")}'|{bare})"""
+
+    out = F.lit(False)
+    for one in selector.split(","):
+        tag, css, attribute, part = re.fullmatch(r"\s*([\w-]+)(?:\.([\w-]+))?(?:\[([\w-]+)\*=['\"]?([^'\"\]]*)['\"]?\])?\s*", one).groups()
+        test = token.rlike(rf"(?i)^<{tag}(?=[\s/>])")
+        if css:
+            word = re.escape(css)
+            test = test & token.rlike("(?i)" + value("class", rf"(?:@\s)?{word}(?:\s@)?", rf"{word}(?=[\s>])"))
+        if attribute:
+            piece = re.escape(part)
+            test = test & token.rlike("(?i)" + value(attribute, f"@{piece}@", rf"(?![\"'])[^\s>]*{piece}"))
+        out = out | test
+    return out
+
+
+def _spans(found: Column, selector: str, first: bool) -> Column:
+    """(begin, end) of the outermost elements under a selector, as places among the tokens.
+
+    A fold that counts the open elements of the same tag; an element that is never
+    closed runs to the page's end, and its span has end 0.
+    """
+    span = "array<struct<begin:int,end:int>>"
+    start = F.struct(F.lit(0).alias("i"), F.lit("").alias("tag"), F.lit(0).alias("depth"), F.array().cast(span).alias("out"))
+
+    def step(at: Column, token: Column) -> Column:
+        i = at["i"] + 1
+        name = F.lower(F.regexp_extract(token, TAG, 1))
+        idle, same = at["depth"] == 0, (at["tag"] == name) & (name != "")
+        begins = idle & token.startswith("<") & opens(token, selector)
+        if first:
+            begins = begins & (F.size(at["out"]) == 0)
+        ends = ~idle & same & token.startswith("</") & (at["depth"] == 1)
+        depth = F.when(begins, 1).when(idle | ~same, at["depth"]).when(token.startswith("</"), at["depth"] - 1).otherwise(at["depth"] + 1)
+        opened = F.array(F.struct(i.alias("begin"), F.lit(0).alias("end"))).cast(span)
+        last = F.size(at["out"])
+        closed = F.concat(F.slice(at["out"], F.lit(1), last - 1), F.array(
+            F.struct(F.get(at["out"], last - 1)["begin"].alias("begin"), i.alias("end"))).cast(span))
+        out = F.when(begins, F.concat(at["out"], opened)).when(ends, closed).otherwise(at["out"])
+        return F.struct(i.alias("i"), F.when(begins, name).otherwise(at["tag"]).alias("tag"), depth.alias("depth"), out.alias("out"))
+
+    return F.aggregate(found, start, step, lambda at: at["out"])
+
+
+def _inner(found: Column, span: Column) -> Column:
+    end = F.when(span["end"] > 0, span["end"]).otherwise(F.size(found) + 1)
+    return F.array_join(F.slice(found, span["begin"] + 1, end - span["begin"] - 1), "")
 
 
 def element_html(c: Column, selector: str) -> Column:
-    """Inner HTML of the first element under a tag or tag.class selector, "" if none.
+    """Inner HTML of the first element under a selector, "" if none.
 
     Elements of the same tag within it are counted, so the end is its own closing
-    tag; an element that is never closed runs to the end of the page.
+    tag; an element that is never closed runs to the end of the page. Tags in
+    comments and scripts are no tags.
     """
-    tag, _, css = selector.partition(".")
-    if css:
-        attr = rf"\s[^>]*class=[\"'][^\"']*\b{re.escape(css)}\b[^\"']*[\"'][^>]*"
-    else:
-        attr = r"(?:\s[^>]*)?"
-    edge = rf"(?is)<{tag}(?:\s[^>]*)?>|</{tag}\s*>"
-
-    def inner(rest: Column) -> Column:
-        tags = F.regexp_extract_all(rest, F.lit(edge), F.lit(0))
-        depth = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("seen"), F.lit(0).alias("end"))
-
-        def step(at: Column, t: Column) -> Column:
-            now = at["depth"] + F.when(t.startswith("</"), -1).otherwise(1)
-            seen = at["seen"] + 1
-            ends = (at["end"] == 0) & (now == 0)
-            return F.struct(now.alias("depth"), seen.alias("seen"), F.when(ends, seen).otherwise(at["end"]).alias("end"))
-
-        def text_of(t: Column) -> Column:
-            end = F.aggregate(t, depth, step)["end"]
-            return bind(F.when(end > 0, end - 1).otherwise(F.size(t)), lambda n: F.array_join(F.flatten(F.zip_with(
-                F.slice(F.split(rest, edge, -1), F.lit(2), n), F.slice(t, F.lit(2), n - 1),
-                lambda x, y: F.array(x, F.coalesce(y, F.lit(""))))), ""))
-
-        return bind(tags, text_of)
-
-    whole = bind(c, lambda page: bind(
-        F.regexp_instr(page, F.lit(rf"(?is)<{tag}{attr}>")),
-        lambda at: F.when(at > 0, inner(F.substr(page, at))).otherwise("")))
+    def first(found: Column) -> Column:
+        return bind(_spans(found, selector, True), lambda s: F.when(F.size(s) > 0, _inner(found, F.get(s, F.lit(0)))))
+
+    names = "|".join(sorted({re.match(r"\s*([\w-]+)", s)[1] for s in selector.split(",")}))
+    whole = bind(c, lambda page: F.when(page.rlike(rf"(?i)<(?:{names})[\s/>]"), bind(tokens(page), first)))
     return F.coalesce(whole, F.lit(""))
 
 
+def elements_html(c: Column, selector: str) -> Column:
+    """Inner HTML of every outermost element under a selector, in order."""
+    return bind(tokens(c), lambda found: F.transform(_spans(found, selector, False), lambda s: _inner(found, s)))
+
+
 def element_text(c: Column, selector: str) -> Column:
     return strip_html(element_html(c, selector))
 
 
+def attribute(c: Column, selector: str, name: str) -> Column:
+    """Attribute of the first opening tag under a selector, "" if there is none."""
+    tag = F.get(F.filter(tokens(c), lambda t: t.startswith("<") & opens(t, selector)), F.lit(0))
+    value = rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|((?!["'])[^\s>]+))"""
+    return F.coalesce(decode_entities(F.concat(*[F.regexp_extract(tag, value, k) for k in (1, 2, 3)])), F.lit(""))
+
+
 def first_matching_selector(c: Column, selectors: list[str]) -> Column:
     """Text under the first selector that yields any, else ""."""
     hits = [bind(element_text(c, s), lambda t: F.when(t != "", t)) for s in selectors]
@@ -94,7 +154,7 @@ def first_matching_selector(c: Column, selectors: list[str]) -> Column:
 
 
 def hrefs(c: Column) -> Column:
-    return F.regexp_extract_all(c, F.lit(ANCHOR), F.lit(1))
+    return F.regexp_extract_all(F.regexp_replace(c, SILENT, ""), F.lit(ANCHOR), F.lit(1))
 
 
 def links(c: Column, root: Column) -> Column:
@@ -104,7 +164,7 @@ def links(c: Column, root: Column) -> Column:
 
 def anchors(c: Column) -> Column:
     """(href, label) of every link."""
-    labels = F.transform(F.regexp_extract_all(c, F.lit(ANCHOR), F.lit(2)), strip_html)
+    labels = F.transform(F.regexp_extract_all(F.regexp_replace(c, SILENT, ""), F.lit(ANCHOR), F.lit(2)), strip_html)
     return F.zip_with(hrefs(c), labels, lambda h, t: F.struct(h.alias("href"), t.alias("label")))
 
 
@@ -118,15 +178,13 @@ def next_page_link(c: Column, page_pattern: str, next_pattern: str = r"(?i)next|
 def entries(c: Column, layout: dict[str, str]) -> Column:
     """(title, url, body) of every card of a page layout.
 
-    A layout gives three patterns: one cutting the page into cards and one each
-    for title and link; the body is the text of the card.
+    A layout gives selectors: `card`, and within a card `title`, `link` and `text`;
+    the first element under each counts. Without `text` the body is all of the card's
+    text. A card ends at its own closing tag, whatever it holds.
     """
-    cards = F.regexp_extract_all(c, F.lit(layout["card"]), F.lit(1))
-    return F.transform(
-        cards,
-        lambda card: F.struct(
-            strip_html(F.regexp_extract(card, layout["title"], 1)).alias("title"),
-            F.regexp_extract(card, layout["link"], 1).alias("url"),
-            strip_html(card).alias("body"),
-        ),
-    )
+    def entry(card: Column) -> Column:
+        body = element_text(card, layout["text"]) if "text" in layout else strip_html(card)
+        return F.struct(
+            element_text(card, layout["title"]).alias("title"), attribute(card, layout["link"], "href").alias("url"), body.alias("body"))
+
+    return F.transform(elements_html(c, layout["card"]), entry)

@@ -34,3 +34,34 @@ def test_quoted_commas_do_not_shift_identities(spark):
     assert {r["phone_hash"] for r in got} == {keyed("+15550109999"), None}
     assert {r["username_hash"] for r in got} == {keyed("Doe, Jo"), keyed('x"y')}
     assert s.header_columns('"Id","last, first", E-mail ') == ["id", "last, first", "e-mail"]
+
+
+def test_markup_knows_comments_raw_text_and_depth(spark):
+    from exposura.functions import html
+
+    page = """<body><!-- <article>no</article> --><script>"<article>"</script><div class='a b' title="x > y"><article>one <!-- </article> --> <b>two</b>
+<article>in</article></article></div><p>it's <!-->here</p><article title=don't>last<br/> <style>p{}</style></article><article>open"""
+    df = spark.createDataFrame([(page,)], "h string")
+    got = df.select(
+        html.element_html(F.col("h"), "article").alias("first"), html.elements_html(F.col("h"), "article").alias("all"),
+        html.element_text(F.col("h"), "div.b").alias("b"), html.element_text(F.col("h"), "div.c").alias("c"),
+        html.element_text(F.col("h"), "div[title*=>], p").alias("t"), html.strip_html(F.col("h")).alias("text"),
+        F.array_join(html.tokens(F.col("h")), "").alias("whole"),
+        html.attribute(F.col("h"), "div", "title").alias("title"), html.attribute(F.col("h"), "article[title*='t']", "title").alias("bare")).first()
+    assert got["first"] == "one <!-- </article> --> <b>two</b>\n<article>in</article>"
+    assert [x[:4] for x in got["all"]] == ["one ", "last", "open"]
+    assert got["b"] == "one two in" and got["c"] == "" and got["t"] == "one two in" and got["whole"] == page
+    assert got["text"] == "one two in it's here last open" and got["title"] == "x > y" and got["bare"] == "don't"
+
+
+def test_two_layouts_with_nested_cards(spark):
+    from exposura.plans import jobs
+
+    rows = [("https://blog.example.com/a", '<ul><li><a href="/1">One</a><ul><li>deep</li></ul> tail</li><li>no link</li></ul>'),
+            ("https://example.org/b", '<div class="x box"><h2>Two</h2><div>in<div>ner</div></div><p>text</p><a href="https://example.org/2">go</a></div>')]
+    df = spark.createDataFrame(rows, "url string, html string")
+    found = jobs.extract_entries(df, "url", "html", [("blog.", {"card": "li", "title": "a", "link": "a"}),
+                                                    ("example", {"card": "div.box", "title": "h1,h2", "link": "a", "text": "p"})])
+    assert sorted(map(tuple, found.collect())) == [
+        ("https://blog.example.com/a", 0, "One", "/1", "One deep tail"), ("https://blog.example.com/a", 1, "", "", "no link"),
+        ("https://example.org/b", 0, "Two", "https://example.org/2", "text")]
