@@ -9,6 +9,7 @@ from exposura.catalog import views as v
 from exposura.catalog.base import case_first, q, query, sql_in, stamp, strip, sub
 from exposura.functions import files, sensitive, text, times, values
 from exposura.session import DEMO_PEPPER, pepper
+from exposura.operators import joins
 from exposura.sources.readers import table
 
 MSG = f"WITH {v.MESSAGES} "
@@ -168,6 +169,36 @@ def registered_domain(spark, folder):
     return p.select("page_id", text.registered_domain(F.col("url"), v.SUFFIXES).alias("domain"))
 
 
+# A table of suffixes made from the hosts themselves: last labels, every third last two labels,
+# a wildcard and an exception for some.
+SUFFIX_TABLE = """hosts AS (SELECT page_id, string_split(regexp_extract(url, 'https?://([^/:]+)', 1), '.') AS a FROM pages),
+rules AS (SELECT DISTINCT unnest([a[-1], CASE WHEN page_id % 3 = 0 THEN a[-2] || '.' || a[-1] END,
+  CASE WHEN page_id % 7 = 0 THEN '*.' || a[-3] || '.' || a[-2] || '.' || a[-1] END,
+  CASE WHEN page_id % 14 = 0 AND len(a) > 3 THEN '!' || a[-4] || '.' || a[-3] || '.' || a[-2] || '.' || a[-1] END]) AS rule FROM hosts)"""
+
+
+@query("registered_domain_table", f"""
+WITH {SUFFIX_TABLE}, listed AS (SELECT ltrim(replace(rule, '*.', ''), '!') AS ending, starts_with(rule, '!') AS excepted, starts_with(rule, '*.') AS wild FROM rules WHERE rule IS NOT NULL),
+ends AS (SELECT page_id, len(a) AS n, k, array_to_string(a[-k:], '.') AS ending, a FROM hosts, range(1, 9) r(k) WHERE k <= len(a)),
+met AS (SELECT page_id, a, excepted, CASE WHEN excepted THEN k ELSE k + wild::INT END AS reach, CASE WHEN excepted THEN k ELSE k + wild::INT + 1 END AS kept
+        FROM ends JOIN listed USING (ending) WHERE excepted OR n > k + wild::INT),
+best AS (SELECT page_id, array_to_string(a[-kept:], '.') AS domain FROM met QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY excepted DESC, reach DESC) = 1)
+SELECT page_id, coalesce(domain, '') AS domain FROM pages LEFT JOIN best USING (page_id)""")
+def registered_domain_table(spark, folder):
+    """Registered domains by a suffix table that is data."""
+    p = table(spark, folder, "pages").select("page_id", "url")
+    a, k = F.split(text.url_host(F.col("url")), "[.]"), F.col("page_id")
+
+    def last(n):
+        return F.array_join(F.slice(a, -n, n), ".")
+
+    rules_ = F.array(
+        last(1), F.when(k % 3 == 0, last(2)), F.when(k % 7 == 0, F.concat(F.lit("*."), last(3))),
+        F.when((k % 14 == 0) & (F.size(a) > 3), F.concat(F.lit("!"), last(4))))
+    suffixes = p.select(F.explode(rules_).alias("rule")).distinct().filter("rule IS NOT NULL")
+    return joins.registered_domains(p, "url", suffixes).select("page_id", "domain")
+
+
 @query("url_host", "SELECT page_id, regexp_extract(url, 'https?://([^/:]+)', 1) AS host FROM pages")
 def url_host(spark, folder):
     return table(spark, folder, "pages").select("page_id", text.url_host(F.col("url")).alias("host"))

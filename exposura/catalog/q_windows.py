@@ -99,6 +99,16 @@ def recent_page(spark, folder):
     return page.drop("crawled_at")
 
 
+@query("deep_page", """
+SELECT l_orderkey, l_linenumber, l_extendedprice, (SELECT count(*) FROM lineitem) AS total FROM lineitem
+ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber LIMIT 50 OFFSET (SELECT count(*) * 3 // 5 // 50 * 50 FROM lineitem)""")
+def deep_page(spark, folder):
+    """A page far down: three fifths of all rows lie before it."""
+    l = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    page = l.count() * 3 // 5 // 50 + 1
+    return o.deep_page(l, ["-l_extendedprice", "l_orderkey", "l_linenumber"], page, 50, l.columns, rows_per_range=2000)
+
+
 @query("recent_sample", f"""
 WITH {v.THREADS} SELECT doc_id, forum FROM threads WHERE title <> '' ORDER BY crawled_at DESC, doc_id LIMIT 5""")
 def recent_sample(spark, folder):

@@ -177,3 +177,34 @@ def content_route(df: DataFrame, rules_df: DataFrame, kind: Column) -> DataFrame
         [(kind == name, F.array(*[F.lit(d) for d in where])) for name, where in by_kind.items()], none
     ) if by_kind else none
     return tagged.select("*", F.explode(found).alias("destination"))
+
+
+def registered_domains(df: DataFrame, column: str, suffixes: DataFrame, out: str = "domain") -> DataFrame:
+    """Adds the registered domain of an address, e-mail or host, by a table of public suffixes.
+
+    `suffixes` has one string column, in the notation of `text.registered_domain`; the
+    result is the same, and the plan does not grow with the table. Each distinct
+    host gives its endings with their lengths; they meet the table by equality; the
+    exception, or else the longest suffix that leaves a label, is picked per host by an
+    aggregate; hosts then find their rows. "" where no suffix is listed.
+    """
+    rule = F.lower(text.strip(F.col(suffixes.columns[0])))
+    kind = F.when(rule.startswith("!"), 2).when(rule.startswith("*."), 1).otherwise(0)
+    name = F.regexp_replace(rule, r"^(?:!|[*][.])", "")
+    table = suffixes.select(name.alias("_ending"), kind.alias("_kind")).filter(F.col("_ending") != "").distinct()
+
+    host = text.host_of(F.col(column))
+    hosts = df.select(host.alias("_host")).filter("_host <> ''").distinct()
+    labels = F.split("_host", "[.]", -1)
+    endings = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.struct(
+        F.array_join(F.slice(labels, -k, k), ".").alias("_ending"), k.alias("_k")))
+    long = hosts.select("_host", F.size(labels).alias("_n"), F.explode(endings).alias("e")).select("_host", "_n", "e._ending", "e._k")
+    met = long.join(table, "_ending")
+    excepted = F.col("_kind") == 2
+    suffix = F.col("_k") + (F.col("_kind") == 1).cast("int")
+    kept = F.when(excepted, F.col("_k")).otherwise(suffix + 1)
+    found = met.filter(excepted | (F.col("_n") > suffix)).groupBy("_host").agg(
+        F.max_by(kept, F.struct(excepted, F.when(excepted, F.col("_k")).otherwise(suffix))).alias("_kept"))
+    domains = found.select("_host", F.array_join(F.slice(labels, -F.col("_kept"), F.col("_kept")), ".").alias("_domain"))
+    joined = df.withColumn("_host", host).join(domains, "_host", "left")
+    return joined.withColumn(out, F.coalesce("_domain", F.lit(""))).drop("_host", "_domain")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from exposura import rules
@@ -101,9 +103,34 @@ def watchlist_exposure(
     return domain_mentions(df, keep, column, suffixes, owned)
 
 
-def exposure_report(exposure: DataFrame, by: list[str]) -> DataFrame:
-    """Totals over the rollup of the given columns; NULL stands for "all"."""
-    return exposure.rollup(*by).agg(F.sum("n").alias("n"), F.countDistinct("domain").alias("n_domains"))
+def exposure_report(exposure: DataFrame, by: list[str], approximate: bool = False, precision: int = 12) -> DataFrame:
+    """Totals and numbers of domains over the rollup of the given columns; NULL stands for "all".
+
+    Each level is an aggregate of the one below it, so no row is copied per level and
+    a level costs what the level below has groups. Exact: a level keeps its domains
+    apart until they are counted. Approximate: domains become sketches, which merge
+    upwards; their standard error is about 1.04 / sqrt(2 ** precision), 1.6 % for 12.
+    """
+    n = F.sum("n").alias("n")
+    if approximate:
+        level = exposure.groupBy(*by).agg(n, F.hll_sketch_agg("domain", precision).alias("_domains"))
+    else:
+        level = exposure.groupBy(*by, F.col("domain").alias("_domain")).agg(n)
+    levels = []
+    for depth in range(len(by), -1, -1):
+        keys = by[:depth]
+        if depth < len(by):
+            if approximate:
+                level = level.groupBy(*keys).agg(n, F.hll_union_agg("_domains").alias("_domains"))
+            else:
+                level = level.groupBy(*keys, "_domain").agg(n)
+        if approximate:
+            counted = level.withColumn("n_domains", F.hll_sketch_estimate("_domains")).drop("_domains")
+        else:
+            counted = level.groupBy(*keys).agg(n, F.count("_domain").alias("n_domains"))
+        missing = [F.lit(None).cast(exposure.schema[c].dataType).alias(c) for c in by[depth:]]
+        levels.append(counted.select(*keys, *missing, "n", "n_domains"))
+    return reduce(DataFrame.unionByName, levels)
 
 
 def score_hosts(counts: DataFrame, host: str, kind: str, n: str, weights=rules.RISK_WEIGHTS_A) -> DataFrame:

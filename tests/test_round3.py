@@ -65,3 +65,59 @@ def test_two_layouts_with_nested_cards(spark):
     assert sorted(map(tuple, found.collect())) == [
         ("https://blog.example.com/a", 0, "One", "/1", "One deep tail"), ("https://blog.example.com/a", 1, "", "", "no link"),
         ("https://example.org/b", 0, "Two", "https://example.org/2", "text")]
+
+
+def test_suffix_table_equals_the_literal_form(spark):
+    """Ten thousand rules as data and as literals; the plan does not grow with them."""
+    from exposura.operators import joins
+
+    rng = random.Random(5)
+    parts = ["a", "b", "c", "co", "uk", "com", "x"]
+    listed = ["com", "uk", "co.uk", "*.b", "!a.b", "*.x.com", "c.x"] + [f"s{k}.{rng.choice(parts)}" for k in range(10_000)]
+    hosts = [".".join(rng.choice(parts + [f"s{rng.randrange(10_000)}"]) for _ in range(rng.randrange(1, 6))) for _ in range(400)]
+    df = spark.createDataFrame([(k, f"https://{h}:80/p" if k % 2 else h) for k, h in enumerate(hosts)] + [(-1, None), (-2, "")], "k int, h string")
+    table = spark.createDataFrame([(x,) for x in listed], "suffix string")
+    got = {r["k"]: r["domain"] for r in joins.registered_domains(df, "h", table).collect()}
+    want = {r["k"]: r["d"] for r in df.select("k", text.registered_domain(F.col("h"), listed).alias("d")).collect()}
+    assert got == want
+
+    def length(n):
+        rules = table.limit(n)
+        return len(joins.registered_domains(df, "h", rules)._jdf.queryExecution().optimizedPlan().toString())
+
+    assert length(10_000) < length(10) + 200
+
+
+def test_deep_pages_equal_a_sort(spark):
+    from exposura.operators import ordering
+
+    rng = random.Random(6)
+    rows = [(rng.choice([None, 1.0, 2.5, 2.5, 9.0]), rng.choice([None, "a", "b", "c"]), k) for k in range(3000)]
+    df = spark.createDataFrame(rows, "d double, s string, id int").repartition(5)
+    order = [F.desc("d"), F.col("s"), F.desc("id")]
+    whole = [tuple(r) for r in df.orderBy(*order).collect()]
+    for page, size in ((1, 10), (100, 20), (150, 20), (151, 20), (7, 400)):
+        got = ordering.deep_page(df, ["-d", "s", "-id"], page, size, ["d", "s", "id"], ranges=8, rows_per_range=60)
+        assert [tuple(r)[:3] for r in got.collect()] == whole[(page - 1) * size:page * size]
+    assert ordering.deep_page(df.limit(0), ["id"], 3, 10, ["id"]).count() == 0
+    same = spark.range(500).select(F.lit(1).alias("a"), "id")
+    assert [r["id"] for r in ordering.deep_page(same, ["a", "id"], 40, 10, ["id", "a"], ranges=4, rows_per_range=20).collect()] == list(range(390, 400))
+
+
+def test_report_levels_exact_and_by_sketches(spark):
+    from exposura.plans import jobs
+
+    rng = random.Random(7)
+    rows = [(rng.choice("ab"), rng.choice(["x", None]), rng.randrange(3), f"d{rng.randrange(9000)}", rng.randrange(5)) for _ in range(20_000)]
+    df = spark.createDataFrame(rows, "kind string, forum string, day int, domain string, n int")
+    by = ["kind", "forum", "day"]
+    want = sorted(map(tuple, df.rollup(*by).agg(F.sum("n").alias("n"), F.countDistinct("domain").alias("n_domains")).collect()), key=repr)
+    exact = jobs.exposure_report(df, by)
+    assert sorted(map(tuple, exact.collect()), key=repr) == want
+    assert "Expand" not in exact._jdf.queryExecution().executedPlan().toString()
+    near = sorted(map(tuple, jobs.exposure_report(df, by, approximate=True).collect()), key=repr)
+    assert len(near) == len(want)
+    totals = {r[:3] + (r[3],): r[4] for r in want if want.count(r) == 1}
+    for r in near:
+        if r[:4] in totals:
+            assert abs(r[4] - totals[r[:4]]) <= max(2, 0.065 * totals[r[:4]])
