@@ -30,16 +30,16 @@ def _people(spark, folder):
     )
 
 
-@query("remap_columns", """
+@query("remap_columns", f"""
 SELECT c_custkey AS "_row",
-  sha256('t' || CASE WHEN c_custkey % 3 = 0 THEN 'b' || c_custkey || '@example.org '
+  sha256({q(DEMO_PEPPER)} || CASE WHEN c_custkey % 3 = 0 THEN 'b' || c_custkey || '@example.org '
                      ELSE 'A' || c_custkey || '@example.com' END) AS email_hash,
   c_name AS username, c_mktsegment AS segment, CAST(c_nationkey AS VARCHAR) AS country
 FROM customer""")
 def remap_columns(spark, folder):
     out = p.remap_columns(_people(spark, folder))
     return out.select(
-        "_row", F.sha2(F.concat(F.lit("t"), "email"), 256).alias("email_hash"), "username", "segment", "country"
+        "_row", F.sha2(F.concat(F.lit(pepper(spark)), "email"), 256).alias("email_hash"), "username", "segment", "country"
     )
 
 

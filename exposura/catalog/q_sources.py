@@ -11,7 +11,7 @@ from pyspark.sql import functions as F, types as T
 from exposura.catalog import views as v
 from exposura.catalog.base import q, query, sql_in, strip
 from exposura.catalog.q_filters import LOG, run_log
-from exposura.session import scratch_path
+from exposura.session import DEMO_PEPPER, pepper, scratch_path
 from exposura.sinks.writers import write_messages
 from exposura.sources import readers as r
 
@@ -141,12 +141,15 @@ def read_host_records(spark, folder):
     return h.select("metadata.host_id", "metadata.country_code", "statistics.total_password", "statistics.total_cookie")
 
 
+PEPPER = q(DEMO_PEPPER)
+
+
 @query("read_text_lines", f"""
-WITH {v.LINES} SELECT doc_id, CAST(pos AS BIGINT) + 1 AS line_number, md5(line) AS line_hash FROM lines
+WITH {v.LINES} SELECT doc_id, CAST(pos AS BIGINT) + 1 AS line_number, sha256({PEPPER} || line) AS line_hash FROM lines
 WHERE {strip('line')} <> '' AND NOT starts_with(line, '#')""")
 def read_text_lines(spark, folder):
     l = r.read_text_lines(r.table(spark, folder, "documents"), "doc_id", "text")
-    return l.select("doc_id", "line_number", F.md5("line").alias("line_hash"))
+    return l.select("doc_id", "line_number", F.sha2(F.concat(F.lit(pepper(spark)), "line"), 256).alias("line_hash"))
 
 
 @query("read_messages", f"WITH {v.MESSAGES} SELECT channel, message_id, username, views, CASE WHEN channel % 2 = 1 THEN views END AS forwards FROM messages")
@@ -229,6 +232,37 @@ def detect_encoding(spark, folder):
     return d.select("doc_id", r.detect_encoding(content).alias("encoding"))
 
 
+@query("read_encoded_lines", f"""
+WITH {v.LINES}, l AS (SELECT doc_id, (['utf-8', 'utf-16', 'cp1256', 'utf-8'])[doc_id % 4 + 1] AS encoding,
+  CASE WHEN doc_id % 4 = 2 THEN regexp_replace(line, '[^\x20-\x7eàâçèéêëîïôùûü]', '', 'g') || 'é' ELSE line END AS line FROM lines)
+SELECT doc_id, encoding, count(*) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS n_chars, min(sha256({PEPPER} || line)) AS least_hash
+FROM l GROUP BY doc_id, encoding""")
+def read_encoded_lines(spark, folder):
+    """A folder whose files are in four encodings, read as one table."""
+    k = F.col("doc_id")
+    cut = r.table(spark, folder, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    only = F.concat(F.regexp_replace("line", "[^\\x20-\\x7eàâçèéêëîïôùûü]", ""), F.lit("é"))
+    named = F.concat(k, F.lit("|"), F.when(k % 4 == 2, only).otherwise(F.col("line")))
+    rows = cut.select(k, "pos", (k % 32).alias("part"), named.alias("line"))
+    heads = spark.range(32).select(F.lit(None).cast("long").alias("doc_id"), F.lit(-1).alias("pos"), F.col("id").alias("part"), F.lit("").alias("line"))
+    group = F.col("part") % 4
+    content = (
+        F.when((group == 0) & (F.col("pos") < 0), F.unhex(F.lit("EFBBBF")))
+        .when((group == 1) & (F.col("pos") < 0), F.unhex(F.lit("FEFF00")))
+        .when(group == 1, F.concat(F.encode("line", "UTF-16BE"), F.unhex(F.lit("00"))))
+        .when((group == 2) & (F.col("pos") >= 0), F.encode("line", "ISO-8859-1"))
+        .otherwise(F.encode("line", "UTF-8")))
+    path = scratch_path(spark, "encoded")
+    placed = rows.unionByName(heads).repartition("part").sortWithinPartitions("part", F.col("pos") >= 0, "doc_id", "pos")
+    placed.select("part", content.cast("string").alias("value")).write.partitionBy("part").text(path)
+    found = r.read_encoded_lines(spark, f"{path}/part=*").filter("line <> ''")
+    line = F.regexp_extract("line", "^[0-9]+[|](.*)$", 1)
+    return found.select(F.regexp_extract("line", "^([0-9]+)", 1).cast("long").alias("doc_id"), "encoding", line.alias("line")).groupBy(
+        "doc_id", "encoding").agg(
+        F.count("*").alias("n_lines"), F.sum(F.length("line")).alias("n_chars"),
+        F.min(F.sha2(F.concat(F.lit(pepper(spark)), "line"), 256)).alias("least_hash"))
+
+
 @query("read_run_log", f"WITH {LOG} SELECT timestamp, level, message FROM log")
 def read_run_log(spark, folder):
     return run_log(spark, folder)

@@ -253,6 +253,43 @@ def detect_encoding(content: Column, head: int = 65536) -> Column:
     )
 
 
+HIGH = bytes(range(128, 256))
+
+
+def decode_cp1256(content: Column) -> Column:
+    """Text of bytes in cp1256: read as Latin-1, the upper half exchanged letter by letter."""
+    return F.translate(F.decode(content, "ISO-8859-1"), HIGH.decode("latin-1"), HIGH.decode("cp1256"))
+
+
+def read_encoded_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, encoding, line) of text files of different encodings, as one table.
+
+    One aggregate over the bytes finds each file's encoding: utf-16 by its byte order
+    mark, utf-8 where all of it is valid, else cp1256; flags move, no text. The lines
+    then meet their file's encoding and are decoded by it, in the tasks that read
+    them. Files with a UTF-16 mark cannot be cut at a line's end byte: their pieces are
+    put together again, each file in one task. A mark (UTF-8's is dropped as the file
+    is read) and the carriage return at a line's end are no part of the line.
+    """
+    lines = quoted.split_lines(spark, path).withColumn("b", F.col("line").cast("binary")).drop("line")
+    at = F.struct("_split", "_at")
+    found = lines.groupBy("_file").agg(
+        F.min_by(F.hex(F.substring("b", 1, 2)), at).alias("mark"), F.bool_and(F.is_valid_utf8("b")).alias("valid"))
+    encoding = F.when(F.col("mark").isin("FFFE", "FEFF"), "utf-16").when(F.col("valid"), "utf-8").otherwise("cp1256")
+    known = lines.join(found.select("_file", encoding.alias("encoding")), "_file")
+
+    one_byte = known.filter("encoding <> 'utf-16'").select(
+        "_file", "encoding", F.when(F.col("encoding") == "cp1256", decode_cp1256(F.col("b"))).otherwise(F.col("b").cast("string")).alias("line"))
+
+    pieces = known.filter("encoding = 'utf-16'").groupBy("_file", "encoding").agg(
+        F.sort_array(F.collect_list(F.struct("_split", "_at", "b"))).alias("p"))
+    whole = F.unhex(F.array_join(F.transform("p", lambda x: F.hex(x["b"])), "0A"))
+    even = F.when(F.octet_length(whole) % 2 == 1, F.concat(whole, F.unhex(F.lit("0A")))).otherwise(whole)
+    split = F.split(F.regexp_replace(F.decode(even, "UTF-16"), "\n$", ""), "\n", -1)
+    two_bytes = pieces.select("_file", "encoding", F.explode(split).alias("line"))
+    return one_byte.unionByName(two_bytes).select(F.col("_file").alias("file"), "encoding", F.regexp_replace("line", "\r$", "").alias("line"))
+
+
 def read_run_log(df: DataFrame, column: str = "value") -> DataFrame:
     """(timestamp, level, message) of log lines; lines under four parts dropped."""
     parts = F.split(text.strip(F.col(column)), " ", 4)

@@ -121,3 +121,23 @@ def test_report_levels_exact_and_by_sketches(spark):
     for r in near:
         if r[:4] in totals:
             assert abs(r[4] - totals[r[:4]]) <= max(2, 0.065 * totals[r[:4]])
+
+
+def test_a_folder_of_encodings_reads_as_one_table(spark, tmp_path):
+    from exposura.sources import readers
+
+    lines = ["first", "café ê", "", "last ü"]
+    arabic = ["سلام", "كتاب x", "é"]
+    (tmp_path / "a.txt").write_bytes(("\n".join(lines) + "\n").encode("utf-8"))
+    (tmp_path / "b.txt").write_bytes(("\r\n".join(lines) + "\r\n").encode("utf-8-sig"))
+    (tmp_path / "c.txt").write_bytes("\n".join(arabic).encode("cp1256"))
+    (tmp_path / "d.txt").write_bytes(("\n".join(lines + ["ਊ਀", "ĊĀ"]) + "\n").encode("utf-16"))
+    (tmp_path / "e.txt").write_bytes(b"\xfe\xff" + ("\n".join(lines) + "\n").encode("utf-16-be"))
+    (tmp_path / "f.txt").write_bytes(b"")
+    (tmp_path / "g.txt").write_bytes(bytes(range(128, 256)) + b"\n")
+    got = {}
+    for r in readers.read_encoded_lines(spark, str(tmp_path)).collect():
+        got.setdefault((r["file"][-5:], r["encoding"]), []).append(r["line"])
+    want = {("a.txt", "utf-8"): lines, ("b.txt", "utf-8"): lines, ("c.txt", "cp1256"): arabic,
+            ("d.txt", "utf-16"): lines + ["ਊ਀", "ĊĀ"], ("e.txt", "utf-16"): lines, ("g.txt", "cp1256"): [bytes(range(128, 256)).decode("cp1256")]}
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
