@@ -9,6 +9,7 @@ from exposura.catalog.base import q, query, sql_list, stamp
 from exposura.catalog.q_filters import VIDEO, forwarding_rules
 from exposura.operators import filters as f
 from exposura.session import DEMO_PEPPER, pepper, scratch_path
+from exposura.sinks import bucketed
 from exposura.sources.readers import table
 from exposura.streaming import jobs as s
 
@@ -67,9 +68,23 @@ def micro_batch(spark, folder):
 
 @query("dir_watch", "SELECT event_id FROM events")
 def dir_watch(spark, folder):
-    stream = s.dir_watch(spark, _as_queue(spark, folder), "*.json", files_per_trigger=2)
-    rows = stream.select(F.get_json_object("line", "$.event_id").cast("long").alias("event_id"))
-    return _appended(spark, rows, "watch-out")
+    """Files, and later copies of them under other names, which give no rows."""
+    path = _as_queue(spark, folder)
+    out, checkpoint = _paths(spark, "watch-out")
+
+    def taken():
+        stream = s.dir_watch(spark, path, "*.json", files_per_trigger=2, once_within="1 hour")
+        s.append_to(stream.select(F.get_json_object("line", "$.event_id").cast("long").alias("event_id")), out, checkpoint)
+
+    taken()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    where = hadoop.Path(path)
+    files, conf = where.getFileSystem(spark._jsc.hadoopConfiguration()), spark._jsc.hadoopConfiguration()
+    for status in files.globStatus(hadoop.Path(where, "*.json")):
+        name = status.getPath().getName()
+        hadoop.FileUtil.copy(files, status.getPath(), files, hadoop.Path(where, f"copy-{name}"), False, conf)
+    taken()
+    return spark.read.parquet(out)
 
 
 @query("ingest_stream", """
@@ -168,6 +183,21 @@ def stream_upsert(spark, folder):
     return s.read_latest(spark, out, ["user_id"], ["event_id"])
 
 
+@query("stream_upsert_bucketed", NEWEST)
+def stream_upsert_bucketed(spark, folder):
+    """Newest row per user, kept in buckets of the user; compacted, and then more batches."""
+    out, checkpoint = _paths(spark, "bucketed")
+    name = "newest_" + out.split("-")[-1].split("/")[0]
+    layout = {"buckets": 8, "parts": 4}
+    bucketed.create(spark, name, out, "user_id BIGINT, event_id BIGINT, event_type STRING", ["user_id"], **layout)
+    rows = table(spark, folder, "events").select("user_id", "event_id", "event_type")
+    bucketed.append(rows.filter("event_id % 5 = 0"), name, ["user_id"], ["event_id"], 0, **layout)
+    bucketed.compact(spark, name, ["user_id"], ["event_id"], 8)
+    stream = s.queue_source(spark, _as_queue(spark, folder), QUEUE, files_per_trigger=1).drop("props")
+    s.stream_upsert_bucketed(stream, name, checkpoint, ["user_id"], ["event_id"], **layout)
+    return bucketed.latest(spark, name, ["user_id"], ["event_id"])
+
+
 @query("retry_and_spill", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
 def retry_and_spill(spark, folder):
     """A stream whose first attempt fails before its batch is noted; the restart writes each row once."""

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
-from exposura.session import scratch_path
-
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str], cols: list[str]) -> DataFrame:
     """The row with the highest order of every key.
@@ -43,33 +41,62 @@ def tail_n(df: DataFrame, order: str, keep: Column, n: int = 100, last: int = 50
     return recent.filter(keep).orderBy(F.desc(order)).limit(n)
 
 
+def range_borders(df: DataFrame, columns: list[str], ranges: int, seed: int = 7) -> list[str]:
+    """Up to ranges - 1 borders, as JSON, that cut the rows into ranges of similar size.
+
+    Drawn from a sample of about fifty rows per range; only its keys reach the driver.
+    """
+    rows = df.count()
+    if ranges < 2 or not rows:
+        return []
+    drawn = df.select(*columns).sample(min(1.0, 50 * ranges / rows), seed).orderBy(*columns).limit(200 * ranges)
+    keys = [r[0] for r in drawn.select(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})).collect()]
+    return list(dict.fromkeys(keys[len(keys) * k // ranges] for k in range(1, ranges) if keys))
+
+
+def range_number(df: DataFrame, columns: list[str], borders: list[str]) -> Column:
+    """How many borders a row has reached, by halving; the borders are one literal of the plan."""
+    if not borders:
+        return F.lit(0)
+    kind = F.struct(*columns)
+    fields = ", ".join(f"`{c}`: {df.schema[c].dataType.simpleString()}" for c in columns)
+    known = F.array_sort(F.from_json(F.lit("[" + ",".join(borders) + "]"), f"array<struct<{fields}>>"))
+    steps = F.array(*[F.lit(1 << k) for k in range(len(borders).bit_length() - 1, -1, -1)])
+
+    def halve(at: Column, step: Column) -> Column:
+        there = at + step
+        return F.when((there <= len(borders)) & (F.get(known, there - 1) <= kind), there).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), halve)
+
+
 def block_numbers(
     df: DataFrame, key: str, order: list[str], start: Column, out: str = "block_id", rows_per_range: int = 2_000_000,
 ) -> DataFrame:
     """Rows numbered by block, a block running from one start row of its key to the next.
 
     Rows before the first start get 0. The running count is taken in two steps, so
-    that no task holds a whole key: the rows are placed in ranges of (key, order),
-    which are of similar size however hot a key is and whose number follows the rows'
-    own, so that none outgrows a task, counted within their range,
-    and raised by what the earlier ranges of the key hold. The placed rows are
-    written to the shared folder, since both steps must see the same ranges.
+    that no task holds a whole key: the rows fall into ranges of (key, order), which
+    are of similar size however hot a key is and whose number follows the rows' own,
+    are counted within their range, and raised by what the earlier ranges of the key
+    hold. The ranges' borders are literals, so both steps see the same ranges without
+    writing a row; the first step moves one sum per key and range.
     """
     spark = df.sparkSession
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(least, -(-df.count() // rows_per_range))
-    placed = df.withColumn("_start", start.cast("int")).repartitionByRange(ranges, key, *order)
-    path = scratch_path(spark, "ranges")
-    placed.withColumn("_range", F.spark_partition_id()).write.parquet(path)
-    ranged = spark.read.parquet(path)
+    placing = df.select(key, *order)
+    ranges = max(least, -(-placing.count() // rows_per_range))
+    borders = range_borders(placing, [key, *order], ranges)
+    ranged = df.withColumn("_start", F.coalesce(start, F.lit(False)).cast("int")).withColumn("_range", range_number(df, [key, *order], borders))
 
     totals = ranged.groupBy(key, "_range").agg(F.sum("_start").alias("_sum"))
     earlier = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(key, "_range", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
+    offsets = totals.select(
+        F.col(key).alias("_key"), F.col("_range").alias("_of"), F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
     inside = Window.partitionBy(key, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumn("_local", F.sum("_start").over(inside))
     return (
-        local.join(offsets, [key, "_range"])
+        local.join(offsets, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_range") == F.col("_of")))
         .withColumn(out, (F.col("_local") + F.col("_offset")).cast("long"))
-        .drop("_start", "_range", "_local", "_offset")
+        .drop("_start", "_range", "_local", "_offset", "_key", "_of")
     )

@@ -16,6 +16,7 @@ from exposura.functions import sensitive, text, values
 from exposura.operators import projections
 from exposura.operators.joins import content_route
 from exposura.operators.windows import latest_per_key
+from exposura.sinks import bucketed
 
 PRIVATE_TARGETS = ["address", "birthdate", "facebook_generated_email", "url"]
 
@@ -53,17 +54,25 @@ def kafka_source(spark: SparkSession, servers: str, topic: str, schema) -> DataF
     return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("r")).select("r.*")
 
 
-def dir_watch(spark: SparkSession, path: str, pattern: str = "*", files_per_trigger: int = 100) -> DataFrame:
-    """Lines of files once they appear under their final name; each file is taken once.
+def dir_watch(
+    spark: SparkSession, path: str, pattern: str = "*", files_per_trigger: int = 100, once_within: str | None = None,
+) -> DataFrame:
+    """(file, line) of files once they appear under their final name; each file is taken once.
 
     Writers move a finished file into the folder, which takes the place of
-    polling for a stable size.
+    polling for a stable size. With `once_within`, a time such as "7 days", a file
+    whose content was seen under another name within that time gives no row: the
+    stream keeps the digests it has met, by the time it met them, and forgets older
+    ones. Files are then read whole, one to a row.
     """
-    return (
-        spark.readStream.option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", files_per_trigger).text(path)
-        .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
-    )
+    reader = spark.readStream.option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_per_trigger)
+    if once_within is None:
+        return reader.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+    files = reader.schema("path string, modificationTime timestamp, length long, content binary").format("binaryFile").load(path).select(
+        F.col("path").alias("file"), F.sha2("content", 256).alias("_digest"), F.current_timestamp().alias("_met"), "content")
+    first = files.withWatermark("_met", once_within).dropDuplicatesWithinWatermark(["_digest"])
+    ended = F.regexp_replace(F.col("content").cast("string"), "\n$", "")
+    return first.select("file", F.explode(F.split(ended, "\n", -1)).alias("line"))
 
 
 # --- running ------------------------------------------------------------------
@@ -114,6 +123,15 @@ def read_latest(spark: SparkSession, path: str, key: list[str], order: list[str]
     return latest_per_key(log, key, [*order, "batch_id"], cols)
 
 
+def stream_upsert_bucketed(stream: DataFrame, name: str, checkpoint: str, key: list[str], order: list[str], **layout):
+    """As `stream_upsert`, into a table in buckets of the key (`sinks.bucketed`): neither a
+    read nor a compaction shuffles what is stored."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        bucketed.append(batch, name, key, order, batch_id, **layout)
+
+    return run_available(stream.writeStream.foreachBatch(write), checkpoint)
+
+
 def compact(spark: SparkSession, path: str, target: str, key: list[str], order: list[str]) -> None:
     """Writes the merged table to a new path; the log below it can then be dropped."""
     read_latest(spark, path, key, order).write.mode("errorifexists").parquet(target)

@@ -141,3 +141,78 @@ def test_a_folder_of_encodings_reads_as_one_table(spark, tmp_path):
     want = {("a.txt", "utf-8"): lines, ("b.txt", "utf-8"): lines, ("c.txt", "cp1256"): arabic,
             ("d.txt", "utf-16"): lines + ["ਊ਀", "ĊĀ"], ("e.txt", "utf-16"): lines, ("g.txt", "cp1256"): [bytes(range(128, 256)).decode("cp1256")]}
     assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_block_numbers_write_no_row_and_spread_a_hot_key(spark):
+    from exposura.operators import windows
+
+    rng = random.Random(9)
+    rows = [(rng.choice(["hot"] * 8 + ["a", None]), rng.choice([None, 1, 2, 3]), k, rng.random() < 0.1, f"wide{k}") for k in range(3000)]
+    df = spark.createDataFrame(rows, "k string, o int, id int, s boolean, w string").repartition(6)
+    got = windows.block_numbers(df, "k", ["o", "id"], F.col("s"), rows_per_range=100)
+    want, seen = {}, {}
+    for k, o, i, s_, _ in sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1] is not None, r[1] or 0, r[2])):
+        seen[k] = seen.get(k, 0) + int(s_)
+        want[i] = seen[k]
+    assert {r["id"]: r["block_id"] for r in got.collect()} == want
+    assert got.columns == df.columns + ["block_id"] and "wide" not in plan(got)
+    borders = windows.range_borders(df, ["k", "o", "id"], 16)
+    counts = [r["count"] for r in df.groupBy(windows.range_number(df, ["k", "o", "id"], borders).alias("r")).count().collect()]
+    assert len(counts) > 10 and max(counts) < 3 * 3000 / 16
+
+
+def test_a_copy_two_batches_later_gives_no_row(spark, tmp_path):
+    import shutil
+
+    folder, out, checkpoint = (str(tmp_path / x) for x in ("in", "out", "cp"))
+    (tmp_path / "in").mkdir()
+
+    def arrive(name, body=None, of=None):
+        if of:
+            shutil.copy(f"{folder}/{of}", f"{folder}/{name}")
+        else:
+            (tmp_path / "in" / name).write_text(body)
+        s.append_to(s.dir_watch(spark, folder, "*.txt", once_within="1 hour"), out, checkpoint)
+
+    arrive("a.txt", "one\ntwo\n")
+    arrive("b.txt", "three\n")
+    arrive("c.txt", of="a.txt")
+    arrive("d.txt", "one\ntwo\nmore")
+    assert sorted(r["line"] for r in spark.read.parquet(out).collect()) == ["more", "one", "one", "three", "two", "two"]
+
+
+def test_buckets_merge_without_an_exchange(spark, tmp_path):
+    from exposura.sinks import bucketed
+
+    path, name, layout = str(tmp_path / "t"), "kept_rows", {"buckets": 4, "parts": 4}
+    bucketed.create(spark, name, path, "k BIGINT, v BIGINT, w STRING", ["k"], **layout)
+    try:
+        def put(rows, batch):
+            bucketed.append(spark.createDataFrame(rows, "k long, v long, w string"), name, ["k"], ["v"], batch, **layout)
+
+        def stored():
+            return sorted(map(tuple, bucketed.latest(spark, name, ["k"], ["v"]).collect()))
+
+        put([(k, 1, "a") for k in range(100)] + [(3, 0, "old")], 0)
+        assert bucketed.compact(spark, name, ["k"], ["v"], 4) == [0, 1, 2, 3]
+        put([(3, 2, "b"), (3, 5, "c"), (200, 1, "n")], 1)
+        put([(3, 5, "d")], 2)
+        put([(3, 5, "d")], 2)
+        want = sorted([(k, 1, "a") for k in range(100) if k != 3] + [(3, 5, "d"), (200, 1, "n")])
+        assert stored() == want
+        assert "Exchange" not in plan(bucketed.latest(spark, name, ["k"], ["v"]))
+        before = {f: f.stat().st_mtime_ns for f in (tmp_path / "t").rglob("*.parquet")}
+        touched = bucketed.compact(spark, name, ["k"], ["v"], 4)
+        assert 1 <= len(touched) <= 2 and stored() == want and spark.table(name).count() == len(want)
+        rest = [f for f in before if int(f.parent.name.split("=")[1]) not in touched]
+        assert rest and all(f.exists() and f.stat().st_mtime_ns == before[f] for f in rest)
+        assert bucketed.compact(spark, name, ["k"], ["v"], 4) == []
+        spark.sql(f"DROP TABLE {name}")
+        bucketed.create(spark, name, path, "k BIGINT, v BIGINT, w STRING", ["k"], **layout)
+        assert stored() == want
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
