@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from exposura import rules
 from exposura.catalog import views as v
-from exposura.catalog.base import query, sql_in, sql_redacted, stamp
+from exposura.catalog.base import q, query, sql_in, sql_redacted, stamp
 from exposura.functions import text
 from exposura.functions.sensitive import redact
 from exposura.operators import aggregates as a
@@ -190,6 +190,24 @@ def bulk_result_counts(spark, folder):
     return a.bulk_result_counts(table(spark, folder, "events").select(s.alias("s")), "s")
 
 
+# Lists and tables planted as texts: both have lines of the list's layout, the tables a header too.
+LIST_TEXT = "ann@example.com:invented1\nbob@example.com:invented2\n"
+TABLE_TEXT = "ID\tfirst_name\tphone\n1 ann 5550\n2 bob 5551\n"
+SHARED = f"""docs AS (SELECT doc_id, CASE doc_id % 7 WHEN 1 THEN {q(LIST_TEXT)} WHEN 2 THEN {q(TABLE_TEXT)}
+  WHEN 3 THEN 'user;billing_city' || chr(10) || {q(LIST_TEXT)} ELSE text END AS text FROM documents),
+lines AS (SELECT doc_id, unnest(range(len(a))) AS pos, unnest(a) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS a FROM docs))"""
+HEADED = " OR ".join(
+    f"(contains(low, {d}) AND len(list_filter(list_transform(string_split(low, {d}), lambda x: trim(trim(x), chr(39) || '\"')), "
+    f"lambda x: x IN {sql_in(h for h in rules.TABLE_HEADERS if not h.endswith('_'))} OR starts_with(x, 'billing_') OR starts_with(x, 'street_'))) > 0)"
+    for d in ("','", "chr(9)", "';'"))
+
+
+def _shared(spark, folder):
+    k = F.col("doc_id") % 7
+    planted = F.when(k == 1, LIST_TEXT).when(k == 2, TABLE_TEXT).when(k == 3, "user;billing_city\n" + LIST_TEXT).otherwise(F.col("text"))
+    return table(spark, folder, "documents").select("doc_id", planted.alias("text"))
+
+
 SHARE_LINES = """
 ls AS (SELECT doc_id, pos, line FROM (SELECT doc_id, pos, """ + "regexp_replace(line, '^\\s+|\\s+$', '', 'g')" + """ AS line FROM lines)
        WHERE line <> '' AND NOT starts_with(line, '#') QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY pos) <= 25),
@@ -200,20 +218,22 @@ shaped AS (SELECT doc_id, pos, bool_or(len(p) BETWEEN 2 AND 4
                   OR coalesce(regexp_matches(p[1], '^[a-zA-Z0-9_.\\-+@#$*!=|]+$'), false))
              AND len(list_filter(p, lambda x: NOT (contains(x, '@') AND contains(x, '.')) AND length(x) >= 3)) > 0) AS s
            FROM parts GROUP BY doc_id, pos),
-share AS (SELECT doc_id, coalesce(avg(CASE WHEN s THEN 1.0 WHEN NOT s THEN 0.0 END), 0.0) AS share FROM documents LEFT JOIN shaped USING (doc_id) GROUP BY doc_id)
+headed AS (SELECT doc_id, bool_or(""" + HEADED + """) AS h FROM (
+  SELECT doc_id, lower(line) AS low FROM ls QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY pos) = 1) GROUP BY doc_id),
+share AS (SELECT doc_id, CASE WHEN bool_or(h) THEN 0.0 ELSE coalesce(avg(CASE WHEN s THEN 1.0 WHEN NOT s THEN 0.0 END), 0.0) END AS share
+  FROM docs LEFT JOIN shaped USING (doc_id) LEFT JOIN headed USING (doc_id) GROUP BY doc_id)
 """
 
 
-@query("ulp_shape_share", f"WITH {v.LINES}, {SHARE_LINES} SELECT doc_id, round(share, 6) AS share, share >= 0.7 AS quarantined FROM share")
+@query("ulp_shape_share", f"WITH {SHARED}, {SHARE_LINES} SELECT doc_id, round(share, 6) AS share, share >= 0.7 AS quarantined FROM share")
 def ulp_shape_share(spark, folder):
-    out = jobs.credential_list_quarantine(table(spark, folder, "documents"), "doc_id", "text")
+    out = jobs.credential_list_quarantine(_shared(spark, folder), "doc_id", "text")
     return out.select("doc_id", F.round("share", 6).alias("share"), "quarantined")
 
 
-@query("credential_list_quarantine", f"WITH {v.LINES}, {SHARE_LINES} SELECT doc_id FROM share WHERE share >= 0.1")
+@query("credential_list_quarantine", f"WITH {SHARED}, {SHARE_LINES} SELECT doc_id FROM share WHERE share >= 0.7")
 def credential_list_quarantine(spark, folder):
-    """A threshold of 0.1, since the prose holds no list beyond the default of 0.7."""
-    out = jobs.credential_list_quarantine(table(spark, folder, "documents"), "doc_id", "text", 0.1)
+    out = jobs.credential_list_quarantine(_shared(spark, folder), "doc_id", "text")
     return out.filter("quarantined").select("doc_id")
 
 

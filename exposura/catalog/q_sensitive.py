@@ -12,8 +12,20 @@ from exposura.plans import jobs
 from exposura.sources.readers import table
 
 
-def _len(pattern: str) -> str:
-    return f"len(regexp_extract_all(text, {q(pattern)}))"
+def _len(*patterns: str) -> str:
+    return " + ".join(f"len(regexp_extract_all(text, {q(p)}))" for p in patterns)
+
+
+# One invented value of every kind; planted into every third text.
+PLANTED = (
+    "\n(555) 010-9999 and 2001:db8::1 with Bearer abcd.efgh-1234, sk_live_ABCDEFGHIJKLMNOP1234\napi-key: \"my long value\" password='two words'\n"
+    "eyJhbGciOi.eyJzdWIiOi.c2lnbmF0dXJl\n-----BEGIN RSA PRIVATE KEY-----\nAAAAinvented\n-----END RSA PRIVATE KEY-----\n")
+PLANTED_SQL = f"d AS (SELECT doc_id, source, CASE WHEN doc_id % 3 = 0 THEN text || {q(PLANTED)} ELSE text END AS text FROM documents)"
+
+
+def _planted(spark, folder):
+    more = F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit(PLANTED))).otherwise(F.col("text"))
+    return table(spark, folder, "documents").select("doc_id", "source", more.alias("text"))
 
 
 LUHN = """(list_sum(list_transform(range(1, length(c) + 1), lambda i:
@@ -23,29 +35,35 @@ LUHN = """(list_sum(list_transform(range(1, length(c) + 1), lambda i:
 
 
 @query("pii_scan", f"""
-WITH cards AS (SELECT doc_id, count(*) FILTER ({LUHN}) AS n FROM (
-  SELECT doc_id, regexp_replace(unnest(regexp_extract_all(text, {q(rules.CARD)})), '[ -]', '', 'g') AS c FROM documents) GROUP BY doc_id)
+WITH {PLANTED_SQL}, cards AS (SELECT doc_id, count(*) FILTER ({LUHN}) AS n FROM (
+  SELECT doc_id, regexp_replace(unnest(regexp_extract_all(text, {q(rules.CARD)})), '[ -]', '', 'g') AS c FROM d) GROUP BY doc_id)
 SELECT doc_id, {_len(rules.EMAIL)} AS n_email,
-  len(list_filter(regexp_extract_all(text, {q(rules.PHONE)}), lambda p: length(regexp_replace(p, '[^0-9]', '', 'g')) BETWEEN 7 AND 15)) AS n_phone,
-  {_len(rules.IPV4)} AS n_ip, coalesce(n, 0) AS n_card, {_len(rules.KEY)} AS n_key
-FROM documents LEFT JOIN cards USING (doc_id)""")
+  len(list_filter(regexp_extract_all(text, {q(rules.PHONE)}), lambda p: length(regexp_replace(p, '[^0-9]', '', 'g')) BETWEEN 7 AND 15))
+    + {_len(rules.LOCAL_PHONE)} AS n_phone,
+  {_len(rules.IPV4, rules.IPV6)} AS n_ip, coalesce(n, 0) AS n_card, {_len(rules.KEY, rules.SERVICE_KEY, rules.KEY_BLOCK)} AS n_key,
+  {_len(rules.TOKEN, rules.BEARER)} AS n_token, {_len(rules.SECRET)} AS n_secret
+FROM d LEFT JOIN cards USING (doc_id)""")
 def pii_scan(spark, folder):
-    return jobs.pii_scan(table(spark, folder, "documents"), "doc_id", "text")
+    return jobs.pii_scan(_planted(spark, folder), "doc_id", "text")
+
+
+MASKS = r"\[(EMAIL|KEY|PHONE|CARD|IP|SECRET|TOKEN)\]"
 
 
 @query("redact", f"""
-SELECT doc_id, length(t) AS n_chars, md5(t) AS text_hash, len(regexp_extract_all(t, '\\[(EMAIL|KEY|PHONE|CARD|IP)\\]')) AS n_masked
-FROM (SELECT doc_id, {sql_redacted('text')} AS t FROM documents)""")
+WITH {PLANTED_SQL} SELECT doc_id, length(t) AS n_chars, md5(t) AS text_hash, len(regexp_extract_all(t, {q(MASKS)})) AS n_masked
+FROM (SELECT doc_id, {sql_redacted('text')} AS t FROM d)""")
 def redact(spark, folder):
-    d = jobs.redact(table(spark, folder, "documents").select("doc_id", "text"), "text")
+    d = jobs.redact(_planted(spark, folder).select("doc_id", "text"), "text")
     return d.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_hash"),
-        F.regexp_count("text", F.lit(r"\[(EMAIL|KEY|PHONE|CARD|IP)\]")).cast("long").alias("n_masked"),
+        F.regexp_count("text", F.lit(MASKS)).cast("long").alias("n_masked"),
     )
 
 
 @query("pii_by_source", f"""
-WITH s AS (SELECT source, {_len(rules.EMAIL)} AS n_email, {_len(rules.IPV4)} AS n_ip, {_len(rules.KEY)} AS n_key FROM documents)
+WITH s AS (SELECT source, {_len(rules.EMAIL)} AS n_email, {_len(rules.IPV4, rules.IPV6)} AS n_ip,
+  {_len(rules.KEY, rules.SERVICE_KEY, rules.KEY_BLOCK)} AS n_key FROM documents)
 SELECT source, CAST(sum(n_email) AS BIGINT) AS n_email, CAST(sum(n_ip) AS BIGINT) AS n_ip, CAST(sum(n_key) AS BIGINT) AS n_key FROM s GROUP BY source""")
 def pii_by_source(spark, folder):
     from exposura.functions.sensitive import pii_counts

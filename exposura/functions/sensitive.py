@@ -6,6 +6,8 @@ keyed hash.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
 from exposura import rules
@@ -40,6 +42,9 @@ _GATES = {
     rules.IPV4: lambda c: c.rlike(r"[0-9]\.[0-9]"),
     rules.CARD: lambda c: c.rlike("[0-9]{4}[ -]?[0-9]{4}"),
     rules.TOKEN: lambda c: c.contains("eyJ"),
+    rules.BEARER: lambda c: c.rlike("(?i)bearer "),
+    rules.SERVICE_KEY: lambda c: c.rlike("[spr]k[_-]"),
+    rules.KEY_BLOCK: lambda c: c.contains("-----BEGIN "),
     rules.SECRET: lambda c: c.contains("=") | c.contains(":"),
     rules.LOCAL_PHONE: lambda c: c.contains("("),
     rules.IPV6: lambda c: c.contains(":"),
@@ -70,13 +75,20 @@ def phone_count(c: Column) -> Column:
     return F.size(F.filter(digits, lambda n: n.between(7, 15)))
 
 
+def count_of(c: Column, *patterns: str) -> Column:
+    return reduce(Column.__add__, [F.size(tokens(c, p)) for p in patterns])
+
+
 def pii_counts(c: Column) -> dict[str, Column]:
+    """How many tokens of every kind that `redact` masks; phones and cards only where they are well formed."""
     return {
-        "n_email": F.size(tokens(c, rules.EMAIL)),
-        "n_phone": phone_count(c),
-        "n_ip": F.size(tokens(c, rules.IPV4)),
+        "n_email": count_of(c, rules.EMAIL),
+        "n_phone": phone_count(c) + count_of(c, rules.LOCAL_PHONE),
+        "n_ip": count_of(c, rules.IPV4, rules.IPV6),
         "n_card": card_count(c),
-        "n_key": F.size(tokens(c, rules.KEY)),
+        "n_key": count_of(c, rules.KEY, rules.SERVICE_KEY, rules.KEY_BLOCK),
+        "n_token": count_of(c, rules.TOKEN, rules.BEARER),
+        "n_secret": count_of(c, rules.SECRET),
     }
 
 
@@ -106,6 +118,20 @@ def value_shape(c: Column) -> Column:
     )
 
 
+def table_header(line: Column) -> Column:
+    """Whether a first line names columns that only tables have, under a comma, tab or semicolon."""
+    low = F.lower(line)
+
+    def named(delim: str) -> Column:
+        cells = F.transform(F.split(low, delim, -1), lambda x: F.btrim(strip(x), F.lit("'\"")))
+        whole = [h for h in rules.TABLE_HEADERS if not h.endswith("_")]
+        begun = [h for h in rules.TABLE_HEADERS if h.endswith("_")]
+        hit = F.arrays_overlap(cells, F.array(*[F.lit(h) for h in whole]))
+        return low.contains(delim) & (hit | F.exists(cells, lambda x: reduce(Column.__or__, [x.startswith(h) for h in begun])))
+
+    return F.coalesce(named(",") | named("\t") | named(";"), F.lit(False))
+
+
 def list_shaped(line: Column) -> Column:
     """True for a line laid out like an entry of a credential list.
 

@@ -291,11 +291,12 @@ def csv_vs_list(c: Column, n: int = 20) -> Column:
 
 
 def list_share(c: Column, n: int = 25) -> Column:
-    """Share of the first lines that are laid out like a credential list."""
-    shaped = F.transform(
-        sample_lines(c, n), lambda x: F.when(sensitive.list_shaped(x), 1.0).otherwise(0.0)
-    )
-    return _mean(shaped)
+    """Share of the first lines that are laid out like a credential list; 0 under a table's header."""
+    def share(lines: Column) -> Column:
+        shaped = F.transform(lines, lambda x: F.when(sensitive.list_shaped(x), 1.0).otherwise(0.0))
+        return F.when(sensitive.table_header(F.get(lines, F.lit(0))), 0.0).otherwise(_mean(shaped))
+
+    return text.bind(sample_lines(c, n), share)
 
 
 def columns_from_ddl(body: Column) -> Column:

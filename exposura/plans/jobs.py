@@ -143,12 +143,14 @@ def classify_file(
 ) -> DataFrame:
     """Adds the parser of every file: by suffix, then by the shape of a text sample.
 
-    Filename records, if given, come first. With a threshold, samples laid out like
-    a credential list that far get "credential_list", which is for quarantine.
+    Filename records, if given, come first. A sample whose first line has a table's
+    header is a table and no list. With a threshold, samples laid out like a
+    credential list that far get "credential_list", which is for quarantine.
     """
     family = files.file_family(F.col(path))
     if sample is not None:
-        shape = inference.csv_vs_list(sample)
+        headed = sensitive.table_header(F.get(inference.sample_lines(sample, 1), F.lit(0)))
+        shape = F.when(headed, "table").otherwise(inference.csv_vs_list(sample))
         family = F.when(
             (family == "list") & (shape == "table"), "structured_table"
         ).otherwise(family)

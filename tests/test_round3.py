@@ -216,3 +216,38 @@ def test_buckets_merge_without_an_exchange(spark, tmp_path):
         assert stored() == want
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+CANARIES = {
+    "email": "canary.one@example.com", "phone": "+1 555 010 4477", "local": "(555) 010-8866", "ip": "192.0.2.77", "ip6": "2001:db8::77",
+    "card": "4111 1111 1111 1111", "aws": "AKIA" + "CANARYCANARY1234", "hub": "ghp_" + "c4n4ry" * 6, "hex": "c0ffee" * 6,
+    "service": "sk_live_c4naryc4naryc4nary", "jwt": "eyJjYW5hcnkx.eyJjYW5hcnky.Y2FuYXJ5Mw", "bearer": "Bearer canary.token-4455",
+    "quoted": "my canary word", "single": "other canary word", "bare": "canaryword99", "block": "CANARYBLOCKAAAA",
+}
+
+
+def test_no_canary_survives_redaction_and_every_kind_is_counted(spark):
+    from exposura.plans import jobs
+
+    c = CANARIES
+    body = (f"mail {c['email']} call {c['phone']} or {c['local']} from {c['ip']} {c['ip6']} card {c['card']}\n{c['aws']} {c['hub']} {c['hex']} {c['service']}\n"
+            f"{c['jwt']} Authorization: {c['bearer']}\npassword: \"{c['quoted']}\" api-key='{c['single']}' secret={c['bare']}\n"
+            f"-----BEGIN EC PRIVATE KEY-----\n{c['block']}\n-----END EC PRIVATE KEY-----\nplain text stays")
+    df = spark.createDataFrame([(1, body), (2, None), (3, "")], "k int, t string")
+    out = {r["k"]: r["t"] for r in jobs.redact(df, "t").collect()}
+    for name, value in CANARIES.items():
+        assert value not in out[1] and value.split()[-1] not in out[1], name
+    assert out[1].endswith("plain text stays") and out[2] is None and out[3] == ""
+    counts = {r["k"]: r.asDict() for r in jobs.pii_scan(df, "k", "t").collect()}
+    assert counts[1] == {"k": 1, "n_email": 1, "n_phone": 2, "n_ip": 2, "n_card": 1, "n_key": 5, "n_token": 2, "n_secret": 3}
+    assert all(counts[3][n] == 0 for n in counts[3] if n != "k")
+
+
+def test_a_table_header_is_no_credential_list(one):
+    from exposura.operators import inference
+
+    rows = "1 ann 5550\n2 bob 5551\n"
+    assert one(inference.list_share, "id\tfirst_name\tphone\n" + rows) == 0.0
+    assert one(inference.list_share, "a;billing_city\n" + rows) == 0.0
+    assert one(inference.list_share, "identity\tname\n" + rows) == 1.0
+    assert one(inference.list_share, rows) == 1.0 and one(inference.list_share, "") == 0.0
