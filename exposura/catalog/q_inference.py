@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from exposura import rules
 from exposura.catalog import views as v
 from exposura.catalog.base import case_first, q, query, sql_in, sql_list, strip
+from exposura.catalog.q_aggregates import SHARE_LINES
 from exposura.functions import files, text
 from exposura.operators import inference as inf
 from exposura.plans import jobs
@@ -47,8 +48,16 @@ HEADS = """heads AS (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'id;emai
   WHEN 2 THEN '"a"|b|' || o_custkey || '|c|d|e' ELSE 'email,' || o_custkey || ',c,d' END AS line FROM orders)"""
 
 
-@query("is_headerless", """
-SELECT o_orderkey, o_orderkey % 4 IN (1, 2) AS headerless FROM orders""")
+KNOWN = sql_in(n.lower() for n in rules.COLUMN_ALIASES)
+DATA_LIKE_SQL = " OR ".join(f"regexp_matches(x, {q(p)})" for p in inf.DATA_LIKE)
+# The first row is data: half its first eight cells look like data, or some do and none is a known name.
+HEADLESS = f"""firsts AS (SELECT o_orderkey, line, d, list_transform(string_split(line, d)[1:8], lambda x: trim(trim(x), '"')) AS a
+  FROM (SELECT o_orderkey, line, {_sniff('line')} AS d FROM heads)),
+verdicts AS (SELECT o_orderkey, line, d, n >= greatest(1, len(a) // 2) OR (n > 0 AND len(list_filter(a, lambda x: lower(x) IN {KNOWN})) = 0) AS headerless
+  FROM (SELECT *, len(list_filter(a, lambda x: {DATA_LIKE_SQL})) AS n FROM firsts))"""
+
+
+@query("is_headerless", f"WITH {HEADS}, {HEADLESS} SELECT o_orderkey, headerless FROM verdicts")
 def is_headerless(spark, folder):
     h = _head_lines(spark, folder)
     delim = inf.sniff_delimiter(F.col("line"))
@@ -89,16 +98,16 @@ def learn_aliases(spark, folder):
 
 
 @query("schema_catalog", f"""
-WITH {HEADS}, s AS (SELECT o_orderkey, line, {_sniff('line')} AS d FROM heads)
-SELECT o_orderkey, d AS delimiter, '_flat' AS table_name, len(string_split(line, d)) AS n_columns, o_orderkey % 4 IN (1, 2) AS headerless,
-       array_to_string(CASE WHEN o_orderkey % 4 IN (1, 2) THEN list_transform(range(len(string_split(line, d))), lambda i: CAST(i AS VARCHAR))
-                            ELSE list_transform(string_split(line, d), lambda x: trim(x, '"')) END, '/') AS columns FROM s""")
+WITH {HEADS}, {HEADLESS}
+SELECT o_orderkey, d AS delimiter, '_flat' AS table_name, len(string_split(line, d)) AS n_columns, headerless, 'header' AS method,
+       array_to_string(CASE WHEN headerless THEN list_transform(range(len(string_split(line, d))), lambda i: CAST(i AS VARCHAR))
+                            ELSE list_transform(string_split(line, d), lambda x: trim(x, '"')) END, '/') AS columns FROM verdicts""")
 def schema_catalog(spark, folder):
     c = inf.schema_catalog(_head_lines(spark, folder), "o_orderkey", "line")
     one = F.get("tables", F.lit(0))
     return c.select(
         "o_orderkey", "delimiter", one["table_name"].alias("table_name"), F.array_join(one["columns"], "/").alias("columns"),
-        one["n_columns"].cast("long").alias("n_columns"), one["headerless"].alias("headerless"),
+        one["n_columns"].cast("long").alias("n_columns"), one["headerless"].alias("headerless"), "method",
     )
 
 
@@ -169,6 +178,7 @@ def sample_values(spark, folder):
     return inf.sample_shapes(o, "line", ["o_orderkey", "price", "day", "word", "props"])
 
 
+FIELDS = r"""regexp_extract_all(',' || line, ',("(?:[^"]|"")*"[^,]*|[^,]*)', 1)"""
 FILE_RULES = [("^red.*gear", "gears"), ("gear|bolt", "metal"), ("^(small|old) ", "sized"), ("ring$", "rings")]
 
 
@@ -178,6 +188,30 @@ def filename_rules(spark, folder):
     return table(spark, folder, "part").select("p_partkey", inf.filename_rule(F.upper("p_name"), FILE_RULES).alias("parser"))
 
 
+FILE_RECORDS = [
+    {"pattern": "^red.*gear", "parser": "delimited", "delimiter": ";", "header": False, "columns": {0: "uid", 3: "phone"}},
+    {"pattern": "gear|bolt", "parser": "delimited", "delimiter": "\t", "header": True},
+    {"pattern": "ring$", "parser": "json"},
+]
+
+
+def _first_record(field):
+    """The field of the first record whose pattern the name matches, in SQL."""
+    return case_first([(f"regexp_matches(lower(p_name), {q(x['pattern'])})", field(x)) for x in FILE_RECORDS])
+
+
+@query("filename_records", f"""
+SELECT p_partkey, {_first_record(lambda x: q(x["parser"]))} AS parser,
+  {_first_record(lambda x: q(x["delimiter"]) if "delimiter" in x else "NULL")} AS delimiter,
+  {_first_record(lambda x: str(x["header"]).lower() if "header" in x else "NULL")} AS header,
+  {_first_record(lambda x: q(",".join(f"{k}={t}" for k, t in x["columns"].items())) if "columns" in x else "NULL")} AS columns FROM part""")
+def filename_records(spark, folder):
+    """Whole records by file name: parser, delimiter, header and column map."""
+    found = table(spark, folder, "part").select("p_partkey", inf.filename_record(F.upper("p_name"), FILE_RECORDS).alias("r"))
+    pairs = F.transform(F.array_sort(F.map_entries("r.columns")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return found.select("p_partkey", "r.parser", "r.delimiter", "r.header", F.array_join(pairs, ",").alias("columns"))
+
+
 EXTS = [".zip", ".tar.gz", ".pdf", ".txt", ".csv", ".sql", ".jsonl", ".bin", ""]
 FAMILY = ["archive", "archive", "binary", "list", "structured_table", "sql_dump", "json", "metadata", "metadata"]
 
@@ -188,34 +222,46 @@ def _named_files(spark, folder):
     return d.select("doc_id", F.concat(F.lit("in/"), "source", F.lit("/f"), "doc_id", ext).alias("path"), "text")
 
 
-@query("classify_file", f"""
-SELECT doc_id, CASE WHEN doc_id % {len(EXTS)} = 3 AND shape = 'table' THEN 'structured_table'
-  ELSE ({sql_list(FAMILY)})[doc_id % {len(EXTS)} + 1] END AS parser FROM (@SHAPES@)""".replace("@SHAPES@", "SELECT doc_id, shape FROM shapes").replace(
-    "\nSELECT", f"""
-WITH {v.LINES}, s AS (SELECT doc_id, {strip('line')} AS line FROM lines
+# Samples whose shape must overrule the name: a list, a table with a header, fields with quoted commas.
+SAMPLES = [
+    "ann@example.com:invented1\nbob@example.com:invented2", "id,first_name,phone\n1,ann,5550\n2,bob,5551",
+    '"a,b",c,d\n"e,f",g,h', "a,b,c,d,e,f,g,h\n1,2,3,4,5,6,7,8"]
+SAMPLED_SQL = "f AS (SELECT doc_id, CASE doc_id % 5 " + " ".join(f"WHEN {k} THEN {q(x)}" for k, x in enumerate(SAMPLES)) + " ELSE text END AS text FROM documents)"
+SHAPE_SQL = f"""l AS (SELECT doc_id, unnest(range(len(a))) AS pos, unnest(a) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS a FROM f)),
+s AS (SELECT doc_id, pos, {strip('line')} AS line FROM l
   WHERE {strip('line')} <> '' AND NOT starts_with({strip('line')}, '#') QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY pos) <= 20),
-m AS (SELECT doc_id, avg(length(line) - length(replace(line, ',', '')) + 1) AS fields,
+m AS (SELECT doc_id, avg(len({FIELDS})) AS fields,
   avg(length(replace(line, '://', '')) - length(replace(replace(line, '://', ''), ':', ''))) AS colons FROM s GROUP BY doc_id),
 shapes AS (SELECT doc_id, CASE WHEN m.doc_id IS NULL THEN 'list' WHEN fields >= 8 THEN 'table' WHEN colons >= 0.8 AND fields < 4 THEN 'list' ELSE 'undecided' END AS shape
-  FROM documents LEFT JOIN m USING (doc_id))
-SELECT""", 1))
+  FROM documents LEFT JOIN m USING (doc_id))"""
+
+
+def _sampled(spark, folder):
+    d = _named_files(spark, folder)
+    return d.withColumn("text", text.first_rule([(F.col("doc_id") % 5 == k, x) for k, x in enumerate(SAMPLES)], F.col("text")))
+
+
+@query("classify_file", f"""
+WITH {SAMPLED_SQL}, {SHAPE_SQL}, docs AS (SELECT * FROM f), lines AS (SELECT * FROM l), {SHARE_LINES},
+first AS (SELECT doc_id, lower(line) AS low FROM s QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY pos) = 1),
+topped AS (SELECT doc_id, contains(low, ',') AND len(list_filter(string_split(low, ','), lambda x: trim(x) IN {sql_in(rules.TABLE_HEADERS)})) > 0 AS h FROM first)
+SELECT doc_id, CASE WHEN doc_id % {len(EXTS)} = 4 AND doc_id % 2 = 0 THEN 'by_name' WHEN share >= 0.7 THEN 'credential_list'
+  WHEN doc_id % {len(EXTS)} = 3 AND (shape = 'table' OR coalesce(topped.h, false)) THEN 'structured_table'
+  ELSE ({sql_list(FAMILY)})[doc_id % {len(EXTS)} + 1] END AS parser FROM shapes JOIN share USING (doc_id) LEFT JOIN topped USING (doc_id)""")
 def classify_file(spark, folder):
-    return jobs.classify_file(_named_files(spark, folder), "path", F.col("text")).select("doc_id", "parser")
+    """By name records, then by the sample's layout, then by suffix and shape."""
+    records = [{"pattern": "[02468][.]csv$", "parser": "by_name"}]
+    return jobs.classify_file(_sampled(spark, folder), "path", F.col("text"), records, 0.7).select("doc_id", "parser")
 
 
-@query("csv_vs_list", f"""
-WITH {v.LINES}, s AS (SELECT doc_id, {strip('line')} AS line FROM lines
-  WHERE {strip('line')} <> '' AND NOT starts_with({strip('line')}, '#') QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY pos) <= 20),
-m AS (SELECT doc_id, avg(length(line) - length(replace(line, ',', '')) + 1) AS fields,
-  avg(length(replace(line, '://', '')) - length(replace(replace(line, '://', ''), ':', ''))) AS colons FROM s GROUP BY doc_id)
-SELECT doc_id, CASE WHEN fields IS NULL THEN 'list' WHEN fields >= 8 THEN 'table' WHEN colons >= 0.8 AND fields < 4 THEN 'list' ELSE 'undecided' END AS shape
-FROM documents LEFT JOIN m USING (doc_id)""")
+@query("csv_vs_list", f"WITH {SAMPLED_SQL}, {SHAPE_SQL} SELECT doc_id, shape FROM shapes")
 def csv_vs_list(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", inf.csv_vs_list(F.col("text")).alias("shape"))
+    return _sampled(spark, folder).select("doc_id", inf.csv_vs_list(F.col("text")).alias("shape"))
 
 
-@query("is_transaction_file", """
-SELECT o_orderkey, o_orderkey % 3 = 0 AS is_transaction FROM orders""")
+@query("is_transaction_file", f"""
+WITH h AS (SELECT o_orderkey, ['id', CASE WHEN o_orderkey % 3 = 0 THEN ' Charge_Amount' ELSE o_orderstatus END, o_orderpriority] AS names FROM orders)
+SELECT o_orderkey, len(list_filter(names, lambda x: lower(trim(x)) IN {sql_in(rules.TRANSACTION_TRIGGERS)})) > 0 AS is_transaction FROM h""")
 def is_transaction_file(spark, folder):
     second = F.when(F.col("o_orderkey") % 3 == 0, " Charge_Amount").otherwise("o_orderstatus")
     header = F.array(F.lit("id"), second, F.col("o_orderpriority"))
@@ -227,7 +273,6 @@ POSITIONAL = """placed AS (SELECT l_orderkey, l_linenumber, lpad(CAST(l_orderkey
   || CASE WHEN l_partkey % 3 = 0 THEN '"a,""b"",,"' WHEN l_partkey % 3 = 1 THEN '"a"' ELSE 'a "b' END || ',b,'
   || CASE WHEN l_suppkey % 2 = 0 THEN '"' || lpad(CAST(l_partkey AS VARCHAR), 10, '5') || '"' ELSE 'none' END
   || repeat(',', CAST(l_linenumber AS INTEGER) + 13) AS line FROM lineitem)"""
-FIELDS = r"""regexp_extract_all(',' || line, ',("(?:[^"]|"")*"[^,]*|[^,]*)', 1)"""
 
 
 @query("positional_fingerprint", f"""
