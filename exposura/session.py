@@ -28,9 +28,14 @@ def build_session(app: str = "exposura", master: str | None = None, **conf) -> S
     return builder.getOrCreate()
 
 
-def pepper(spark: SparkSession) -> str:
-    """Secret prefix of the identifier hash; outside a local session spark.exposura.pepper must be set."""
-    named = spark.conf.get("spark.exposura.pepper", None)
+def pepper(spark: SparkSession, unset: str | None = None) -> str:
+    """Secret prefix of the identifier hash, as spark.exposura.pepper names it.
+
+    Where none is named it is `unset`; without that the demonstration's in a local session,
+    and an error on a cluster. The registered queries run on supplied tables of invented
+    people and their SQL names the demonstration's, so they give that.
+    """
+    named = spark.conf.get("spark.exposura.pepper", None) or unset
     if named is None and not _one_process(spark):
         raise RuntimeError("set spark.exposura.pepper")
     return named or DEMO_PEPPER
