@@ -69,7 +69,7 @@ SELECT c_custkey AS "_row",
   CAST(c_nationkey AS VARCHAR) AS country
 FROM customer""")
 def normalize_identity(spark, folder):
-    out = p.normalize_identity(p.remap_columns(_people(spark, folder)), pepper(spark))
+    out = p.normalize_identity(p.remap_columns(_people(spark, folder)), pepper(spark, DEMO_PEPPER))
     return out.select("_row", "email_hash", "username_hash", "phone_hash", "secret_kind", F.col("extra_data")["country"].alias("country"))
 
 

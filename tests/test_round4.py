@@ -28,6 +28,7 @@ def small(spark, tmp_path_factory):
 KEYED = [
     "norm_email",
     "norm_phone",
+    "normalize_identity",
 ]
 
 
