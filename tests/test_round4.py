@@ -29,6 +29,7 @@ KEYED = [
     "norm_email",
     "norm_phone",
     "normalize_identity",
+    "read_encoded_lines",
 ]
 
 
