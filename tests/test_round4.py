@@ -30,6 +30,7 @@ KEYED = [
     "norm_phone",
     "normalize_identity",
     "read_encoded_lines",
+    "read_text_lines",
 ]
 
 
