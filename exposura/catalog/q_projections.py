@@ -39,7 +39,7 @@ FROM customer""")
 def remap_columns(spark, folder):
     out = p.remap_columns(_people(spark, folder))
     return out.select(
-        "_row", F.sha2(F.concat(F.lit(pepper(spark)), "email"), 256).alias("email_hash"), "username", "segment", "country"
+        "_row", F.sha2(F.concat(F.lit(pepper(spark, DEMO_PEPPER)), "email"), 256).alias("email_hash"), "username", "segment", "country"
     )
 
 

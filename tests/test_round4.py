@@ -31,6 +31,7 @@ KEYED = [
     "normalize_identity",
     "read_encoded_lines",
     "read_text_lines",
+    "remap_columns",
 ]
 
 
