@@ -165,7 +165,7 @@ def stream_normalize_dict(spark, folder):
     named = F.concat(F.lit('{"name": " User '), F.col("user_id").cast("string"), F.lit('"}'))
     payload = F.when(F.col("event_type") == "error", named).otherwise(F.col("props"))
     stream = _events(spark, folder).select("event_id", payload.alias("payload"))
-    found = s.stream_normalize_dict(stream, "payload", {"k": "step"}, pepper(spark)).select("event_id", "step", "username_hash", "mode")
+    found = s.stream_normalize_dict(stream, "payload", {"k": "step"}, pepper(spark, DEMO_PEPPER)).select("event_id", "step", "username_hash", "mode")
     return _appended(spark, found, "dict")
 
 

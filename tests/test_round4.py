@@ -32,6 +32,7 @@ KEYED = [
     "read_encoded_lines",
     "read_text_lines",
     "remap_columns",
+    "stream_normalize_dict",
 ]
 
 
