@@ -131,7 +131,7 @@ def _with_header(spark, rows, key, header, label):
     probe = scratch_path(spark, f"{label}-head")
     spark.createDataFrame([(header,)], "value string").coalesce(1).write.text(probe)
     stream = spark.readStream.schema(lines.schema).parquet(path)
-    found = s.normalize_lines(stream, "line", s.probe_header(spark, probe), pepper(spark))
+    found = s.normalize_lines(stream, "line", s.probe_header(spark, probe), pepper(spark, DEMO_PEPPER))
     return _appended(spark, found, f"{label}-out")
 
 

@@ -33,6 +33,7 @@ KEYED = [
     "read_text_lines",
     "remap_columns",
     "stream_normalize_dict",
+    "stream_normalize_identity",
 ]
 
 
