@@ -34,6 +34,7 @@ KEYED = [
     "remap_columns",
     "stream_normalize_dict",
     "stream_normalize_identity",
+    "stream_normalize_transaction",
 ]
 
 
