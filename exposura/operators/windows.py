@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
+from exposura.functions import text
+
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str], cols: list[str]) -> DataFrame:
     """The row with the highest order of every key.
@@ -55,19 +57,22 @@ def range_borders(df: DataFrame, columns: list[str], ranges: int, seed: int = 7)
 
 
 def range_number(df: DataFrame, columns: list[str], borders: list[str]) -> Column:
-    """How many borders a row has reached, by halving; the borders are one literal of the plan."""
+    """How many borders a row has reached, by halving; the borders are one sorted literal of the plan."""
     if not borders:
         return F.lit(0)
-    kind = F.struct(*columns)
     fields = ", ".join(f"`{c}`: {df.schema[c].dataType.simpleString()}" for c in columns)
-    known = F.array_sort(F.from_json(F.lit("[" + ",".join(borders) + "]"), f"array<struct<{fields}>>"))
+    # sort_array, unlike array_sort, which takes a function, is computed once for the plan and not at every step of every row
+    known = F.sort_array(F.from_json(F.lit("[" + ",".join(borders) + "]"), f"array<struct<{fields}>>"))
     steps = F.array(*[F.lit(1 << k) for k in range(len(borders).bit_length() - 1, -1, -1)])
 
-    def halve(at: Column, step: Column) -> Column:
-        there = at + step
-        return F.when((there <= len(borders)) & (F.get(known, there - 1) <= kind), there).otherwise(at)
+    def reached(kind: Column) -> Column:
+        def halve(at: Column, step: Column) -> Column:
+            there = at + step
+            return F.when((there <= len(borders)) & (F.get(known, there - 1) <= kind), there).otherwise(at)
+
+        return F.aggregate(steps, F.lit(0), halve)
 
-    return F.aggregate(steps, F.lit(0), halve)
+    return text.bind(F.struct(*columns), reached)
 
 
 def block_numbers(

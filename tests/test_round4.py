@@ -54,3 +54,25 @@ def test_keyed_queries_run_on_a_cluster(spark, small, name, monkeypatch, tmp_pat
         assert (sorted(map(repr, got.collect())) == expected) is not any("hash" in c for c in columns)
     finally:
         spark.conf.unset("spark.exposura.pepper")
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_borders_are_sorted_once_for_the_plan(spark):
+    from pyspark.sql import functions as F
+
+    from exposura.operators import windows
+
+    at = datetime.datetime(2024, 1, 2)
+    rows = [(k % 3 or None, at + datetime.timedelta(microseconds=701 * (k % 101)) if k % 5 else None, k) for k in range(600)]
+    df = spark.createDataFrame(rows, "k int, ts timestamp, id int")
+    borders = windows.range_borders(df, ["k", "ts", "id"], 200)
+    placed = df.withColumn("r", windows.range_number(df, ["k", "ts", "id"], borders))
+    assert len(borders) > 100 and "sort" not in optimized(placed) and "from_json" not in optimized(placed)
+    got = [r["r"] for r in placed.orderBy("k", "ts", "id").collect()]
+    assert got == sorted(got) and len(set(got)) > 50
+    numbered = windows.block_numbers(df, "k", ["ts", "id"], F.col("id") % 4 == 0)
+    seen, want = {}, {}
+    for k, ts, i in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or at, r[2])):
+        want[i] = seen[k] = seen.get(k, 0) + (i % 4 == 0)
+    assert {r["id"]: r["block_id"] for r in numbered.collect()} == want
