@@ -13,7 +13,6 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T, Window
 
 from exposura.functions import text
-from exposura.operators.windows import block_numbers
 
 PLACE = ["_file", "_split", "_at"]
 
@@ -84,11 +83,19 @@ def records(lines: DataFrame, whole: Column, opens: Column, glue: str = "\n") ->
     """(_file, _split, _at, record): lines that are no whole record joined from one that opens to the next.
 
     Only lines of records of more than one line meet; all others stay as they are.
+    Records are counted within a split, whose lines have met before, and raised by
+    what the file's earlier splits hold: one row per split goes on to be summed.
     """
     marked = lines.withColumn("_whole", whole).withColumn("_opens", opens)
     single = marked.filter("_whole").select(*PLACE, F.col("line").alias("record"))
     parts = marked.filter("not _whole").select(*PLACE, "line", "_opens")
-    numbered = block_numbers(parts, "_file", ["_split", "_at"], F.col("_opens"), "_record")
+    started = F.coalesce(F.col("_opens"), F.lit(False)).cast("long")
+    earlier = Window.partitionBy("_file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.groupBy("_file", "_split").agg(F.sum(started).alias("_sum")).select(
+        "_file", "_split", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("_file", "_split").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    counted = parts.withColumn("_local", F.sum(started).over(inside)).join(offsets, ["_file", "_split"])
+    numbered = counted.withColumn("_record", F.col("_local") + F.col("_offset"))
     met = numbered.groupBy("_file", "_record").agg(F.sort_array(F.collect_list(F.struct("_split", "_at", "line"))).alias("l"))
     joined = met.select(
         "_file", F.get("l", F.lit(0))["_split"].alias("_split"), F.get("l", F.lit(0))["_at"].alias("_at"),

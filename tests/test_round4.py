@@ -76,3 +76,27 @@ def test_borders_are_sorted_once_for_the_plan(spark):
     for k, ts, i in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or at, r[2])):
         want[i] = seen[k] = seen.get(k, 0) + (i % 4 == 0)
     assert {r["id"]: r["block_id"] for r in numbered.collect()} == want
+
+
+def test_records_over_splits_start_no_job_before_they_are_read(spark, tmp_path):
+    import json
+
+    from pyspark.sql import types as T
+
+    from exposura.sources import readers
+
+    rows = [{"id": k, "name": f'n{k}}},{{"[' * (k % 7), "more": [{"x": "}"}] * (k % 3)} for k in range(400)]
+    (tmp_path / "a.json").write_text(",\n".join(["[" + json.dumps(rows[0]), *map(json.dumps, rows[1:])]) + "]")
+    (tmp_path / "b.json").write_text(json.dumps(rows[:50]))
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
+    context = spark.sparkContext
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    context.setJobGroup("reads nothing", "")
+    try:
+        found = readers.read_json_array(spark, str(tmp_path), schema)
+        begun = list(context.statusTracker().getJobIdsForGroup("reads nothing"))
+        got = sorted((r["id"], r["name"]) for r in found.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert not begun and got == sorted((r["id"], r["name"]) for r in rows + rows[:50])
