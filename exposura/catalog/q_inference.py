@@ -141,7 +141,9 @@ cols AS (SELECT p_partkey, pos, table_name, list_filter(list_transform(string_sp
 SELECT p_partkey, string_agg(table_name || ':' || array_to_string(c, ','), '|' ORDER BY pos) AS tables, count(*) AS n_tables,
   CAST(sum(len(c)) AS BIGINT) AS n_columns, 'statements' AS method, '2024-01-02 03:04:05' AS scanned_at FROM cols GROUP BY p_partkey""")
 def schema_catalog_dump(spark, folder):
-    p = table(spark, folder, "part")
+    """The rows are few bytes and much work, so they are dealt over tasks however few splits their file has."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    p = table(spark, folder, "part").select("p_partkey", "p_name", "p_size").repartition(tasks)
     names = {"<name>": F.translate("p_name", " ", "_"), "<size>": F.col("p_size").cast("string")}
     dumps = p.select("p_partkey", F.concat(*[names.get(x, F.lit(x)) for x in DUMP]).alias("body"))
     dumps = dumps.withColumn("line", text.first_line(F.col("body")))

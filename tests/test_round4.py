@@ -100,3 +100,13 @@ def test_records_over_splits_start_no_job_before_they_are_read(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         context.setLocalProperty("spark.jobGroup.id", None)
     assert not begun and got == sorted((r["id"], r["name"]) for r in rows + rows[:50])
+
+
+def test_dumps_of_one_file_are_dealt_over_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    parts = [(k, f"part {k}", k % 9) for k in range(64)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_size int").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    found = catalog.queries()["schema_catalog_dump"](spark, str(tmp_path))
+    assert found.groupBy(F.spark_partition_id()).count().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(r["tables"].split("|")[0] for r in found.collect()) == sorted(f"part_{k}:id,price,kind" for k in range(64))
